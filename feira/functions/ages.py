@@ -14,6 +14,7 @@ from pyspark.sql.types import DecimalType
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
+SECONDS_PER_DAY = 86_400
 DAYS_PER_MONTH = 30
 
 
@@ -27,15 +28,13 @@ def age_parts(later: Column, earlier: Column) -> dict[str, Column]:
 
     NULL if either side is.
     """
-    reversed_order = later < earlier
-    high = F.when(reversed_order, earlier).otherwise(later)
-    low = F.when(reversed_order, later).otherwise(earlier)
-    sign = F.when(reversed_order, F.lit(-1)).otherwise(F.lit(1))
+    sign = F.when(later >= earlier, F.lit(1)).when(later < earlier, F.lit(-1))
+    high, low = F.greatest(later, earlier), F.least(later, earlier)
 
     time_left = _time_of_day(high) - _time_of_day(low)
-    borrow_day = F.when(time_left < 0, F.lit(1)).otherwise(F.lit(0))
+    borrow_day = (time_left < 0).cast("int")
     days_left = F.dayofmonth(high) - F.dayofmonth(low) - borrow_day
-    borrow_month = F.when(days_left < 0, F.lit(1)).otherwise(F.lit(0))
+    borrow_month = (days_left < 0).cast("int")
     month_length = F.dayofmonth(F.last_day(low))
     months_left = (F.year(high) - F.year(low)) * 12 + F.month(high) - F.month(low) - borrow_month
 
@@ -57,33 +56,31 @@ def age_sums(later: Column, earlier: Column) -> list[Column]:
     ]
 
 
-def _towards_zero(value: Column) -> Column:
-    return F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("bigint")
-
-
 def _rounded(value: Column) -> Column:
     return F.rint(value * 1e6) / 1e6
 
 
 def mean_age() -> dict[str, Column]:
-    """Mean ``months``, ``days`` and ``micros`` over the aggregates of `age_sums`; NULL without rows."""
+    """Mean ``months``, ``days`` and ``micros`` over the aggregates of `age_sums`; NULL without rows.
+
+    Casts to bigint cut towards zero and remainders keep the sign, so ages of either sign work.
+    """
     ages = F.nullif(F.col("ages"), F.lit(0)).cast("double")
     months = F.col("age_months") / ages
     days = F.col("age_days") / ages
     micros = F.col("age_micros").cast("double") / ages
 
-    month_days = _rounded((months - _towards_zero(months)) * DAYS_PER_MONTH)
-    day_part = (days - _towards_zero(days)) + (month_days - _towards_zero(month_days))
-    seconds = _rounded(day_part * 86_400)
-    carried = _towards_zero(seconds / 86_400)
+    month_days = _rounded(months % 1 * DAYS_PER_MONTH)
+    seconds = _rounded((days % 1 + month_days % 1) * SECONDS_PER_DAY)
+    gained = (seconds / SECONDS_PER_DAY).cast("bigint")
     return {
-        "months": _towards_zero(months),
-        "days": _towards_zero(days) + carried + _towards_zero(month_days),
-        "micros": F.rint(micros + (seconds - carried * 86_400) * 1e6).cast("bigint"),
+        "months": months.cast("bigint"),
+        "days": days.cast("bigint") + month_days.cast("bigint") + gained,
+        "micros": F.rint(micros + seconds % SECONDS_PER_DAY * 1e6).cast("bigint"),
     }
 
 
 def days_and_hours(age: dict[str, Column]) -> Column:
     """``'D days H hours '``, trailing space included; whole months are left out."""
-    hours = _towards_zero(age["micros"] / HOUR)
+    hours = (age["micros"] / HOUR).cast("bigint")
     return F.concat(age["days"].cast("string"), F.lit(" days "), hours.cast("string"), F.lit(" hours "))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feira.functions.keys import complete
+
 Child = tuple[DataFrame, Sequence[str]]
 
 
@@ -18,7 +20,7 @@ def key_set(children: Iterable[Child], key: Sequence[str]) -> DataFrame:
     shuffled once per task, not once per row.
     """
     keys = [
-        df.select(*[df[c].alias(k) for c, k in zip(columns, key, strict=True)]).dropna()
+        df.select(*[df[c].alias(k) for c, k in zip(columns, key, strict=True)]).filter(complete(key))
         for df, columns in children
     ]
     return reduce(DataFrame.unionByName, keys).distinct()
@@ -30,7 +32,7 @@ def missing_keys(parent: DataFrame, key: Sequence[str], children: Iterable[Child
     The keys of all children are joined at once: the parent is read one time, not once per child.
     Both sides are distinct before the join, so no key is hot in it.
     """
-    known = parent.select(*key).dropna().distinct()
+    known = parent.select(*key).filter(complete(key)).distinct()
     return key_set(children, key).join(known, list(key), "left_anti")
 
 
@@ -63,5 +65,5 @@ def zip_dimension(geolocation: DataFrame, customers: DataFrame, sellers: DataFra
         columns = (f"{kind}_zip_code_prefix", f"{kind}_city", f"{kind}_state")
         return df.select(*[df[c].alias(n) for c, n in zip(columns, names)])
 
-    used = triples(customers, "customer").union(triples(sellers, "seller")).dropna()
+    used = triples(customers, "customer").union(triples(sellers, "seller")).filter(complete(names))
     return triples(geolocation, "geolocation").union(used).distinct()

@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feira.functions.keys import complete, incomplete
 from feira.functions.text import fits
-from feira.specs import TableSpec
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(Column.__or__, conditions)
+from feira.specs import ForeignKey, TableSpec
 
 
 def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -21,9 +18,8 @@ def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
     Counting combines inside each input task, so a key with many copies stays cheap.
     """
-    incomplete = _any([F.col(c).isNull() for c in key])
     copies = df.groupBy(*key).agg(F.count("*").alias("copies"))
-    return copies.filter((F.col("copies") > 1) | incomplete)
+    return copies.filter((F.col("copies") > 1) | incomplete(key))
 
 
 def foreign_key_violations(
@@ -34,9 +30,10 @@ def foreign_key_violations(
     Rows are counted per key before the join, and the parent keys are made distinct, so a key that
     holds much of either table is one row in it.
     """
-    used = child.select(*columns).dropna().groupBy(*columns).agg(F.count("*").alias("child_rows"))
+    used = child.filter(complete(columns)).groupBy(*columns).agg(F.count("*").alias("child_rows"))
     known = parent.select(*[parent[k].alias(c) for c, k in zip(columns, key, strict=True)])
-    return used.join(known.dropna().distinct(), list(columns), "left_anti")
+    known = known.filter(complete(columns)).distinct()
+    return used.join(known, list(columns), "left_anti")
 
 
 def orphan_rows(
@@ -53,44 +50,64 @@ def width_violations(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
     return df.withColumn("too_wide", F.array_compact(F.array(*names))).filter(F.size("too_wide") > 0)
 
 
-def _lines(row: DataFrame, table: str, counts: Mapping[str, str]) -> DataFrame:
-    """One report line per count column of the one-row frame `row`."""
-    lines = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("constraint_name"),
-            F.lit(kind).alias("kind"),
-            F.coalesce(F.col(column), F.lit(0)).cast("bigint").alias("violations"),
-        )
-        for column, kind in counts.items()
-    ]
-    return row.select(F.inline(F.array(*lines)))
+def _lines(counts: DataFrame, kinds: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One report line per column of the one-row frame; `kinds` gives its table and kind."""
+    rows = ", ".join(
+        f"'{table}', '{name}', '{kind}', coalesce({name}, 0)" for name, (table, kind) in kinds.items()
+    )
+    return counts.selectExpr(
+        f"stack({len(kinds)}, {rows}) AS (table_name, constraint_name, kind, violations)"
+    )
+
 
+def column_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """NULL keys and wide text of one table, counted in a single pass."""
+    missing = " OR ".join(f"{part} IS NULL" for part in spec.primary_key)
+    tests = {f"{spec.name}_key_not_null": (missing, "not_null")}
+    for name, width in spec.widths.items():
+        wide = f"length({name}) > {width} AND length(rtrim({name})) > {width}"
+        tests[f"{spec.name}_{name}_width"] = (wide, "width")
+    counts = df.selectExpr(*[f"count_if({test}) AS {name}" for name, (test, _) in tests.items()])
+    return _lines(counts, {name: (spec.name, kind) for name, (_, kind) in tests.items()})
 
-def table_report(tables: Mapping[str, DataFrame], spec: TableSpec) -> list[DataFrame]:
-    """Report lines of one table: columns in one pass, the key by one count, each reference once."""
-    df, lines = tables[spec.name], []
 
-    nulls = {f"{spec.name}_key_not_null": _any([F.col(c).isNull() for c in spec.primary_key])}
-    wide = {f"{spec.name}_{c}_width": ~fits(F.col(c), n) for c, n in spec.widths.items()}
-    single_pass = df.agg(*[F.count_if(test).alias(name) for name, test in {**nulls, **wide}.items()])
-    kinds = dict.fromkeys(nulls, "not_null") | dict.fromkeys(wide, "width")
-    lines.append(_lines(single_pass, spec.name, kinds))
+def key_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Complete keys of one table that several rows hold."""
+    name = f"{spec.name}_key_unique"
+    copies = df.filter(complete(spec.primary_key)).groupBy(*spec.primary_key).count()
+    return _lines(copies.selectExpr(f"count_if(count > 1) AS {name}"), {name: (spec.name, "primary_key")})
 
-    unique = f"{spec.name}_key_unique"
-    repeated = df.select(*spec.primary_key).dropna().groupBy(*spec.primary_key).count()
-    repeated = repeated.agg(F.count_if(F.col("count") > 1).alias(unique))
-    lines.append(_lines(repeated, spec.name, {unique: "primary_key"}))
 
-    for fk in spec.foreign_keys:
-        name = f"{spec.name}_{fk.parent}_reference"
-        lost = foreign_key_violations(df, fk.columns, tables[fk.parent], fk.parent_columns)
-        lost = lost.agg(F.sum("child_rows").alias(name))
-        lines.append(_lines(lost, spec.name, {name: "foreign_key"}))
-    return lines
+def reference_lines(
+    parent: DataFrame, tables: Mapping[str, DataFrame], users: Sequence[tuple[TableSpec, ForeignKey]]
+) -> DataFrame:
+    """Child rows without a parent row, for all references to one parent.
+
+    The children are counted per key together, so the parent is read and joined once.
+    """
+    key = users[0][1].parent_columns
+    names = {f"{spec.name}_{fk.parent}_reference": (spec, fk) for spec, fk in users}
+    used = [
+        tables[spec.name]
+        .filter(complete(fk.columns))
+        .selectExpr(*[f"{c} AS {k}" for c, k in zip(fk.columns, key)], f"'{name}' AS reference")
+        for name, (spec, fk) in names.items()
+    ]
+    counts = [F.expr(f"count_if(reference = '{name}') AS {name}") for name in names]
+    per_key = reduce(DataFrame.unionByName, used).groupBy(*key).agg(*counts)
+    known = parent.select(*key).filter(complete(key)).distinct()
+    lost = per_key.join(known, list(key), "left_anti")
+    totals = lost.selectExpr(*[f"sum({name}) AS {name}" for name in names])
+    return _lines(totals, {name: (spec.name, "foreign_key") for name, (spec, _) in names.items()})
 
 
 def constraint_report(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFrame:
     """(table_name, constraint_name, kind, violations) for every declared constraint."""
-    lines = [line for spec in specs for line in table_report(tables, spec)]
+    users: dict[str, list[tuple[TableSpec, ForeignKey]]] = {}
+    lines = []
+    for spec in specs:
+        lines += [column_lines(tables[spec.name], spec), key_lines(tables[spec.name], spec)]
+        for fk in spec.foreign_keys:
+            users.setdefault(fk.parent, []).append((spec, fk))
+    lines += [reference_lines(tables[parent], tables, group) for parent, group in users.items()]
     return reduce(DataFrame.unionByName, lines)

@@ -55,8 +55,9 @@ def successful_delivery_percentage(card: DataFrame) -> DataFrame:
 
 def average_shipping_duration(card: DataFrame) -> DataFrame:
     """Mean calendar age at delivery as days and hours; months are left out, NULL without any."""
-    text = fit(days_and_hours(mean_age()), SHIPPING_TIME_WIDTH)
-    return card.select(text.alias("average_shipping_time"))
+    name = "average_shipping_time"
+    text = card.select(days_and_hours(mean_age()).alias(name))
+    return text.select(fit(F.col(name), SHIPPING_TIME_WIDTH).alias(name))
 
 
 def order_delivery_lateness(card: DataFrame) -> DataFrame:

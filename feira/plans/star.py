@@ -13,6 +13,23 @@ from pyspark.sql import functions as F
 from feira.functions.states import STATE_NAMES
 from feira.specs import MONEY
 
+# Declared, so that opening a table runs no job to find its columns.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
 DELIVERED_STATUS = "F"
 PENDING_STATUS = "P"
 UNTRANSLATED = ("Brand#9", "Brand#12", "Brand#14")
@@ -25,7 +42,8 @@ class Star:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        path = f"{self.folder.rstrip('/')}/{name}.parquet"
+        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
 
     @staticmethod
     def _some(df: DataFrame, rows: Column | None) -> DataFrame:

@@ -12,7 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Call sites are kept for every column expression by default, which doubles planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
