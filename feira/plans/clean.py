@@ -6,17 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from feira.functions.text import fit_all
 from feira.operators.backfill import backfill, zip_dimension
 from feira.operators.dense_id import numbered_geolocation
-from feira.specs import RAW
 
 
 def clean_tables(
     raw: Mapping[str, DataFrame], keep=lambda df, label: df
 ) -> dict[str, DataFrame]:
     """The ten clean tables from the nine raw ones; `keep(df, label)` may store shared steps."""
-    raw = {spec.name: fit_all(raw[spec.name], spec) for spec in RAW}
     items, orders, products = raw["order_items"], raw["orders"], raw["products"]
     payments, reviews = raw["order_payments"], raw["order_reviews"]
 

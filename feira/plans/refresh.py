@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
+from feira.functions.text import fit_all
 from feira.operators.constraints import constraint_report
 from feira.plans.clean import clean_tables
 from feira.plans.marts import DELIVERED, all_marts
@@ -45,10 +46,13 @@ class Layers:
 
 
 def load_raw(spark: SparkSession, source: str, layer: Layer) -> None:
-    """Every raw file into the raw layer, replacing what was there."""
+    """Every raw file into the raw layer, replacing what was there.
+
+    Text is fitted to its declared width here, so that later filters on it reach the scans.
+    """
     for spec in RAW:
-        df = drop_incomplete(read_raw(spark, spec, f"{source.rstrip('/')}/{spec.source}"), spec)
-        layer.write(df, spec)
+        df = read_raw(spark, spec, f"{source.rstrip('/')}/{spec.source}")
+        layer.write(fit_all(drop_incomplete(df, spec), spec), spec)
 
 
 def load_clean(

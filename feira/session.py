@@ -17,7 +17,12 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "4g") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "4g",
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import random
+
+from feira.operators.dense_id import numbered_geolocation, with_dense_id
+
+from conftest import values
+
+PLACES = (
+    "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
+    "geolocation_city string, geolocation_state string"
+)
+
+
+def test_ids_follow_the_order_without_gaps(spark):
+    df = spark.range(5000).selectExpr("cast(id * 7919 % 5000 AS string) AS k", "id AS v").repartition(7)
+    found = values(with_dense_id(df, ["k"], "n", partitions=6), "n", "k")
+    ordered = sorted(str(i) for i in range(5000))
+    assert sorted(found) == [(i + 1, k) for i, k in enumerate(ordered)]
+
+
+def test_ids_do_not_change_when_read_again(spark):
+    numbered = with_dense_id(spark.range(1000).repartition(5), ["id"], "n", partitions=4)
+    assert values(numbered) == values(numbered)
+
+
+def test_hot_prefix_is_split(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 > 0, 'hot', cast(id AS string)) AS zip", "id AS lat")
+    found = values(with_dense_id(df, ["zip", "lat"], "n", partitions=6), "n", "zip", "lat")
+    ordered = sorted((("hot" if i % 3 else str(i)), i) for i in range(3000))
+    assert sorted(found) == [(i + 1, *pair) for i, pair in enumerate(ordered)]
+
+
+def test_locations_are_distinct_and_nulls_come_first(rows):
+    draw = random.Random(3)
+    pool = [(z, lat, 1.0, c, "SP") for z in ("1", "2", None) for lat in (0.5, -1.5) for c in ("a", "b")]
+    df = rows(PLACES, *[draw.choice(pool) for _ in range(300)])
+    found = values(numbered_geolocation(df))
+    key = lambda r: (r[0] is not None, r[0] or "", r[3], r[4], r[1], r[2])
+    assert sorted(found, key=lambda r: r[0]) == [
+        (i + 1, *row) for i, row in enumerate(sorted(set(pool), key=key))
+    ]
+
+
+def test_nothing_in_nothing_out(rows):
+    assert values(numbered_geolocation(rows(PLACES))) == []
