@@ -39,9 +39,13 @@ def foreign_key_violations(
 def orphan_rows(
     child: DataFrame, columns: Sequence[str], parent: DataFrame, key: Sequence[str]
 ) -> DataFrame:
-    """The whole child rows whose reference finds no parent."""
+    """The whole child rows whose reference finds no parent.
+
+    The orphan keys are a stage of their own: few of them are broadcast, and with many of them AQE
+    can split a key that most rows share, which it does only for inputs straight from a shuffle.
+    """
     orphans = foreign_key_violations(child, columns, parent, key).select(*columns)
-    return child.join(orphans, list(columns), "left_semi")
+    return child.join(orphans.hint("rebalance"), list(columns), "left_semi")
 
 
 def width_violations(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:

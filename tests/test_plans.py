@@ -1,0 +1,150 @@
+"""What the physical plans must and must not hold."""
+
+from __future__ import annotations
+
+import re
+from contextlib import contextmanager
+
+import pytest
+
+import __spark_entry__ as contract
+from feira.operators.backfill import backfill, missing_keys
+from feira.operators.constraints import orphan_rows
+from feira.plans import marts
+from feira.plans.star import Star
+
+from conftest import values
+
+FOLDER = "/root/testdata/sf0.001"
+
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+SMALL_SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+}
+
+
+@contextmanager
+def settings(spark, changes):
+    before = {key: spark.conf.get(key, None) for key in changes}
+    for key, value in changes.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df):
+    execution = df._jdf.queryExecution()
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(execution, "formatted")
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def planned(df):
+    return plan(df).split("== Initial Plan ==")[-1]
+
+
+@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith(("x1", "r1", "k"))])
+def test_no_pairs_and_no_python(spark, name):
+    text = plan(contract.queries()[name](spark, FOLDER))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ExistingRDD"):
+        assert node not in text
+
+
+def test_window_bound_and_status_reach_the_scan(spark):
+    text = formatted(contract.queries()["m3_total_sales"](spark, FOLDER))
+    pushed = next(p for p in re.findall(r"PushedFilters: \[[^\n]*", text) if "EqualTo" in p)
+    assert "EqualTo(o_orderstatus,F)" in pushed and "GreaterThanOrEqual(o_orderdate" in pushed
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in text
+
+
+def test_one_mart_reads_only_its_columns(spark):
+    text = formatted(contract.queries()["m1_total_order"](spark, FOLDER))
+    schemas = set(re.findall(r"ReadSchema: (\S+)", text))
+    assert schemas == {
+        "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>", "struct<o_orderdate:timestamp_ntz>",
+    }
+
+
+def test_sales_per_order_need_one_shuffle_per_side(spark):
+    with settings(spark, NO_BROADCAST):
+        text = planned(contract.queries()["m4_avg_sales"](spark, FOLDER))
+    assert text.count("hashpartitioning(order_id") == 2
+
+
+def test_three_children_read_the_parent_twice(spark):
+    star = Star(spark, FOLDER)
+    children = (star.order_items(), star.order_payments(), star.order_reviews())
+    with settings(spark, NO_BROADCAST):
+        found = backfill(star.orders(), ["order_id"], [(c, ["order_id"]) for c in children])
+        text = planned(found)
+    assert text.count("orders.parquet") == 2
+    assert text.count("hashpartitioning(order_id") == 2
+    assert "IsNotNull(l_orderkey)" in formatted(found)
+
+
+def test_rank_is_cut_before_the_window(spark):
+    assert "TakeOrderedAndProject(limit=10" in plan(contract.queries()["m8_top_categories"](spark, FOLDER))
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A third of the items and reviews belong to one order, a third of the orders to one customer."""
+    bought = "timestamp_ntz'2018-05-01' AS order_purchase_timestamp"
+    return {
+        "orders": spark.range(6000).selectExpr(
+            "id AS order_id", "if(id % 3 = 0, 0, id) AS customer_id", "'delivered' AS order_status", bought
+        ),
+        "items": spark.range(30_000, numPartitions=8).selectExpr(
+            "if(id % 3 = 0, 5, id % 6000) AS order_id", "id AS product_id", "1.00BD AS price"
+        ),
+        "reviews": spark.range(9000).selectExpr(
+            "if(id % 3 = 0, 5, id % 6000) AS order_id", "cast(id % 5 + 1 AS tinyint) AS review_score"
+        ),
+        "products": spark.range(30_000).selectExpr(
+            "id AS product_id", "concat('k', id % 9) AS product_category_name"
+        ),
+        "names": spark.range(9).selectExpr(
+            "concat('k', id) AS product_category_name", "concat('n', id) AS product_category_name_english"
+        ),
+    }
+
+
+def test_hot_order_is_split_and_counted_whole(spark, hot):
+    with settings(spark, NO_BROADCAST | SMALL_SKEW):
+        found = marts.category_sales(*[hot[n] for n in ("orders", "items", "reviews", "products", "names")])
+        assert "skew=true" in final_plan(found)
+        reviews = hot["reviews"].groupBy("order_id").count()
+        total = hot["items"].join(reviews, "order_id").selectExpr("sum(count * price)").first()[0]
+        assert sum(r.total_sales for r in found.collect()) == total
+
+
+def test_hot_customer_and_order_in_the_state_sales(spark, hot):
+    with settings(spark, NO_BROADCAST | SMALL_SKEW):
+        sales = marts.order_sales(hot["orders"], hot["items"])
+        customers = spark.range(6000).selectExpr("id AS customer_id", "'SP' AS customer_state")
+        found = marts.total_sales_of_delivered_order_per_state(sales, customers)
+        assert [(r.customer_state, int(r.total_sales)) for r in found.collect()] == [("SP", 30_000)]
+
+
+def test_hot_orphan_is_split_and_found_whole(spark, hot):
+    known = hot["orders"].filter("order_id <> 5")
+    with settings(spark, NO_BROADCAST | SMALL_SKEW):
+        found = orphan_rows(hot["items"], ["order_id"], known, ["order_id"])
+        assert "skew=true" in final_plan(found)
+        assert found.count() == hot["items"].filter("order_id = 5").count()
+        assert values(missing_keys(known, ["order_id"], [(hot["items"], ["order_id"])])) == [(5,)]
