@@ -46,11 +46,9 @@ def stub_rows(keys: DataFrame, parent: DataFrame, key: Sequence[str]) -> DataFra
     )
 
 
-def backfill(
-    parent: DataFrame, key: Sequence[str], children: Iterable[Child], keep=lambda df: df
-) -> DataFrame:
-    """`parent` and a stub row for each missing key; `keep` may store the missing keys."""
-    missing = keep(missing_keys(parent, key, children))
+def backfill(parent: DataFrame, key: Sequence[str], children: Iterable[Child]) -> DataFrame:
+    """`parent` and a stub row for each missing key."""
+    missing = missing_keys(parent, key, children)
     return parent.unionByName(stub_rows(missing, parent, key))
 
 

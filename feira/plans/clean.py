@@ -6,33 +6,33 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from feira.operators.backfill import backfill, zip_dimension
+from feira.operators.backfill import Child, missing_keys, stub_rows, zip_dimension
 from feira.operators.dense_id import numbered_geolocation
-
-
-def clean_tables(
-    raw: Mapping[str, DataFrame], keep=lambda df, label: df
-) -> dict[str, DataFrame]:
-    """The ten clean tables from the nine raw ones; `keep(df, label)` may store shared steps."""
-    items, orders, products = raw["order_items"], raw["orders"], raw["products"]
-    payments, reviews = raw["order_payments"], raw["order_reviews"]
-
-    def completed(parent: str, key: str, *children: DataFrame) -> DataFrame:
-        users = [(child, [key]) for child in children]
-        return backfill(raw[parent], [key], users, lambda df: keep(df, f"missing-{parent}"))
-
-    zips = zip_dimension(raw["geolocation"], raw["customers"], raw["sellers"])
+from feira.specs import RAW, ZIP
+
+
+def clean_tables(raw: Mapping[str, DataFrame], keep_all=dict) -> dict[str, DataFrame]:
+    """The ten clean tables from the nine raw ones.
+
+    References are looked up in the raw tables: a stub row holds nothing but its key, so it cannot
+    refer to anything itself. `keep_all` may store the missing keys and the zip dimension, which
+    the checks and the final write both read.
+    """
+    keys: dict[str, list[str]] = {}
+    children: dict[str, list[Child]] = {}
+    for spec in RAW:
+        for fk in spec.foreign_keys:
+            if fk.parent != ZIP.name:
+                keys[fk.parent] = list(fk.parent_columns)
+                children.setdefault(fk.parent, []).append((raw[spec.name], fk.columns))
+
+    steps = {p: missing_keys(raw[p], keys[p], users) for p, users in children.items()}
+    steps["zip"] = zip_dimension(raw["geolocation"], raw["customers"], raw["sellers"])
+    stored = keep_all(steps)
+    completed = {p: raw[p].unionByName(stub_rows(stored[p], raw[p], keys[p])) for p in children}
     return {
-        "product_category_name_translation": completed(
-            "product_category_name_translation", "product_category_name", products
-        ),
-        "products": completed("products", "product_id", items),
-        "zip": keep(zips, "zip"),
+        **raw,
+        **completed,
+        "zip": stored["zip"],
         "geolocation": numbered_geolocation(raw["geolocation"]),
-        "customers": completed("customers", "customer_id", orders),
-        "orders": completed("orders", "order_id", items, payments, reviews),
-        "order_payments": payments,
-        "order_reviews": reviews,
-        "sellers": completed("sellers", "seller_id", items),
-        "order_items": items,
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from feira.functions.text import fit_all
 from feira.operators.constraints import constraint_report
 from feira.plans.clean import clean_tables
 from feira.plans.marts import DELIVERED, all_marts
-from feira.sources.layers import JdbcLayer, ParquetLayer
+from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer
+from feira.sources.parallel import run_all
 from feira.sources.raw import drop_incomplete, read_raw
-from feira.sources.scratch import keep
+from feira.sources.scratch import keep, keep_all
 from feira.specs import CLEAN, MARTS, RAW, Column, TableSpec, parents_first
 
-Layer = ParquetLayer | JdbcLayer
+Layer = ParquetLayer | CatalogLayer | JdbcLayer
 
 REPORT = TableSpec(
     "constraint_report",
@@ -50,10 +52,13 @@ def load_raw(spark: SparkSession, source: str, layer: Layer) -> None:
 
     Text is fitted to its declared width here, so that later filters on it reach the scans.
     """
-    for spec in RAW:
+
+    def load(spec: TableSpec) -> None:
         df = read_raw(spark, spec, f"{source.rstrip('/')}/{spec.source}")
         layer.write(fit_all(drop_incomplete(df, spec), spec), spec)
 
+    run_all(partial(load, spec) for spec in RAW)
+
 
 def load_clean(
     spark: SparkSession, layers: Layers, on_violation: str = "fail", mode: str = "overwrite"
@@ -64,22 +69,21 @@ def load_clean(
     stops the run there; with ``"report"`` the tables are written all the same. ``mode="append"``
     is for empty tables that already exist, such as keyed tables of a database.
     """
-    tables = clean_tables({spec.name: layers.raw.read(spark, spec) for spec in RAW}, keep)
+    tables = clean_tables({spec.name: layers.raw.read(spark, spec) for spec in RAW}, keep_all)
     report = keep(constraint_report(tables, CLEAN), "constraint-report")
     # One row per declared constraint at most, so fetching the broken ones is bounded.
     broken = report.filter(F.col("violations") > 0).collect() if on_violation == "fail" else []
     if broken:
         raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
-    for spec in parents_first():
-        layers.clean.write(tables[spec.name], spec, mode)
+    for group in parents_first():
+        run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
     return report
 
 
 def load_marts(spark: SparkSession, layers: Layers, delivered: str = DELIVERED) -> None:
     """Clean layer to marts, each replaced, so a second run gives the same tables."""
     marts = all_marts({spec.name: layers.clean.read(spark, spec) for spec in CLEAN}, delivered, keep)
-    for spec in MARTS:
-        layers.marts.write(marts[spec.name], spec)
+    run_all(partial(layers.marts.write, marts[spec.name], spec) for spec in MARTS)
 
 
 def refresh(

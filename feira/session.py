@@ -17,6 +17,12 @@ SETTINGS = {
 }
 
 
+def tune(spark: SparkSession) -> None:
+    """The settings above on a session that came from elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feira.sources.parallel import run_all
+
 _local_folder: str | None = None
 
 
@@ -36,3 +40,8 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def keep_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """`keep` on frames that do not depend on each other, by label."""
+    return dict(zip(frames, run_all(partial(keep, df, label) for label, df in frames.items())))

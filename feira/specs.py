@@ -49,6 +49,8 @@ class TableSpec:
     multiline: bool = False
     required: tuple[str, ...] = ()
     sorted_by: tuple[str, ...] = ()
+    # Only where the primary key bounds the rows per value, so that no bucket can grow hot.
+    bucketed_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> StructType:
@@ -118,6 +120,7 @@ CUSTOMERS = TableSpec(
     primary_key=("customer_id",),
     foreign_keys=(_zip_reference("customer_zip_code_prefix", "customer_city", "customer_state"),),
     source="customers_dataset.csv",
+    bucketed_by=("customer_id",),
 )
 GEOLOCATION = TableSpec(
     "geolocation",
@@ -148,6 +151,7 @@ ORDER_ITEMS = TableSpec(
         _same_name("seller_id", "sellers"),
     ),
     source="order_items_dataset.csv",
+    bucketed_by=("order_id",),
 )
 ORDER_PAYMENTS = TableSpec(
     "order_payments",
@@ -161,6 +165,7 @@ ORDER_PAYMENTS = TableSpec(
     primary_key=("order_id", "payment_sequential"),
     foreign_keys=(_same_name("order_id", "orders"),),
     source="order_payments_dataset.csv",
+    bucketed_by=("order_id",),
 )
 ORDER_REVIEWS = TableSpec(
     "order_reviews",
@@ -195,6 +200,7 @@ ORDERS = TableSpec(
     foreign_keys=(_same_name("customer_id", "customers"),),
     source="orders_dataset.csv",
     sorted_by=("order_purchase_timestamp",),
+    bucketed_by=("order_id",),
 )
 TRANSLATION = TableSpec(
     "product_category_name_translation",
@@ -221,6 +227,7 @@ PRODUCTS = TableSpec(
     primary_key=("product_id",),
     foreign_keys=(_same_name("product_category_name", "product_category_name_translation"),),
     source="products_dataset.csv",
+    bucketed_by=("product_id",),
 )
 SELLERS = TableSpec(
     "sellers",
@@ -233,6 +240,7 @@ SELLERS = TableSpec(
     primary_key=("seller_id",),
     foreign_keys=(_zip_reference("seller_zip_code_prefix", "seller_city", "seller_state"),),
     source="sellers_dataset.csv",
+    bucketed_by=("seller_id",),
 )
 ZIP = TableSpec(
     "zip",
@@ -296,8 +304,16 @@ RAW = (
 CLEAN = tuple(CLEAN_GEOLOCATION if spec is GEOLOCATION else spec for spec in RAW) + (ZIP,)
 
 
-def parents_first(specs: tuple[TableSpec, ...] = CLEAN) -> list[TableSpec]:
-    """The tables in an order in which every reference is loaded before the rows that use it."""
+def parents_first(specs: tuple[TableSpec, ...] = CLEAN) -> list[list[TableSpec]]:
+    """The tables in groups to be loaded in turn: no table refers to its own or a later group."""
     by_name = {spec.name: spec for spec in specs}
-    needs = {spec.name: sorted({fk.parent for fk in spec.foreign_keys}) for spec in specs}
-    return [by_name[name] for name in TopologicalSorter(needs).static_order()]
+    sorter = TopologicalSorter(
+        {spec.name: [fk.parent for fk in spec.foreign_keys] for spec in specs}
+    )
+    sorter.prepare()
+    groups = []
+    while sorter.is_active():
+        names = sorter.get_ready()
+        groups.append([by_name[name] for name in sorted(names)])
+        sorter.done(*names)
+    return groups

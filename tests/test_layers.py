@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import pytest
 
-from feira.sources.layers import JdbcLayer, ParquetLayer, RangeSplit, prefix_conditions
+from feira.plans.marts import order_sales
+from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer, RangeSplit, prefix_conditions
 from feira.sources.scratch import keep, shared_folder
 from feira.specs import CLEAN_GEOLOCATION, ORDER_ITEMS, ORDERS, SELLERS
 
@@ -40,6 +41,35 @@ def test_value_that_does_not_fit_stops_the_write(spark, tmp_path):
         ParquetLayer(str(tmp_path)).write(df, ORDER_ITEMS)
 
 
+def test_bucketed_tables_join_by_key_without_a_shuffle(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    layer = CatalogLayer("shop", "clean_", buckets=4)
+    bought = "timestamp_ntz'2018-05-01'"
+    orders = spark.range(400).selectExpr(
+        "cast(id AS string) AS order_id", "cast(id % 30 AS string) AS customer_id",
+        "if(id % 4 = 0, 'shipped', 'delivered') AS order_status", f"{bought} AS order_purchase_timestamp",
+        *[f"cast(NULL AS timestamp_ntz) AS {c}" for c in ORDERS.names[4:]],
+    )
+    items = spark.range(2000).selectExpr(
+        "cast(id % 500 AS string) AS order_id", "cast(id / 500 AS tinyint) AS order_item_id",
+        "'p' AS product_id", "'s' AS seller_id", f"{bought} AS shipping_limit_date",
+        "cast(id AS decimal(10,2)) AS price", "0 AS freight_value",
+    )
+    for _ in range(2):
+        layer.write(orders, ORDERS)
+        layer.write(items, ORDER_ITEMS)
+    plain = order_sales(orders, items)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = order_sales(layer.read(spark, ORDERS), layer.read(spark, ORDER_ITEMS))
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan.split("Subquery")[0]
+        assert plan.count("hashpartitioning") == 0
+        assert values(stored) == values(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kept_table_is_in_the_shared_folder(spark):
     kept = keep(spark.range(5), "five")
     assert values(kept) == [(i,) for i in range(5)]
