@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feira.specs import TableSpec
 
@@ -71,10 +72,16 @@ class RangeSplit:
 
 @dataclass(frozen=True)
 class JdbcLayer:
-    """Tables of a database; `options` carries user, password and driver."""
+    """Tables of a database; `options` carries user, password and driver.
+
+    With `declared_types`, tables that do not exist yet are created with the declared column types,
+    and the blanks a database adds to CHAR values are taken off on reading. Without it they get
+    Spark's own types, which take text of any width: right for raw tables.
+    """
 
     url: str
     prefix: str = ""
+    declared_types: bool = False
     options: dict[str, str] = field(default_factory=dict, repr=False)
     fetch_rows: int = 10_000
     batch_rows: int = 10_000
@@ -108,19 +115,22 @@ class JdbcLayer:
     ) -> DataFrame:
         """The whole table; `split` is a column range or a list of disjoint WHERE conditions."""
         if split is None or isinstance(split, RangeSplit):
-            return spark.read.format("jdbc").options(**self.read_options(spec, split)).load()
-        properties = self.read_options(spec)
-        url, table = properties.pop("url"), properties.pop("dbtable")
-        return spark.read.jdbc(url, table, predicates=list(split), properties=properties)
+            df = spark.read.format("jdbc").options(**self.read_options(spec, split)).load()
+        else:
+            properties = self.read_options(spec)
+            url, table = properties.pop("url"), properties.pop("dbtable")
+            df = spark.read.jdbc(url, table, predicates=list(split), properties=properties)
+        return unpad(df, spec) if self.declared_types else df
 
     def write_options(self, spec: TableSpec, mode: str) -> dict[str, str]:
         chosen = {
             "url": self.url,
             "dbtable": self.table(spec),
             "batchsize": str(self.batch_rows),
-            "createTableColumnTypes": spec.column_types,
             **self.options,
         }
+        if self.declared_types:
+            chosen["createTableColumnTypes"] = spec.column_types
         if self.writers is not None:
             chosen["numPartitions"] = str(self.writers)
         if mode == "overwrite":
@@ -142,6 +152,12 @@ def prefix_conditions(column: str, marks: Sequence[str] = "123456789abcdef") ->
     return [first, *middle, f"{column} >= '{marks[-1]}'"]
 
 
+def unpad(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """CHAR columns without the blanks that fill them up to their width."""
+    padded = [c.name for c in spec.columns if c.sql_type.startswith("CHAR(")]
+    return df.withColumns({name: F.rtrim(df[name]) for name in padded})
+
+
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The declared columns in declared order and type."""
     return df.select(*[df[c.name].cast(c.type).alias(c.name) for c in spec.columns])

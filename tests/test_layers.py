@@ -1,11 +1,19 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql.types import StructType
 
 from feira.plans.marts import order_sales
-from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer, RangeSplit, prefix_conditions
+from feira.sources.layers import (
+    CatalogLayer,
+    JdbcLayer,
+    ParquetLayer,
+    RangeSplit,
+    prefix_conditions,
+    unpad,
+)
 from feira.sources.scratch import keep, shared_folder
-from feira.specs import CLEAN_GEOLOCATION, ORDER_ITEMS, ORDERS, SELLERS
+from feira.specs import CLEAN, CLEAN_GEOLOCATION, MARTS, ORDER_ITEMS, ORDERS, SELLERS
 
 from conftest import values
 
@@ -80,7 +88,7 @@ def test_kept_table_is_in_the_shared_folder(spark):
 
 
 def test_jdbc_read_options():
-    layer = JdbcLayer("jdbc:x", "raw_", {"user": "u", "driver": "d"})
+    layer = JdbcLayer("jdbc:x", "raw_", options={"user": "u", "driver": "d"})
     whole = layer.read_options(ORDERS)
     assert whole["dbtable"] == "raw_orders" and whole["user"] == "u" and "partitionColumn" not in whole
     split = RangeSplit("order_purchase_timestamp", "2016-01-01", "2019-01-01", 36)
@@ -93,7 +101,7 @@ def test_jdbc_read_options():
 
 
 def test_jdbc_write_options():
-    layer = JdbcLayer("jdbc:x", "clean_", {"password": "secret"}, writers=4)
+    layer = JdbcLayer("jdbc:x", "clean_", declared_types=True, options={"password": "secret"}, writers=4)
     options = layer.write_options(CLEAN_GEOLOCATION, "overwrite")
     assert options["truncate"] == "true" and options["numPartitions"] == "4"
     assert options["createTableColumnTypes"] == (
@@ -101,9 +109,20 @@ def test_jdbc_write_options():
         "geolocation_lng DOUBLE, geolocation_city VARCHAR(40), geolocation_state CHAR(2)"
     )
     assert "truncate" not in layer.write_options(CLEAN_GEOLOCATION, "append")
+    assert "createTableColumnTypes" not in JdbcLayer("jdbc:x", "raw_").write_options(ORDERS, "overwrite")
     assert "secret" not in repr(layer)
 
 
+@pytest.mark.parametrize("spec", CLEAN + MARTS, ids=lambda spec: spec.name)
+def test_declared_types_are_known_to_spark(spark, spec):
+    assert StructType.fromDDL(spec.column_types).names == spec.names
+
+
+def test_padded_keys_are_unpadded(rows):
+    padded = rows(FIELDS, ("a" + " " * 31, "01   ", "x  ", "SP"), (None, None, None, None))
+    assert values(unpad(padded, SELLERS)) == [("a", "01", "x  ", "SP"), (None, None, None, None)]
+
+
 def test_prefix_conditions_take_every_row_once(spark):
     ids = spark.range(500).selectExpr("if(id % 50 = 0, NULL, sha1(cast(id AS string))) AS k")
     ids = ids.union(spark.sql("SELECT * FROM VALUES (''), ('Z'), ('zz'), ('0'), ('f') AS t(k)"))
