@@ -83,8 +83,8 @@ SELECT product_category, total_sales, average_rating, "rank" FROM (
 
 TRANSLATED = f"CASE WHEN p_brand NOT IN ({NO_ENGLISH}) THEN p_brand END"
 
-ORDER_COLUMNS = """o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
-    o_orderdate AS order_purchase_timestamp"""
+ORDER_COLUMNS = """o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+    o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp"""
 EVENT_ORDER = "CAST(floor(event_id / 2.0) AS BIGINT)"
 REFERENCED_ORDERS = f"""SELECT l_orderkey AS k FROM lineitem
     UNION SELECT {EVENT_ORDER} FROM events"""
@@ -303,7 +303,8 @@ ORACLE = {
         WHERE k NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
     "c1_backfill_products": """
         SELECT p_partkey AS product_id, p_brand AS product_category_name,
-            length(p_name) AS product_name_lenght, p_size AS product_weight_g
+            CAST(length(p_name) AS DOUBLE) AS product_name_lenght,
+            CAST(p_size AS DOUBLE) AS product_weight_g
         FROM part WHERE p_type <> 'ECONOMY'
         UNION ALL SELECT DISTINCT l_partkey, NULL, NULL, NULL FROM lineitem
         WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY')""",

@@ -193,7 +193,11 @@ def c1_backfill_orders(star: Star) -> DataFrame:
     children = (star.order_items(), star.order_payments(), star.order_reviews())
     users = [(child, ["order_id"]) for child in children]
     return backfill(star.closed(star.orders()), ["order_id"], users).select(
-        "order_id", "customer_id", "order_status", PURCHASED, "order_estimated_delivery_date"
+        "order_id",
+        F.col("customer_id").cast("string").alias("customer_id"),
+        "order_status",
+        PURCHASED,
+        "order_estimated_delivery_date",
     )
 
 
@@ -203,8 +207,8 @@ def c1_backfill_products(star: Star) -> DataFrame:
     return backfill(star.listed_products(), ["product_id"], users).select(
         "product_id",
         "product_category_name",
-        F.col("product_name_lenght").cast("bigint").alias("product_name_lenght"),
-        "product_weight_g",
+        F.col("product_name_lenght").cast("double").alias("product_name_lenght"),
+        F.col("product_weight_g").cast("double").alias("product_weight_g"),
     )
 
 

@@ -24,7 +24,8 @@ def engine():
 
 def by_name(columns, found):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    picked = sorted((tuple(row[i] for i in order) for row in found), key=repr)
+    # As text, so that 1 and 1.0 differ.
+    picked = sorted(repr(tuple(row[i] for i in order)) for row in found)
     return [columns[i] for i in order], picked
 
 
