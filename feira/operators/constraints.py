@@ -75,19 +75,25 @@ def column_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _lines(counts, {name: (spec.name, kind) for name, (_, kind) in tests.items()})
 
 
-def key_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
+def key_copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The distinct complete keys with their number of rows."""
+    return df.filter(complete(key)).groupBy(*key).agg(F.count("*").alias("copies"))
+
+
+def key_lines(copies: DataFrame, spec: TableSpec) -> DataFrame:
     """Complete keys of one table that several rows hold."""
     name = f"{spec.name}_key_unique"
-    copies = df.filter(complete(spec.primary_key)).groupBy(*spec.primary_key).count()
-    return _lines(copies.selectExpr(f"count_if(count > 1) AS {name}"), {name: (spec.name, "primary_key")})
+    return _lines(copies.selectExpr(f"count_if(copies > 1) AS {name}"), {name: (spec.name, "primary_key")})
 
 
 def reference_lines(
-    parent: DataFrame, tables: Mapping[str, DataFrame], users: Sequence[tuple[TableSpec, ForeignKey]]
+    parent_keys: DataFrame,
+    tables: Mapping[str, DataFrame],
+    users: Sequence[tuple[TableSpec, ForeignKey]],
 ) -> DataFrame:
-    """Child rows without a parent row, for all references to one parent.
+    """Child rows without a parent row, for all references to one parent's `key_copies`.
 
-    The children are counted per key together, so the parent is read and joined once.
+    The children are counted per key together, so the parent is joined once.
     """
     key = users[0][1].parent_columns
     names = {f"{spec.name}_{fk.parent}_reference": (spec, fk) for spec, fk in users}
@@ -99,7 +105,8 @@ def reference_lines(
     ]
     counts = [F.expr(f"count_if(reference = '{name}') AS {name}") for name in names]
     per_key = reduce(DataFrame.unionByName, used).groupBy(*key).agg(*counts)
-    known = parent.select(*key).filter(complete(key)).distinct()
+    # The test on the count keeps the aggregate as the uniqueness check has it, so both share a shuffle.
+    known = parent_keys.filter("copies > 0").select(*key)
     lost = per_key.join(known, list(key), "left_anti")
     totals = lost.selectExpr(*[f"sum({name}) AS {name}" for name in names])
     return _lines(totals, {name: (spec.name, "foreign_key") for name, (spec, _) in names.items()})
@@ -107,11 +114,12 @@ def reference_lines(
 
 def constraint_report(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFrame:
     """(table_name, constraint_name, kind, violations) for every declared constraint."""
+    copies = {spec.name: key_copies(tables[spec.name], spec.primary_key) for spec in specs}
     users: dict[str, list[tuple[TableSpec, ForeignKey]]] = {}
     lines = []
     for spec in specs:
-        lines += [column_lines(tables[spec.name], spec), key_lines(tables[spec.name], spec)]
+        lines += [column_lines(tables[spec.name], spec), key_lines(copies[spec.name], spec)]
         for fk in spec.foreign_keys:
             users.setdefault(fk.parent, []).append((spec, fk))
-    lines += [reference_lines(tables[parent], tables, group) for parent, group in users.items()]
+    lines += [reference_lines(copies[parent], tables, group) for parent, group in users.items()]
     return reduce(DataFrame.unionByName, lines)

@@ -296,6 +296,10 @@ ORACLE = {
     "m8_top_categories": f"SELECT * EXCLUDE (\"rank\") FROM ({categories('p_brand')})",
     "m8_untranslated_group": f"SELECT * EXCLUDE (\"rank\") FROM ({categories(TRANSLATED)})",
     "w1_category_rank": categories("p_brand"),
+    "s4_sql_on_tables": f"""
+        SELECT o_orderstatus AS order_status, count(DISTINCT o_orderkey) AS orders,
+            CAST(sum({PRICE}) AS DOUBLE) AS total_sales
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE {WINDOW} GROUP BY o_orderstatus""",
     "c1_backfill_orders": f"""
         SELECT {ORDER_COLUMNS}, o_orderdate + INTERVAL 45 DAY AS order_estimated_delivery_date
         FROM orders WHERE o_orderstatus <> 'P'

@@ -185,6 +185,27 @@ def w1_category_rank(star: Star) -> DataFrame:
     return _plain(ranked).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query
+def s4_sql_on_tables(star: Star) -> DataFrame:
+    """Orders and sales per status of the window, as SQL over the same frames."""
+    return star.spark.sql(
+        """
+        WITH recent AS (
+            SELECT order_id, order_status FROM {orders}
+            WHERE order_purchase_timestamp >=
+                (SELECT max(order_purchase_timestamp) FROM {orders}) - INTERVAL '6' MONTH
+        ), sales AS (
+            SELECT order_id, sum(price) AS sales FROM {items} GROUP BY order_id
+        )
+        SELECT order_status, count(*) AS orders, cast(sum(sales) AS double) AS total_sales
+        FROM recent JOIN sales USING (order_id)
+        GROUP BY order_status ORDER BY total_sales DESC
+        """,
+        orders=star.orders(),
+        items=star.order_items(),
+    )
+
+
 # --- clean tables
 
 

@@ -18,9 +18,17 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> None:
-    """The settings above on a session that came from elsewhere."""
+    """The settings above on a running session, as far as they can still be changed."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
+def configured(builder: SparkSession.Builder, settings: dict[str, str] | None = None) -> SparkSession.Builder:
+    """The settings above, and those given, on a session yet to be made."""
+    for key, value in {**SETTINGS, **(settings or {})}.items():
+        builder = builder.config(key, value)
+    return builder
 
 
 def local_session(
@@ -37,8 +45,6 @@ def local_session(
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in {**SETTINGS, **(settings or {})}.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = configured(builder, settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

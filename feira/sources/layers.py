@@ -142,6 +142,17 @@ class JdbcLayer:
         conform(df, spec).write.format("jdbc").options(**options).mode(mode).save()
 
 
+def create_views(
+    spark: SparkSession,
+    layer: ParquetLayer | CatalogLayer | JdbcLayer,
+    specs: Sequence[TableSpec],
+    prefix: str,
+) -> None:
+    """The tables of a layer as temporary views, for `spark.sql`."""
+    for spec in specs:
+        layer.read(spark, spec).createOrReplaceTempView(f"{prefix}{spec.name}")
+
+
 def prefix_conditions(column: str, marks: Sequence[str] = "123456789abcdef") -> list[str]:
     """Disjoint WHERE conditions on a text key that cover every value, NULL included.
 

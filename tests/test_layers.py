@@ -78,6 +78,22 @@ def test_bucketed_tables_join_by_key_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+class Session:
+    """As much of a session as `shared_folder` reads."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_shared_folder_comes_from_the_session():
+    named = Session(spark_checkpoint_dir="s3a://shared/checkpoints/", spark_master="yarn")
+    assert shared_folder(named) == "s3a://shared/checkpoints"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(spark_master="yarn"))
+    local = Session(spark_master="local[4]")
+    assert shared_folder(local) == shared_folder(local) != ""
+
+
 def test_kept_table_is_in_the_shared_folder(spark):
     kept = keep(spark.range(5), "five")
     assert values(kept) == [(i,) for i in range(5)]

@@ -97,6 +97,13 @@ def test_three_children_read_the_parent_twice(spark):
     assert "IsNotNull(l_orderkey)" in formatted(found)
 
 
+def test_key_checks_and_reference_checks_share_the_parents_shuffle(spark):
+    with settings(spark, NO_BROADCAST):
+        text = final_plan(contract.queries()["c3_constraint_report"](spark, FOLDER))
+    # orders, customers, products, sellers, category names and zip are parents
+    assert text.count("ReusedExchange") >= 6
+
+
 def test_rank_is_cut_before_the_window(spark):
     assert "TakeOrderedAndProject(limit=10" in plan(contract.queries()["m8_top_categories"](spark, FOLDER))
 
