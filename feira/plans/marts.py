@@ -1,9 +1,9 @@
 """The eight result tables over the clean tables.
 
 Every mart reports on the trailing window of `recent`. Four of them count orders and share one
-aggregate row (`scorecard`); three sum the sales of delivered orders and share one row per order
-(`order_sales`). Spark prunes the aggregates a single mart does not use, so each can also be run
-alone.
+aggregate row (`scorecard`); the other four share the items sold in the window (`sold_items`), so the
+largest table is joined once, and three of these the sales per order (`order_sales`). Spark prunes what
+a single mart does not use, so each can also be run alone.
 """
 
 from __future__ import annotations
@@ -76,20 +76,31 @@ def delivered_orders(
     return recent(orders, start).filter(F.col("order_status") == delivered)
 
 
-def order_sales(
+def own_stage(df: DataFrame, label: str) -> DataFrame:
+    """Ends the stage that computes `df`, in place of storing it under `label`.
+
+    AQE splits a hot key only where both join inputs come straight from a shuffle and the result
+    need not stay grouped by it. Ending a stage before and after such a join sees to both, and shows
+    the real size of the input, so that a small one is broadcast.
+    """
+    return df.hint("rebalance")
+
+
+def sold_items(
     orders: DataFrame,
     items: DataFrame,
     start: Column | None = None,
     delivered: str = DELIVERED,
+    keep=own_stage,
 ) -> DataFrame:
-    """(order_id, customer_id, sales) of delivered orders with items; freight is not included.
-
-    Items are summed per order before the join, so an order with very many items is one row in it.
-    The join needs no further shuffle of that side.
-    """
-    per_order = items.groupBy("order_id").agg(F.sum("price").cast(MONEY_SUM).alias("sales"))
+    """Items of delivered orders in the window with the order's customer; no freight."""
     sold = delivered_orders(orders, start, delivered).select("order_id", "customer_id")
-    return sold.join(per_order, "order_id")
+    return keep(items.select("order_id", "product_id", "price").join(sold, "order_id"), "sold-items")
+
+
+def order_sales(sold: DataFrame) -> DataFrame:
+    """(order_id, customer_id, sales) per order with items, summed inside the input tasks first."""
+    return sold.groupBy("order_id", "customer_id").agg(F.sum("price").cast(MONEY_SUM).alias("sales"))
 
 
 def total_sales_of_delivered_order(sales: DataFrame) -> DataFrame:
@@ -117,37 +128,34 @@ def total_sales_of_delivered_order_per_state(sales: DataFrame, customers: DataFr
     return named.orderBy(F.col("total_sales").desc_nulls_first())
 
 
-def category_sales(
+def review_scores(
     orders: DataFrame,
-    items: DataFrame,
     reviews: DataFrame,
-    products: DataFrame,
-    translation: DataFrame,
     start: Column | None = None,
     delivered: str = DELIVERED,
-    keep=lambda df, label: df.hint("rebalance"),
+    keep=own_stage,
 ) -> DataFrame:
-    """Sales and mean review score by English category name.
-
-    Each item counts once per review of its order: its price is added that many times, and an order
-    without reviews is left out. Instead of pairing items with reviews, the reviews are reduced to
-    their number and score sum per order and multiplied in, which gives the same sums. Categories
-    without an English name form one group.
-
-    `keep(df, label)` ends the stage that reduces the reviews. AQE splits a hot key only where both
-    join inputs come straight from a shuffle, and one order may own many of the items; ending the
-    stage also shows the real size of that side, so that a small one is broadcast.
-    """
-    reviewed = reviews.groupBy("order_id").agg(
+    """Number of reviews, score sum and number of scores per delivered order with reviews."""
+    per_order = reviews.groupBy("order_id").agg(
         F.count("*").alias("reviews"),
         F.sum(F.col("review_score").cast("bigint")).alias("score_sum"),
         F.count("review_score").alias("scores"),
     )
-    sold = delivered_orders(orders, start, delivered).select("order_id").join(reviewed, "order_id")
-    sold = keep(sold, "reviewed-orders")
+    sold = delivered_orders(orders, start, delivered).select("order_id")
+    return keep(sold.join(per_order, "order_id"), "review-scores")
+
+
+def category_sales(
+    sold: DataFrame, scores: DataFrame, products: DataFrame, translation: DataFrame
+) -> DataFrame:
+    """Sales and mean review score by English category name.
+
+    Each item counts once per review of its order: its price is added that many times, and an order
+    without reviews is left out. Items and reviews are not paired for it: multiplying by the number
+    of reviews gives the same sums. Categories without an English name form one group.
+    """
     per_product = (
-        items.select("order_id", "product_id", "price")
-        .join(sold, "order_id")
+        sold.join(scores, "order_id")
         .groupBy("product_id")
         .agg(
             F.sum(F.col("price") * F.col("reviews")).alias("sales"),
@@ -191,16 +199,11 @@ def all_marts(
     orders, items = clean["orders"], clean["order_items"]
     start = keep(window_start(orders), "window-start").scalar()
     card = keep(scorecard(orders, start, delivered), "scorecard")
-    sales = keep(order_sales(orders, items, start, delivered), "order-sales")
+    sold = sold_items(orders, items, start, delivered, keep)
+    sales = keep(order_sales(sold), "order-sales")
+    scores = review_scores(orders, clean["order_reviews"], start, delivered, keep)
     categories = category_sales(
-        orders,
-        items,
-        clean["order_reviews"],
-        clean["products"],
-        clean["product_category_name_translation"],
-        start,
-        delivered,
-        keep,
+        sold, scores, clean["products"], clean["product_category_name_translation"]
     )
     return {
         "total_order": total_order(card),

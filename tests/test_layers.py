@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql.types import StructType
 
-from feira.plans.marts import order_sales
+from feira.plans.marts import order_sales, sold_items
 from feira.sources.layers import (
     CatalogLayer,
     JdbcLayer,
@@ -66,10 +66,14 @@ def test_bucketed_tables_join_by_key_without_a_shuffle(spark):
     for _ in range(2):
         layer.write(orders, ORDERS)
         layer.write(items, ORDER_ITEMS)
-    plain = order_sales(orders, items)
+
+    def sales(orders, items):
+        return order_sales(sold_items(orders, items, keep=lambda df, label: df))
+
+    plain = sales(orders, items)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        stored = order_sales(layer.read(spark, ORDERS), layer.read(spark, ORDER_ITEMS))
+        stored = sales(layer.read(spark, ORDERS), layer.read(spark, ORDER_ITEMS))
         plan = stored._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan.split("Subquery")[0]
         assert plan.count("hashpartitioning") == 0

@@ -102,10 +102,10 @@ def test_sales(rows, item):
         ("a", "p", "10.10"), ("a", "q", "0.20"), ("b", "p", "5.00"), ("b", "q", None),
         ("without prices", "p", None), ("x", "p", "99.00"), ("old", "p", "99.00"), (None, "p", "1.00"),
     )
-    sales = marts.order_sales(df, items)
+    sales = marts.order_sales(marts.sold_items(df, items))
     assert values(marts.total_sales_of_delivered_order(sales)) == [(Decimal("15.30"),)]
     assert values(marts.average_sales_of_delivered_order(sales)) == [(Decimal("7.650000"),)]
-    none = marts.order_sales(df, items, delivered="lost")
+    none = marts.order_sales(marts.sold_items(df, items, delivered="lost"))
     assert values(marts.total_sales_of_delivered_order(none)) == [(None,)]
     assert values(marts.average_sales_of_delivered_order(none)) == [(None,)]
 
@@ -124,7 +124,8 @@ def test_states(rows, item):
         "customer_id string, customer_state string",
         ("sp", "SP"), ("stub", None), ("odd", "ZZ"), ("unused", "RJ"), ("ac", "AC"),
     )
-    found = marts.total_sales_of_delivered_order_per_state(marts.order_sales(df, items), customers)
+    sales = marts.order_sales(marts.sold_items(df, items))
+    found = marts.total_sales_of_delivered_order_per_state(sales, customers)
     assert [tuple(r) for r in found.collect()] == [
         ("AC", None, "ACRE"),
         (None, Decimal("7.00"), None),
@@ -138,13 +139,18 @@ CATALOGUE = "product_id string, product_category_name string"
 NAMES = "product_category_name string, product_category_name_english string"
 
 
+def categories(orders, items, reviews, products, names):
+    sold, scores = marts.sold_items(orders, items), marts.review_scores(orders, reviews)
+    return marts.category_sales(sold, scores, products, names)
+
+
 def test_each_item_counts_once_per_review(rows, item):
     df = rows(ORDERS, order("two"), order("one"), order("none"))
     items = item(("two", "p", "10.00"), ("two", "q", "1.00"), ("one", "p", "4.00"), ("none", "p", "99.00"))
     reviews = rows(REVIEWS, ("two", 5), ("two", None), ("one", 2))
     products = rows(CATALOGUE, ("p", "x"), ("q", "y"))
     names = rows(NAMES, ("x", "X"), ("y", None))
-    found = marts.category_sales(df, items, reviews, products, names)
+    found = categories(df, items, reviews, products, names)
     assert values(found) == [("X", Decimal("24.00"), 3.5), (None, Decimal("2.00"), 5.0)]
 
 
@@ -153,7 +159,7 @@ def test_untranslated_categories_are_one_group(rows, item):
     items = item(("a", "p", "1.00"), ("a", "q", "2.00"), ("a", "r", "4.00"), ("a", "loose", "8.00"))
     products = rows(CATALOGUE, ("p", "x"), ("q", "y"), ("r", "z"), ("loose", None))
     names = rows(NAMES, ("x", None), ("y", None), ("z", "Z"))
-    found = marts.category_sales(df, items, rows(REVIEWS, ("a", None)), products, names)
+    found = categories(df, items, rows(REVIEWS, ("a", None)), products, names)
     assert values(found) == [("Z", Decimal("4.00"), None), (None, Decimal("3.00"), None)]
 
 
