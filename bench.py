@@ -29,7 +29,7 @@ def seconds(spark, job, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores, shuffle_partitions=int(cores))
+    spark = local_session(cores, shuffle_partitions=int(cores), memory="12g")
     for name in HEADLINE:
         seconds(spark, QUERIES[name], folder)
     times = {name: round(seconds(spark, QUERIES[name], folder), 3) for name in HEADLINE}

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Call sites are kept for every column expression by default, which doubles planning time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The default keeps 100 compiled stages, fewer than the jobs of one session have.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
