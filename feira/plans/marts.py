@@ -1,9 +1,9 @@
 """The eight result tables over the clean tables.
 
 Every mart reports on the trailing window of `recent`. Four of them count orders and share one
-aggregate row (`scorecard`); the other four share the items sold in the window (`sold_items`), so the
-largest table is joined once, and three of these the sales per order (`order_sales`). Spark prunes what
-a single mart does not use, so each can also be run alone.
+aggregate row (`scorecard`); the other four work on items, three of these on the sales per order
+(`order_sales`). Each can be run alone: Spark prunes what it does not use. Run together, they share the
+items sold in the window (`sold_items`), so the largest table is shuffled once.
 """
 
 from __future__ import annotations
@@ -79,28 +79,34 @@ def delivered_orders(
 def own_stage(df: DataFrame, label: str) -> DataFrame:
     """Ends the stage that computes `df`, in place of storing it under `label`.
 
-    AQE splits a hot key only where both join inputs come straight from a shuffle and the result
-    need not stay grouped by it. Ending a stage before and after such a join sees to both, and shows
-    the real size of the input, so that a small one is broadcast.
+    AQE splits a hot key only where both join inputs come straight from a shuffle. Ending the stage
+    before such a join sees to that, and shows the real size of the input, so that a small one is
+    broadcast.
     """
     return df.hint("rebalance")
 
 
 def sold_items(
-    orders: DataFrame,
-    items: DataFrame,
-    start: Column | None = None,
-    delivered: str = DELIVERED,
-    keep=own_stage,
+    orders: DataFrame, items: DataFrame, start: Column | None = None, delivered: str = DELIVERED
 ) -> DataFrame:
-    """Items of delivered orders in the window with the order's customer; no freight."""
-    sold = delivered_orders(orders, start, delivered).select("order_id", "customer_id")
-    return keep(items.select("order_id", "product_id", "price").join(sold, "order_id"), "sold-items")
+    """(order_id, product_id, price) of the items of delivered orders in the window.
+
+    Worth storing where several marts follow: each of them takes these in place of all items.
+    """
+    sold = delivered_orders(orders, start, delivered).select("order_id")
+    return items.select("order_id", "product_id", "price").join(sold, "order_id")
+
 
+def order_sales(
+    orders: DataFrame, items: DataFrame, start: Column | None = None, delivered: str = DELIVERED
+) -> DataFrame:
+    """(order_id, customer_id, sales) of delivered orders with items; freight is not included.
 
-def order_sales(sold: DataFrame) -> DataFrame:
-    """(order_id, customer_id, sales) per order with items, summed inside the input tasks first."""
-    return sold.groupBy("order_id", "customer_id").agg(F.sum("price").cast(MONEY_SUM).alias("sales"))
+    Items are summed per order before the join, so an order with very many items is one row in it.
+    """
+    per_order = items.groupBy("order_id").agg(F.sum("price").cast(MONEY_SUM).alias("sales"))
+    sold = delivered_orders(orders, start, delivered).select("order_id", "customer_id")
+    return sold.join(per_order, "order_id")
 
 
 def total_sales_of_delivered_order(sales: DataFrame) -> DataFrame:
@@ -146,16 +152,17 @@ def review_scores(
 
 
 def category_sales(
-    sold: DataFrame, scores: DataFrame, products: DataFrame, translation: DataFrame
+    items: DataFrame, scores: DataFrame, products: DataFrame, translation: DataFrame
 ) -> DataFrame:
-    """Sales and mean review score by English category name.
+    """Sales and mean review score by English category name, for the orders that have `scores`.
 
     Each item counts once per review of its order: its price is added that many times, and an order
     without reviews is left out. Items and reviews are not paired for it: multiplying by the number
     of reviews gives the same sums. Categories without an English name form one group.
     """
     per_product = (
-        sold.join(scores, "order_id")
+        items.select("order_id", "product_id", "price")
+        .join(scores, "order_id")
         .groupBy("product_id")
         .agg(
             F.sum(F.col("price") * F.col("reviews")).alias("sales"),
@@ -199,8 +206,8 @@ def all_marts(
     orders, items = clean["orders"], clean["order_items"]
     start = keep(window_start(orders), "window-start").scalar()
     card = keep(scorecard(orders, start, delivered), "scorecard")
-    sold = sold_items(orders, items, start, delivered, keep)
-    sales = keep(order_sales(sold), "order-sales")
+    sold = keep(sold_items(orders, items, start, delivered), "sold-items")
+    sales = keep(order_sales(orders, sold, start, delivered), "order-sales")
     scores = review_scores(orders, clean["order_reviews"], start, delivered, keep)
     categories = category_sales(
         sold, scores, clean["products"], clean["product_category_name_translation"]

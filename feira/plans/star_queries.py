@@ -94,17 +94,13 @@ def _card(star: Star, orders: DataFrame) -> DataFrame:
     return marts.scorecard(orders, delivered=DELIVERED_STATUS)
 
 
-def _sold(star: Star) -> DataFrame:
-    return marts.sold_items(star.orders(), star.order_items(), delivered=DELIVERED_STATUS)
-
-
 def _sales(star: Star) -> DataFrame:
-    return marts.order_sales(_sold(star))
+    return marts.order_sales(star.orders(), star.order_items(), delivered=DELIVERED_STATUS)
 
 
 def _categories(star: Star, translation: DataFrame) -> DataFrame:
     scores = marts.review_scores(star.orders(), star.order_reviews(), delivered=DELIVERED_STATUS)
-    return marts.category_sales(_sold(star), scores, star.products(), translation)
+    return marts.category_sales(star.order_items(), scores, star.products(), translation)
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -102,10 +102,11 @@ def test_sales(rows, item):
         ("a", "p", "10.10"), ("a", "q", "0.20"), ("b", "p", "5.00"), ("b", "q", None),
         ("without prices", "p", None), ("x", "p", "99.00"), ("old", "p", "99.00"), (None, "p", "1.00"),
     )
-    sales = marts.order_sales(marts.sold_items(df, items))
+    sales = marts.order_sales(df, items)
     assert values(marts.total_sales_of_delivered_order(sales)) == [(Decimal("15.30"),)]
     assert values(marts.average_sales_of_delivered_order(sales)) == [(Decimal("7.650000"),)]
-    none = marts.order_sales(marts.sold_items(df, items, delivered="lost"))
+    assert values(marts.order_sales(df, marts.sold_items(df, items))) == values(sales)
+    none = marts.order_sales(df, items, delivered="lost")
     assert values(marts.total_sales_of_delivered_order(none)) == [(None,)]
     assert values(marts.average_sales_of_delivered_order(none)) == [(None,)]
 
@@ -124,7 +125,7 @@ def test_states(rows, item):
         "customer_id string, customer_state string",
         ("sp", "SP"), ("stub", None), ("odd", "ZZ"), ("unused", "RJ"), ("ac", "AC"),
     )
-    sales = marts.order_sales(marts.sold_items(df, items))
+    sales = marts.order_sales(df, items)
     found = marts.total_sales_of_delivered_order_per_state(sales, customers)
     assert [tuple(r) for r in found.collect()] == [
         ("AC", None, "ACRE"),
@@ -140,8 +141,11 @@ NAMES = "product_category_name string, product_category_name_english string"
 
 
 def categories(orders, items, reviews, products, names):
-    sold, scores = marts.sold_items(orders, items), marts.review_scores(orders, reviews)
-    return marts.category_sales(sold, scores, products, names)
+    scores = marts.review_scores(orders, reviews)
+    alone = marts.category_sales(items, scores, products, names)
+    shared = marts.category_sales(marts.sold_items(orders, items), scores, products, names)
+    assert values(alone) == values(shared)
+    return alone
 
 
 def test_each_item_counts_once_per_review(rows, item):
