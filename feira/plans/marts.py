@@ -18,7 +18,7 @@ from feira.functions.states import state_name
 from feira.functions.text import fit
 from feira.operators.recent import PURCHASED, recent, window_start
 from feira.sources.scratch import keep
-from feira.specs import MONEY_MEAN, MONEY_SUM
+from feira.specs import MONEY_MEAN, MONEY_SUM, PAIRED_COUNT, PAIRED_SUM
 
 # The status of a finished order, the row labels of the lateness table, the width of
 # the shipping time text, the length of the category table.
@@ -166,8 +166,8 @@ def category_sales(
         .groupBy("product_id")
         .agg(
             F.sum(F.col("price") * F.col("reviews")).alias("sales"),
-            F.sum("score_sum").alias("score_sum"),
-            F.sum("scores").alias("scores"),
+            F.sum(F.col("score_sum").cast(PAIRED_COUNT)).alias("score_sum"),
+            F.sum(F.col("scores").cast(PAIRED_COUNT)).alias("scores"),
         )
     )
     per_category = (
@@ -175,11 +175,11 @@ def category_sales(
         .groupBy("product_category_name")
         .agg(*[F.sum(c).alias(c) for c in ("sales", "score_sum", "scores")])
     )
-    rating = F.sum("score_sum").cast("double") / F.nullif(F.sum("scores"), F.lit(0))
+    rating = F.sum("score_sum").cast("double") / F.nullif(F.sum("scores").cast("double"), F.lit(0.0))
     return (
         per_category.join(translation, "product_category_name")
         .groupBy(F.col("product_category_name_english").alias("product_category"))
-        .agg(F.sum("sales").cast(MONEY_SUM).alias("total_sales"), rating.alias("average_rating"))
+        .agg(F.sum("sales").cast(PAIRED_SUM).alias("total_sales"), rating.alias("average_rating"))
     )
 
 

@@ -22,6 +22,9 @@ from pyspark.sql.types import (
 MONEY = DecimalType(10, 2)
 MONEY_SUM = DecimalType(20, 2)
 MONEY_MEAN = DecimalType(24, 6)
+# Sums over items and reviews of an order can exceed the other types where one order has many of both.
+PAIRED_SUM = DecimalType(38, 2)
+PAIRED_COUNT = DecimalType(20, 0)
 
 
 @dataclass(frozen=True)
@@ -286,7 +289,11 @@ MARTS = (
     TableSpec("order_delivery_lateness", (varchar("order_delivery", 10), _counted("count"))),
     TableSpec(
         "top_product_category_by_sales",
-        (varchar("product_category", 50), _summed("total_sales"), real("average_rating")),
+        (
+            varchar("product_category", 50),
+            Column("total_sales", PAIRED_SUM, PAIRED_SUM.simpleString().upper()),
+            real("average_rating"),
+        ),
     ),
 )
 

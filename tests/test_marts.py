@@ -158,6 +158,16 @@ def test_each_item_counts_once_per_review(rows, item):
     assert values(found) == [("X", Decimal("24.00"), 3.5), (None, Decimal("2.00"), 5.0)]
 
 
+def test_one_order_with_very_many_items_and_reviews_does_not_overflow(rows):
+    items = rows(ITEMS, ("a", "p", Decimal("99999999.99")), ("a", "q", Decimal("0.01")))
+    scores = rows(
+        "order_id string, reviews bigint, score_sum bigint, scores bigint", ("a", 4 * 10**18, 8 * 10**18, 4 * 10**18)
+    )
+    products = rows(CATALOGUE, ("p", "x"), ("q", "x"))
+    found = marts.category_sales(items, scores, products, rows(NAMES, ("x", "X")))
+    assert values(found) == [("X", Decimal(4 * 10**26), 2.0)]
+
+
 def test_untranslated_categories_are_one_group(rows, item):
     df = rows(ORDERS, order("a"))
     items = item(("a", "p", "1.00"), ("a", "q", "2.00"), ("a", "r", "4.00"), ("a", "loose", "8.00"))
