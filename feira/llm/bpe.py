@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2 as layout
 
-# A worker that remembers more pieces than this starts anew.
+# A task that remembers more pieces than this starts anew.
 REMEMBERED = 600_000
 # Pre-tokens of one call of the library, which costs more than encoding a short one.
 TOGETHER = 256
@@ -59,7 +58,7 @@ def model_bytes(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encodes and decodes whole texts; one per worker process.
+    """Encodes and decodes whole texts; one per task.
 
     With `cut`, a text is cut at its spaces and the ids of each piece are remembered. That is right
     for a pattern that allows a space at the start of a match only, unless the match is all white
@@ -135,11 +134,6 @@ class Codec:
         return b"".join([tokens[i] for i in ids.split(" ")]) if ids else b""
 
 
-@lru_cache(maxsize=2)
-def codec(model: bytes, ranks: tuple[int, ...], pattern: str, cut: bool) -> Codec:
-    return Codec(model, ranks, pattern, cut)
-
-
 def chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of a batch with their texts, cut so that one slice holds about `CHUNK` code points."""
     column = batch.column(batch.schema.get_field_index(text))
@@ -159,7 +153,7 @@ def _runner(docs: DataFrame, ranks_path: str, pattern: str, cut: bool):
     order = tuple(sorted(ranks.values()))
     # Bounded by the vocabulary, about 2 MB.
     model = docs.sparkSession.sparkContext.broadcast((model_bytes(ranks), order))
-    return lambda: codec(*model.value, pattern, cut)
+    return lambda: Codec(*model.value, pattern, cut)
 
 
 def encoded(
