@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import bpe, licenses, mixing, quality, sharding, substrings, warc
+from feira.llm import bpe, licenses, mixing, near, quality, sharding, substrings, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -46,6 +46,10 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_classes(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     job.__name__: job
     for job in (
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_source_mix,
         op7_shards,
         op8_byte_bpe,
+        op9_near_dedup,
     )
 }
 
