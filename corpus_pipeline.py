@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import bpe, mixing, quality
+from feira.llm import bpe, mixing, near, quality, substrings
 from feira.llm.queries import RANKS
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
@@ -16,6 +16,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_quality(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates one document stays."""
+    return near.without_near_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller id has too go; a document without other words goes."""
+    trimmed = substrings.without_repeats(docs).filter("n_removed < n_words")
+    return trimmed.select(*docs.columns)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.expanded(docs)
@@ -28,6 +39,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("source_mix", source_mix),
     ("byte_bpe", byte_bpe),
 ]
