@@ -20,6 +20,8 @@ REMEMBERED = 600_000
 TOGETHER = 256
 # Stands between them: no byte has this letter, so it becomes the unknown piece and no merge crosses it.
 APART = "\ufdd0"
+# Texts whose pre-tokens are encoded together, in code points.
+CHUNK = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
