@@ -23,7 +23,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id has too go; a document without other words goes."""
-    trimmed = substrings.without_repeats(docs).filter("n_removed < n_words")
+    trimmed = substrings.without_repeats(docs).filter("n_removed = 0 OR n_removed < n_words")
     return trimmed.select(*docs.columns)
 
 
