@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feira.llm import bpe, licenses, mixing, near, quality, sharding, substrings, warc
+from feira.llm import bpe, licenses, mixing, near, quality, sharding, substrings, topk, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -50,6 +51,10 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents"))
 
 
+def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("q_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     job.__name__: job
     for job in (
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_shards,
         op8_byte_bpe,
         op9_near_dedup,
+        op10_exact_top_k,
     )
 }
 
@@ -94,8 +100,24 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
        CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN head <> page_id THEN head END AS refers_to
 FROM h"""
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+terms AS (SELECT vec_id, unnest(c) AS x, unnest(range(1, len(c) + 1)) AS t FROM v),
+scores AS (
+  SELECT q.vec_id AS query_id, d.vec_id, sum(q.x * d.x)::BIGINT AS score
+  FROM terms AS q JOIN terms AS d ON q.t = d.t AND q.vec_id <> d.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) AS r
+WHERE rank <= 10"""
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING_SQL,
     "op2_quality_rules": quality.ORACLE,
     "op3_warc": WARC_SQL,
+    "op10_exact_top_k": TOP_K_SQL,
 }
