@@ -7,8 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.llm.tables import word_count
-from feira.sources.scratch import keep
+from feira.llm.tables import stored, word_count
 
 # No source and no document is taken more than this many times.
 MOST = 3
@@ -92,7 +91,7 @@ def tilts(hist: DataFrame, targets: DataFrame, most: int = MOST, steps: int = ST
         (F.lit(1.001 * top) * F.col("source_size") / F.col("documents") / F.col("least")).alias("high"),
         F.lit(1.0).alias("gap"),
     )
-    state = keep(state.coalesce(1), "tilts")
+    state = stored(state.coalesce(1), "tilts")
     for _ in range(steps):
         if state.agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0] <= CLOSE:
             break
@@ -116,7 +115,7 @@ def tilts(hist: DataFrame, targets: DataFrame, most: int = MOST, steps: int = ST
         # From afar, doubling the tilt reaches the bracket's scale sooner than its middle.
         middle = F.when(low < -1e5, F.least(F.lit(-1.0), F.col("tilt") * 4)).otherwise((low + high) / 2)
         moved = F.when(gap <= CLOSE, F.col("tilt")).when(inside, newton).otherwise(middle)
-        state = keep(
+        state = stored(
             summed.select("s", "scale", "want", moved.alias("tilt"), low.alias("low"), high.alias("high"), gap.alias("gap")).coalesce(1),
             "tilts",
         )
@@ -211,19 +210,19 @@ def mixed(
         F.col(f"`{source}`").alias("source"),
         word_count(F.col(f"`{text}`")).alias("size"),
     )
-    sizes = keep(sized.select("id", "source", "size"), "sizes")
-    targets = keep(source_targets(sizes, weights, most).coalesce(1), "targets")
+    sizes = stored(sized.select("id", "source", "size"), "sizes")
+    targets = stored(source_targets(sizes, weights, most).coalesce(1), "targets")
 
     def with_source(frame: DataFrame, table: DataFrame) -> DataFrame:
         known = table.withColumnRenamed("source", "same_source")
         return frame.join(known, frame["source"].eqNullSafe(known["same_source"])).drop("same_source")
 
     hist = with_source(sizes.groupBy("source", "size").count(), targets.select("s", "source"))
-    hist = keep(hist.select("s", "size", "count"), "size-counts")
+    hist = stored(hist.select("s", "size", "count"), "size-counts")
     tilt = tilts(hist.filter("size > 0"), targets.filter("target > 0"), most)
-    sources = keep(targets.join(tilt, "s", "left").coalesce(1), "sources")
+    sources = stored(targets.join(tilt, "s", "left").coalesce(1), "sources")
     rounded = _rounded(with_source(sizes, sources), seed, most)
-    limit = keep(limits(rounded, targets).coalesce(1), "limits")
+    limit = stored(limits(rounded, targets).coalesce(1), "limits")
     found = _rounded(with_source(sized, sources), seed, most).join(limit, ["s", "kind"], "left")
     extra = (F.col("part") > 0) & (F.col("bin") <= F.coalesce(F.col("limit"), F.lit(-1)))
     copies = (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("long")

@@ -29,7 +29,7 @@ from pyspark.sql.types import (
 )
 
 from feira.llm.hashing import BASES, Chunk, chunks, mix, rolling
-from feira.sources.scratch import keep
+from feira.llm.tables import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -181,7 +181,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity:
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     ends = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
     # Stored, so that each text is looked for once and both joins below can split a hot node.
-    known = keep(texts.join(ends, "k", "left_semi"), "paired-texts")
+    known = stored(texts.join(ends, "k", "left_semi"), "paired-texts")
     first = pairs.join(known.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a")
     both = first.join(known.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
     schema = StructType([StructField(name, pairs.schema[name].dataType) for name in ("a", "b")])
@@ -212,8 +212,8 @@ def components(edges: DataFrame) -> DataFrame:
     Every round gives each node the smallest label around it and then the label of its label, so long
     chains take a logarithmic number of rounds. Rounds are written tables; only a count reaches the driver.
     """
-    both = keep(edges.select("a", "b").union(edges.select("b", "a")), "links")
-    labels = keep(
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")), "links")
+    labels = stored(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
         .select("node", F.least("node", "near").alias("label"), F.lit(True).alias("moved")),
         "labels",
@@ -224,14 +224,14 @@ def components(edges: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        lower = keep(
+        lower = stored(
             labels.select("node", F.col("label").alias("old"))
             .join(near, "node")
             .select("node", "old", F.least("old", "near").alias("label")),
             "lower-labels",
         )
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = keep(
+        labels = stored(
             lower.join(jump, "label").select("node", F.col("next").alias("label"), (F.col("next") < F.col("old")).alias("moved")),
             "labels",
         )
@@ -253,9 +253,9 @@ def near_classes(
     words than a shingle are similar if their words are equal. Other columns do not matter. A table
     without rows gives none.
     """
-    found = keep(sketches(docs, key, text), "sketches")
+    found = stored(sketches(docs, key, text), "sketches")
     # Copies combine before the shuffle.
-    nodes = keep(
+    nodes = stored(
         found.groupBy("d1", "d2").agg(
             F.min("k").alias("node"),
             F.count("*").alias("n_copies"),
@@ -264,25 +264,25 @@ def near_classes(
         ),
         "nodes",
     )
-    entries = keep(nodes.select("node", F.posexplode("bands").alias("band", "hash")), "band-entries")
+    entries = stored(nodes.select("node", F.posexplode("bands").alias("band", "hash")), "band-entries")
     bucket = ["band", "hash"]
     hubs = entries.groupBy(*bucket).agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    hubs = keep(hubs.filter("hub < last").select(*bucket, "hub"), "hubs")
-    shared = keep(entries.join(hubs, bucket), "shared-buckets")
+    hubs = stored(hubs.filter("hub < last").select(*bucket, "hub"), "hubs")
+    shared = stored(entries.join(hubs, bucket), "shared-buckets")
     pairs = shared.filter("node > hub").select(*_ordered("node", "hub")).distinct()
-    pairs = keep(pairs, "hub-pairs")
-    links = keep(verified(pairs, docs, key, text, similarity), "hub-links")
+    pairs = stored(pairs, "hub-pairs")
+    links = stored(verified(pairs, docs, key, text, similarity), "hub-links")
     labels = components(links)
 
     def labelled(frame: DataFrame, known: DataFrame) -> DataFrame:
         return frame.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    members = keep(labelled(shared.select("node", *bucket), labels), "bucket-classes")
+    members = stored(labelled(shared.select("node", *bucket), labels), "bucket-classes")
     mixed = members.groupBy(*bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = keep(mixed.filter("low < high").select(*bucket), "mixed-buckets")
+    mixed = stored(mixed.filter("low < high").select(*bucket), "mixed-buckets")
     if mixed.limit(1).count():
         slots = nodes.select("node", "slots")
-        apart = keep(members.join(mixed, bucket).join(slots, "node"), "apart")
+        apart = stored(members.join(mixed, bucket).join(slots, "node"), "apart")
         left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in ("node", "label", "slots")])
         right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in ("node", "label", "slots")])
         agreeing = F.aggregate(
@@ -296,11 +296,11 @@ def near_classes(
             + [F.col("label_x") < F.col("label_y"), agreeing >= AGREEING],
         )
         more = alike.select(*_ordered("node_x", "node_y")).distinct().join(pairs, ["a", "b"], "left_anti")
-        more = keep(more, "more-pairs")
+        more = stored(more, "more-pairs")
         if more.limit(1).count():
-            links = links.union(keep(verified(more, docs, key, text, similarity), "more-links"))
+            links = links.union(stored(verified(more, docs, key, text, similarity), "more-links"))
             labels = components(links)
-    classes = keep(labelled(nodes.select("node", "d1", "d2", "n_copies"), labels), "classes")
+    classes = stored(labelled(nodes.select("node", "d1", "d2", "n_copies"), labels), "classes")
     member = found.select("k", "d1", "d2").join(classes, ["d1", "d2"])
     member = member.select(F.col("k").alias("doc_id"), F.col("label").alias("class_id"), "n_copies")
     # Rows without words or key have no sketch.

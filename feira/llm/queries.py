@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import bpe, licenses, mixing, near, quality, sharding, substrings, topk, warc
+from feira.llm import bpe, katz, licenses, mixing, near, quality, sharding, substrings, topk, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -28,6 +28,10 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.scores(table(spark, folder, "documents"))
+
+
 def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op2_quality_rules,
         op3_warc,
+        op4_katz_backoff,
         op5_licenses,
         op6_source_mix,
         op7_shards,

@@ -39,7 +39,7 @@ from pyspark.sql.types import (
 )
 
 from feira.llm.hashing import BASES, Chunk, chunks, mix, rolling, sliding_min
-from feira.sources.scratch import keep
+from feira.llm.tables import stored
 
 WINDOW = 50
 # Words of the runs that anchors are chosen from; at most half of a window and more.
@@ -242,7 +242,7 @@ def later_windows(found: DataFrame) -> DataFrame:
     )
     hot = found.filter("hot AND k IS NOT NULL")
     firsts = hot.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    firsts = keep(firsts.filter("first < last").select("h1", "h2", "first"), "first-windows")
+    firsts = stored(firsts.filter("first < last").select("h1", "h2", "first"), "first-windows")
     copied = hot.join(firsts, ["h1", "h2"]).filter("k > first")
     return cold.select("k", "c", "at").unionByName(copied.select("k", "c", "at"))
 
@@ -293,7 +293,7 @@ def without_repeats(
     # At most 2 bits for each of 2 * MOST_CELLS cells: 32 MB.
     rows = merged.collect()
     sketch = spark.sparkContext.broadcast([_joined(rows, cells, name) for name in ("repeated", "hot")])
-    found = keep(candidates(texts, sketch, cells, window, gram), "candidate-windows")
+    found = stored(candidates(texts, sketch, cells, window, gram), "candidate-windows")
     covered = covered_words(later_windows(found)).hint("shuffle_hash")
     whole = docs.select(
         F.col(f"`{key}`").alias("k"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feira.sources.scratch import keep
+
 # What separates words (space, tab to carriage return), as a Java pattern.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -13,6 +15,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`keep`, after which Spark deletes the shuffle files of the job: nothing reads them again."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return keep(df, label)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

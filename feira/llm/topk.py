@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.sources.scratch import keep
+from feira.llm.tables import stored
 
 SCALE = 1024
 K = 10
@@ -218,9 +218,9 @@ def top_k(
     """
     whole = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), whole_numbers(F.col(f"`{vector}`"), scale).alias("v"))
     whole = whole.filter("id IS NOT NULL AND v IS NOT NULL")
-    blocks = keep(packed(whole, BLOCK), "vector-blocks")
+    blocks = stored(packed(whole, BLOCK), "vector-blocks")
     asked = whole.withColumn("q_id", F.col("id")).filter(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    chunks = keep(packed(asked, QUERIES).drop("high", "low"), "query-chunks")
+    chunks = stored(packed(asked, QUERIES).drop("high", "low"), "query-chunks")
     return _search(blocks, chunks, k)
 
 
@@ -229,7 +229,7 @@ def summaries_of(blocks: DataFrame) -> DataFrame:
     groups = max(1, -(-blocks.count() // SUMMARIES))
     edges = F.struct(F.col("part").alias("block"), "width", "high", "low")
     grouped = blocks.groupBy(F.pmod(F.xxhash64("part"), F.lit(groups)).alias("of"))
-    return keep(grouped.agg(F.sort_array(F.collect_list(edges)).alias("blocks")).select("blocks"), "summaries")
+    return stored(grouped.agg(F.sort_array(F.collect_list(edges)).alias("blocks")).select("blocks"), "summaries")
 
 
 def _with_kth(chunks: DataFrame, found: DataFrame, k: int) -> DataFrame:
@@ -248,10 +248,10 @@ def _search(blocks: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
     found = spark.createDataFrame([], "query_id long, vec_id long, score long, rank int")
     done, wave = 0, FIRST_WAVE
     while True:
-        now = keep(_with_kth(chunks, found, k), "query-chunks")
-        wants = keep(wanted(now, summaries, done, wave), "wanted-blocks")
+        now = stored(_with_kth(chunks, found, k), "query-chunks")
+        wants = stored(wanted(now, summaries, done, wave), "wanted-blocks")
         if not wants.limit(1).count():
             return found.select("query_id", "rank", "vec_id", "score")
         new = scored(wants, blocks, now, k)
-        found = keep(best(found.drop("rank").union(new), k), "best-so-far")
+        found = stored(best(found.drop("rank").union(new), k), "best-so-far")
         done, wave = done + wave, wave * GROWTH

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from feira.sources.scratch import keep
+from feira.llm.tables import stored
 
 # Magic numbers and header names of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -290,7 +290,7 @@ def with_heads(pages: DataFrame, key: str = "page_id", html: str = "html", url:
         .filter("copies > 1")
         .select("digest", "head")
     )
-    found = read.join(keep(heads, "payload-heads"), "digest", "left")
+    found = read.join(stored(heads, "payload-heads"), "digest", "left")
     other = ~F.col("page_id").eqNullSafe(F.col("head"))
     return found.select("page_id", "url", "payload", F.when(other, F.col("head")).alias("head"))
 
