@@ -22,6 +22,11 @@ def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return copies.filter((F.col("copies") > 1) | incomplete(key))
 
 
+def repeated_keys(incoming: DataFrame, present: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Complete keys of `incoming` that `present` has already; only keys are read and joined."""
+    return key_copies(incoming, key).select(*key).join(present.select(*key), list(key), "left_semi")
+
+
 def foreign_key_violations(
     child: DataFrame, columns: Sequence[str], parent: DataFrame, key: Sequence[str]
 ) -> DataFrame:
@@ -112,14 +117,36 @@ def reference_lines(
     return _lines(totals, {name: (spec.name, "foreign_key") for name, (spec, _) in names.items()})
 
 
-def constraint_report(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFrame:
-    """(table_name, constraint_name, kind, violations) for every declared constraint."""
+def present_lines(copies: DataFrame, present: DataFrame, spec: TableSpec) -> DataFrame:
+    """Incoming keys of one table that are in it already."""
+    name, key = f"{spec.name}_key_new", list(spec.primary_key)
+    old = copies.select(*key).join(present.select(*key), key, "left_semi")
+    return _lines(old.selectExpr(f"count(*) AS {name}"), {name: (spec.name, "primary_key")})
+
+
+def constraint_report(
+    tables: Mapping[str, DataFrame],
+    specs: Sequence[TableSpec],
+    present: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """(table_name, constraint_name, kind, violations) for every declared constraint.
+
+    With tables that are `present`, to which these are to be added, their keys must be new, and rows
+    that are present count as parents.
+    """
+    present = present or {}
     copies = {spec.name: key_copies(tables[spec.name], spec.primary_key) for spec in specs}
     users: dict[str, list[tuple[TableSpec, ForeignKey]]] = {}
     lines = []
     for spec in specs:
         lines += [column_lines(tables[spec.name], spec), key_lines(copies[spec.name], spec)]
+        if spec.name in present:
+            lines.append(present_lines(copies[spec.name], present[spec.name], spec))
         for fk in spec.foreign_keys:
             users.setdefault(fk.parent, []).append((spec, fk))
-    lines += [reference_lines(copies[parent], tables, group) for parent, group in users.items()]
+    for parent, group in users.items():
+        known = copies[parent]
+        if parent in present:
+            known = known.unionByName(key_copies(present[parent], group[0][1].parent_columns))
+        lines.append(reference_lines(known, tables, group))
     return reduce(DataFrame.unionByName, lines)

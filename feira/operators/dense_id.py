@@ -14,9 +14,13 @@ TASK_SHIFT = 33
 
 
 def with_dense_id(
-    df: DataFrame, order_by: Sequence[str], id_name: str, partitions: int | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    id_name: str,
+    partitions: int | None = None,
+    after: int = 0,
 ) -> DataFrame:
-    """Ids 1..n by `order_by`, which must tell all rows apart.
+    """Ids `after` + 1 and so on by `order_by`, which must tell all rows apart.
 
     Rows are range-partitioned and sorted inside each range, then written with their range and
     position. The written copy fixes both: range borders come from a sample and may differ if the
@@ -41,12 +45,15 @@ def with_dense_id(
     return (
         placed.withColumn("_task", task)
         .join(F.broadcast(offsets), "_task")
-        .select((F.col("_offset") + position + 1).alias(id_name), *df.columns)
+        .select((F.col("_offset") + position + 1 + after).alias(id_name), *df.columns)
     )
 
 
-def numbered_geolocation(geolocation: DataFrame) -> DataFrame:
-    """Distinct locations with `geolocation_id` by place name, then coordinates."""
+def numbered_geolocation(geolocation: DataFrame, present: DataFrame | None = None) -> DataFrame:
+    """Distinct locations with `geolocation_id` by place name, then coordinates.
+
+    Locations that are `present` are left out, and ids go on after the largest one there.
+    """
     # The sort key of the location table.
     order = (
         "geolocation_zip_code_prefix",
@@ -55,4 +62,8 @@ def numbered_geolocation(geolocation: DataFrame) -> DataFrame:
         "geolocation_lat",
         "geolocation_lng",
     )
-    return with_dense_id(geolocation.dropDuplicates(), order, "geolocation_id")
+    if present is None:
+        return with_dense_id(geolocation.dropDuplicates(), order, "geolocation_id")
+    new = geolocation.subtract(present.select(*geolocation.columns))
+    last = present.agg(F.max("geolocation_id")).first()[0] or 0
+    return with_dense_id(new, order, "geolocation_id", after=last)

@@ -11,8 +11,10 @@ from feira.operators.dense_id import numbered_geolocation
 from feira.specs import RAW, ZIP
 
 
-def clean_tables(raw: Mapping[str, DataFrame], keep_all=dict) -> dict[str, DataFrame]:
-    """The ten clean tables from the nine raw ones.
+def clean_tables(
+    raw: Mapping[str, DataFrame], keep_all=dict, present: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """The ten clean tables from the nine raw ones; with the tables that are `present`, what they lack.
 
     References are looked up in the raw tables: a stub row holds nothing but its key, so it cannot
     refer to anything itself. `keep_all` may store the missing keys and the zip dimension, which
@@ -26,13 +28,21 @@ def clean_tables(raw: Mapping[str, DataFrame], keep_all=dict) -> dict[str, DataF
                 keys[fk.parent] = list(fk.parent_columns)
                 children.setdefault(fk.parent, []).append((raw[spec.name], fk.columns))
 
-    steps = {p: missing_keys(raw[p], keys[p], users) for p, users in children.items()}
+    present = present or {}
+
+    def known(parent: str) -> DataFrame:
+        own = raw[parent].select(*keys[parent])
+        return own.union(present[parent].select(*keys[parent])) if parent in present else own
+
+    steps = {p: missing_keys(known(p), keys[p], users) for p, users in children.items()}
     steps["zip"] = zip_dimension(raw["geolocation"], raw["customers"], raw["sellers"])
+    if "zip" in present:
+        steps["zip"] = steps["zip"].subtract(present["zip"].select(*ZIP.names))
     stored = keep_all(steps)
     completed = {p: raw[p].unionByName(stub_rows(stored[p], raw[p], keys[p])) for p in children}
     return {
         **raw,
         **completed,
         "zip": stored["zip"],
-        "geolocation": numbered_geolocation(raw["geolocation"]),
+        "geolocation": numbered_geolocation(raw["geolocation"], present.get("geolocation")),
     }

@@ -2,38 +2,70 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from feira.functions.text import fit_all
-from feira.operators.constraints import constraint_report
+from feira.operators.constraints import constraint_report, primary_key_violations, repeated_keys
 from feira.plans.clean import clean_tables
 from feira.plans.marts import DELIVERED, all_marts
 from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer
 from feira.sources.parallel import run_all
-from feira.sources.raw import drop_incomplete, read_raw
-from feira.sources.scratch import keep, keep_all
+from feira.sources.raw import (
+    RECORD,
+    UNREADABLE,
+    drop_incomplete,
+    is_incomplete,
+    read_checked,
+)
+from feira.sources.scratch import keep, keep_all, scratch_of_run
 from feira.specs import CLEAN, MARTS, RAW, Column, TableSpec, parents_first
 
 Layer = ParquetLayer | CatalogLayer | JdbcLayer
 
-REPORT = TableSpec(
-    "constraint_report",
-    (
-        Column("table_name", StringType(), "VARCHAR(64)"),
-        Column("constraint_name", StringType(), "VARCHAR(128)"),
-        Column("kind", StringType(), "VARCHAR(16)"),
-        Column("violations", LongType(), "BIGINT"),
-    ),
+LINES = (
+    Column("table_name", StringType(), "VARCHAR(64)"),
+    Column("constraint_name", StringType(), "VARCHAR(128)"),
+    Column("kind", StringType(), "VARCHAR(16)"),
+    Column("violations", LongType(), "BIGINT"),
 )
+REPORT = TableSpec("constraint_report", LINES)
+# The same lines on the raw files: rows with text that cannot be read, reviews without their dates.
+LOADED = TableSpec("load_report", LINES)
+# Reviews without dates are left out by design, so they stop no run.
+HARMLESS = "incomplete"
+
+
+def unreadable_rows(spec: TableSpec) -> TableSpec:
+    """The table of an entity's rows that could not be read whole, beside its raw table."""
+    return TableSpec(
+        f"{spec.name}_unreadable",
+        (Column("column_names", StringType(), "VARCHAR(512)"), Column("record", StringType(), "TEXT")),
+    )
 
 
 class ConstraintViolation(ValueError):
-    """Clean tables break a declared constraint; nothing was written."""
+    """Clean tables break a declared constraint; no clean table was written."""
+
+
+class RepeatedKeys(ConstraintViolation):
+    """Rows to append have keys that the table has already; nothing was written."""
+
+
+def append_rows(layer: Layer, df: DataFrame, spec: TableSpec) -> None:
+    """Add rows to a table of a layer, unless a key of theirs is in it or occurs twice among them."""
+    spark, key = df.sparkSession, list(spec.primary_key)
+    present = layer.find(spark, spec)
+    twice = primary_key_violations(df, key).select(*key)
+    refused = twice if present is None else twice.union(repeated_keys(df, present, key))
+    count = refused.distinct().count()
+    if count:
+        raise RepeatedKeys(f"{spec.name}: {count} keys")
+    layer.write(df, spec, "append")
 
 
 @dataclass(frozen=True)
@@ -47,43 +79,85 @@ class Layers:
         return Layers(*[ParquetLayer(f"{root.rstrip('/')}/{name}") for name in ("raw", "clean", "marts")])
 
 
-def load_raw(spark: SparkSession, source: str, layer: Layer) -> None:
-    """Every raw file into the raw layer, replacing what was there.
+def load_raw(
+    spark: SparkSession, source: str, layer: Layer, quote_escape: str = '"'
+) -> DataFrame:
+    """Every raw file into the raw layer, replacing what was there; returns the load report.
 
-    Text is fitted to its declared width here, so that later filters on it reach the scans.
+    Text is fitted to its declared width here, so that later filters on it reach the scans. Rows with
+    text that does not fit its column stay in their table, with NULL there; they are counted in the
+    report while the table is written, and if there are any, written as text to a table of their own.
     """
 
-    def load(spec: TableSpec) -> None:
-        df = read_raw(spark, spec, f"{source.rstrip('/')}/{spec.source}")
-        layer.write(fit_all(drop_incomplete(df, spec), spec), spec)
-
-    run_all(partial(load, spec) for spec in RAW)
+    def load(spec: TableSpec) -> list[tuple[str, str, str, int]]:
+        checked = read_checked(spark, spec, f"{source.rstrip('/')}/{spec.source}", quote_escape)
+        seen = Observation(f"load {spec.name}")
+        watched = checked.observe(
+            seen,
+            F.count_if(F.size(UNREADABLE) > 0).alias("unreadable"),
+            F.count_if(is_incomplete(spec)).alias("incomplete"),
+        )
+        # Unsorted: ordering would compute the rows twice. The clean table is sorted.
+        layer.write(fit_all(drop_incomplete(watched, spec), spec), replace(spec, sorted_by=()))
+        counts, rejected = seen.get, unreadable_rows(spec)
+        if counts["unreadable"] or (not isinstance(layer, JdbcLayer) and layer.find(spark, rejected)):
+            rows = checked.filter(F.size(UNREADABLE) > 0)
+            names = F.array_join(UNREADABLE, ",").alias("column_names")
+            layer.write(rows.select(names, F.col(RECORD).alias("record")), rejected)
+        lines = [(spec.name, f"{spec.name}_readable", "unreadable", counts["unreadable"])]
+        if spec.required:
+            lines.append((spec.name, f"{spec.name}_complete", HARMLESS, counts["incomplete"]))
+        return lines
+
+    with scratch_of_run(spark):
+        found = run_all(partial(load, spec) for spec in RAW)
+    report = spark.createDataFrame([line for lines in found for line in lines], LOADED.schema)
+    layer.write(report, LOADED)
+    return report
 
 
 def load_clean(
-    spark: SparkSession, layers: Layers, on_violation: str = "fail", mode: str = "overwrite"
+    spark: SparkSession,
+    layers: Layers,
+    on_violation: str = "fail",
+    mode: str = "overwrite",
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Raw layer to clean layer, parents first; returns the constraint report.
 
-    Constraints are checked before the first write. With ``on_violation="fail"`` any violation
-    stops the run there; with ``"report"`` the tables are written all the same. ``mode="append"``
-    is for empty tables that already exist, such as keyed tables of a database.
+    Constraints are checked before the first clean table is written, and the report, with the lines of
+    `loaded`, is written beside the marts whatever it says. With ``on_violation="fail"`` any violation
+    then stops the run; with ``"report"`` the tables are written all the same.
+
+    ``mode="append"`` adds to the clean tables that exist: a key that is there already is a violation,
+    rows there count as parents, and location ids go on after the largest one.
     """
-    tables = clean_tables({spec.name: layers.raw.read(spark, spec) for spec in RAW}, keep_all)
-    report = keep(constraint_report(tables, CLEAN), "constraint-report")
-    # One row per declared constraint at most, so fetching the broken ones is bounded.
-    broken = report.filter(F.col("violations") > 0).collect() if on_violation == "fail" else []
-    if broken:
-        raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
-    for group in parents_first():
-        run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
-    return report
+    with scratch_of_run(spark):
+        present = {}
+        if mode == "append":
+            found = {spec.name: layers.clean.find(spark, spec) for spec in CLEAN}
+            present = {name: df for name, df in found.items() if df is not None}
+        raw = {spec.name: layers.raw.read(spark, spec) for spec in RAW}
+        tables = clean_tables(raw, keep_all, present)
+        lines = constraint_report(tables, CLEAN, present)
+        report = keep(lines if loaded is None else lines.unionByName(loaded), "constraint-report")
+        layers.marts.write(report, REPORT)
+        # One row per declared constraint at most, so fetching the broken ones is bounded.
+        bad = (F.col("violations") > 0) & (F.col("kind") != HARMLESS)
+        broken = report.filter(bad).orderBy("constraint_name").collect() if on_violation == "fail" else []
+        if broken:
+            raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
+        for group in parents_first():
+            run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
+    return layers.marts.read(spark, REPORT)
 
 
 def load_marts(spark: SparkSession, layers: Layers, delivered: str = DELIVERED) -> None:
     """Clean layer to marts, each replaced, so a second run gives the same tables."""
-    marts = all_marts({spec.name: layers.clean.read(spark, spec) for spec in CLEAN}, delivered, keep)
-    run_all(partial(layers.marts.write, marts[spec.name], spec) for spec in MARTS)
+    with scratch_of_run(spark):
+        clean = {spec.name: layers.clean.read(spark, spec) for spec in CLEAN}
+        marts = all_marts(clean, delivered, keep)
+        run_all(partial(layers.marts.write, marts[spec.name], spec) for spec in MARTS)
 
 
 def refresh(
@@ -92,10 +166,10 @@ def refresh(
     layers: Layers,
     on_violation: str = "fail",
     delivered: str = DELIVERED,
+    quote_escape: str = '"',
 ) -> DataFrame:
     """Raw files to marts; returns the constraint report, which is kept beside the marts."""
-    load_raw(spark, source, layers.raw)
-    report = load_clean(spark, layers, on_violation)
+    loaded = load_raw(spark, source, layers.raw, quote_escape)
+    report = load_clean(spark, layers, on_violation, loaded=loaded)
     load_marts(spark, layers, delivered)
-    layers.marts.write(report, REPORT)
     return report

@@ -77,7 +77,7 @@ class Star:
     def order_items(self) -> DataFrame:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").cast("tinyint").alias("order_item_id"),
+            F.col("l_linenumber").cast("smallint").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
@@ -90,7 +90,7 @@ class Star:
         bought = self.table("events").filter(F.col("event_type") == "purchase")
         return bought.select(
             self._event_order().alias("order_id"),
-            (F.col("event_id") % 2 + 1).cast("tinyint").alias("payment_sequential"),
+            (F.col("event_id") % 2 + 1).cast("int").alias("payment_sequential"),
             F.col("event_type").alias("payment_type"),
             F.lit(1).alias("payment_installments"),
             F.col("value").cast(MONEY).alias("payment_value"),
@@ -102,7 +102,7 @@ class Star:
         return self.table("events").select(
             F.col("event_id").alias("review_id"),
             self._event_order().alias("order_id"),
-            (F.floor("value") % 5 + 1).cast("tinyint").alias("review_score"),
+            (F.floor("value") % 5 + 1).cast("smallint").alias("review_score"),
             F.col("event_type").alias("review_comment_title"),
             F.col("props").alias("review_comment_message"),
             F.col("ts").alias("review_creation_date"),

@@ -116,6 +116,10 @@ t_sellers AS (SELECT s_suppkey AS seller_id, zip AS seller_zip_code_prefix, city
     state AS seller_state FROM supplier JOIN place ON n_nationkey = s_nationkey WHERE s_acctbal >= 0),
 t_product_category_name_translation AS (SELECT DISTINCT p_brand AS product_category_name,
     p_brand AS product_category_name_english FROM part WHERE p_brand NOT IN ({NO_ENGLISH})),
+t_geolocation AS (SELECT row_number() OVER () AS geolocation_id, * FROM (
+    SELECT DISTINCT zip AS geolocation_zip_code_prefix, s_acctbal, city AS geolocation_city,
+        state AS geolocation_state
+    FROM supplier JOIN place ON n_nationkey = s_nationkey WHERE s_acctbal < 0)),
 t_zip AS (SELECT zip AS zip_code_prefix, city AS zip_city, state AS zip_state FROM ({ZIPS}))"""
 
 
@@ -146,9 +150,8 @@ def report_lines(spec: TableSpec, table) -> list[str]:
     return lines
 
 
-REPORTED = [spec for spec in CLEAN if spec.name != "geolocation"]
 REPORT = f"WITH {STAR_TABLES}\n" + "\nUNION ALL ".join(
-    line for spec in REPORTED for line in report_lines(spec, lambda name: f"t_{name}")
+    line for spec in CLEAN for line in report_lines(spec, lambda name: f"t_{name}")
 )
 
 MESSAGE_WIDTH = ORDER_REVIEWS.widths["review_comment_message"]
@@ -242,6 +245,7 @@ REFRESH = f"WITH {CLEAN_FEED}\n" + "\nUNION ALL ".join(
             "count(*)",
             "(SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)",
         ),
+        _row("constraint_report", "'order_reviews_complete'", "count(*)", "events WHERE event_type = 'error'"),
     ]
 )
 
@@ -372,5 +376,17 @@ ORACLE = {
     "k2_append_layer": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
             o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp FROM orders""",
+    "k2_append_repeated_keys": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS rows_kept
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "r1_raw_awkward_values": f"""
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+            CASE l_linenumber % 5 WHEN 0 THEN 128 WHEN 1 THEN 300 ELSE l_linenumber END AS order_item_id,
+            CASE l_linenumber % 5 WHEN 2 THEN NULL ELSE l_shipdate END AS shipping_limit_date,
+            CASE l_linenumber % 5 WHEN 3 THEN 1000000000.0 + CAST({PRICE} AS DOUBLE)
+                ELSE CAST({PRICE} AS DOUBLE) END AS price,
+            CASE l_linenumber % 5 WHEN 2 THEN 'shipping_limit_date' WHEN 4 THEN 'freight_value'
+                ELSE '' END AS unreadable
+        FROM lineitem""",
     "x1_refresh": REFRESH,
 }

@@ -15,21 +15,21 @@ from feira.operators.constraints import (
     foreign_key_violations,
     orphan_rows,
     primary_key_violations,
+    repeated_keys,
     width_violations,
 )
 from feira.operators.dense_id import numbered_geolocation
 from feira.operators.recent import PURCHASED, recent, window_start
 from feira.plans import marts
-from feira.plans.refresh import Layers, refresh
+from feira.plans.refresh import Layers, RepeatedKeys, append_rows, refresh
 from feira.plans.star import DELIVERED_STATUS, Star
 from feira.sources.layers import ParquetLayer
-from feira.sources.raw import drop_incomplete, read_raw
+from feira.sources.raw import UNREADABLE, drop_incomplete, read_checked, read_raw
 from feira.sources.scratch import new_path
 from feira.specs import (
     CLEAN,
     MARTS,
     ORDER_ITEMS,
-    ORDER_PAYMENTS,
     ORDER_REVIEWS,
     ORDERS,
     RAW,
@@ -311,10 +311,10 @@ def c3_constraint_report(star: Star) -> DataFrame:
         "products": star.listed_products(),
         "sellers": star.solvent_sellers(),
         "product_category_name_translation": star.partial_translation(),
+        "geolocation": numbered_geolocation(star.debtor_locations()),
         "zip": zip_dimension(star.debtor_locations(), star.customers(), star.sellers()),
     }
-    specs = [spec for spec in CLEAN if spec.name in tables]
-    return constraint_report(tables, specs)
+    return constraint_report(tables, CLEAN)
 
 
 # --- raw files and layers
@@ -381,10 +381,37 @@ def r1_raw_reviews_multiline(star: Star) -> DataFrame:
     return raw.withColumn("review_score", F.col("review_score").cast("bigint"))
 
 
+@query
+def r1_raw_awkward_values(star: Star) -> DataFrame:
+    """Item numbers above 127, prices above eight digits, times in another format and thirds of a cent."""
+    kind = F.col("order_item_id") % 5
+    price = F.col("price")
+    text = star.order_items().select(
+        "order_id",
+        F.when(kind == 0, 128).when(kind == 1, 300).otherwise(F.col("order_item_id")).alias("order_item_id"),
+        "product_id",
+        "seller_id",
+        F.when(kind == 2, F.date_format("shipping_limit_date", "dd/MM/yyyy HH:mm"))
+        .otherwise(F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .alias("shipping_limit_date"),
+        F.when(kind == 3, price + 1_000_000_000).otherwise(price).alias("price"),
+        F.when(kind == 4, F.lit("12.345")).otherwise(F.col("freight_value").cast("string")).alias("freight_value"),
+    )
+    path = new_path(star.spark, "csv-awkward")
+    write_csv(text, path)
+    raw = read_checked(star.spark, ORDER_ITEMS, path)
+    return raw.select(
+        "order_id",
+        F.col("order_item_id").cast("int").alias("order_item_id"),
+        "shipping_limit_date",
+        F.col("price").cast("double").alias("price"),
+        F.array_join(UNREADABLE, ",").alias("unreadable"),
+    )
+
+
 @query
 def k1_overwrite_layer(star: Star) -> DataFrame:
     layer = ParquetLayer(new_path(star.spark, "layer"))
-    layer.write(star.order_payments(), ORDER_PAYMENTS)
     layer.write(star.sellers(), SELLERS)
     layer.write(star.solvent_sellers(), SELLERS)
     return layer.read(star.spark, SELLERS)
@@ -399,6 +426,21 @@ def k2_append_layer(star: Star) -> DataFrame:
     return layer.read(star.spark, ORDERS).select("order_id", "customer_id", "order_status", PURCHASED)
 
 
+@query
+def k2_append_repeated_keys(star: Star) -> DataFrame:
+    """An append of all orders to those that are not pending: the keys refused, the rows still there."""
+    layer = ParquetLayer(new_path(star.spark, "layer"))
+    layer.write(star.closed(star.orders()), ORDERS)
+    incoming = star.orders().withColumn("order_id", F.col("order_id").cast("string"))
+    present = layer.read(star.spark, ORDERS)
+    try:
+        append_rows(layer, incoming, ORDERS)
+    except RepeatedKeys:
+        pass
+    count = layer.read(star.spark, ORDERS).agg(F.count("*").alias("n")).scalar()
+    return repeated_keys(incoming, present, ["order_id"]).withColumn("rows_kept", count)
+
+
 def raw_files(star: Star, folder: str) -> None:
     """All nine raw files, with parents missing from orders, customers, products and so on."""
     feed = {

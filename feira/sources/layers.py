@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feira.sources.files import delete, exists, replace
 from feira.specs import TableSpec
 
 
 @dataclass(frozen=True)
 class ParquetLayer:
-    """One folder per table under `root`."""
+    """One folder per table under `root`.
+
+    A table that is overwritten is written beside the old one and takes its place when it is complete.
+    """
 
     root: str
 
@@ -23,12 +28,26 @@ class ParquetLayer:
     def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         return spark.read.schema(spec.schema).parquet(self.path(spec))
 
+    def find(self, spark: SparkSession, spec: TableSpec) -> DataFrame | None:
+        """The table, or None if it does not exist."""
+        return self.read(spark, spec) if exists(spark, self.path(spec)) else None
+
     def write(self, df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> None:
         table = conform(df, spec)
         if spec.sorted_by:
-            # No shuffle: narrow value ranges per page let the scan skip pages on that column.
-            table = table.sortWithinPartitions(*spec.sorted_by)
-        table.write.mode(mode).parquet(self.path(spec))
+            # Each file gets a range of the column, so a scan for a range opens few files. The key
+            # spreads the rows that share a value or have none.
+            order = (*spec.sorted_by, *[c for c in spec.primary_key if c not in spec.sorted_by])
+            table = table.repartitionByRange(*order).sortWithinPartitions(*order)
+        if mode != "overwrite":
+            table.write.mode(mode).parquet(self.path(spec))
+            return
+        spark, new = df.sparkSession, f"{self.root.rstrip('/')}/_new-{spec.name}-{uuid4().hex}"
+        try:
+            table.write.parquet(new)
+            replace(spark, new, self.path(spec))
+        finally:
+            delete(spark, new)
 
 
 @dataclass(frozen=True)
@@ -50,6 +69,10 @@ class CatalogLayer:
     def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         return spark.table(self.name(spec))
 
+    def find(self, spark: SparkSession, spec: TableSpec) -> DataFrame | None:
+        """The table, or None if it does not exist."""
+        return self.read(spark, spec) if spark.catalog.tableExists(self.name(spec)) else None
+
     def write(self, df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> None:
         table = conform(df, spec)
         if self.buckets and spec.bucketed_by:
@@ -77,6 +100,10 @@ class JdbcLayer:
     With `declared_types`, tables that do not exist yet are created with the declared column types,
     and the blanks a database adds to CHAR values are taken off on reading. Without it they get
     Spark's own types, which take text of any width: right for raw tables.
+
+    `splits` says by table name how a table is read in several tasks, as a column range or a list of
+    disjoint WHERE conditions; a table without a split is read in one. `table_writers` likewise sets
+    the number of connections that write a table, where it is not `writers`.
     """
 
     url: str
@@ -86,6 +113,8 @@ class JdbcLayer:
     fetch_rows: int = 10_000
     batch_rows: int = 10_000
     writers: int | None = None
+    splits: Mapping[str, RangeSplit | Sequence[str]] = field(default_factory=dict)
+    table_writers: Mapping[str, int] = field(default_factory=dict)
 
     def table(self, spec: TableSpec) -> str:
         return f"{self.prefix}{spec.name}"
@@ -113,7 +142,8 @@ class JdbcLayer:
         spec: TableSpec,
         split: RangeSplit | Sequence[str] | None = None,
     ) -> DataFrame:
-        """The whole table; `split` is a column range or a list of disjoint WHERE conditions."""
+        """The whole table; `split` takes the place of the one in `splits`."""
+        split = self.splits.get(spec.name) if split is None else split
         if split is None or isinstance(split, RangeSplit):
             df = spark.read.format("jdbc").options(**self.read_options(spec, split)).load()
         else:
@@ -122,6 +152,10 @@ class JdbcLayer:
             df = spark.read.jdbc(url, table, predicates=list(split), properties=properties)
         return unpad(df, spec) if self.declared_types else df
 
+    def find(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
+        """The table, which has to exist."""
+        return self.read(spark, spec)
+
     def write_options(self, spec: TableSpec, mode: str) -> dict[str, str]:
         chosen = {
             "url": self.url,
@@ -131,8 +165,9 @@ class JdbcLayer:
         }
         if self.declared_types:
             chosen["createTableColumnTypes"] = spec.column_types
-        if self.writers is not None:
-            chosen["numPartitions"] = str(self.writers)
+        writers = self.table_writers.get(spec.name, self.writers)
+        if writers is not None:
+            chosen["numPartitions"] = str(writers)
         if mode == "overwrite":
             chosen["truncate"] = "true"
         return chosen

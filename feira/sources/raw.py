@@ -2,25 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from feira.specs import TableSpec
 
+# Besides the columns of an entity: the names of those whose text could not be read, and the line.
+UNREADABLE, RECORD = "_unreadable", "_record"
+# Stands among the names for a line with too few or too many fields.
+WHOLE_LINE = "(line)"
+_BROKEN = "_broken_line"
+
+
+def _is_given(text: Column) -> Column:
+    return F.trim(text) != ""
+
+
+def _lost(name: str, kind) -> Column | None:
+    """True where the text of a column holds something its type does not take over whole."""
+    if isinstance(kind, StringType):
+        return None
+    text, value = F.col(name), F.col(name).try_cast(kind)
+    lost = value.isNull()
+    if isinstance(kind, DecimalType):
+        # Digits behind the last declared place would be rounded away.
+        lost = lost | F.coalesce(text.try_cast("decimal(38,16)") != value, F.lit(False))
+    return _is_given(text) & lost
+
+
+def read_checked(
+    spark: SparkSession, spec: TableSpec, path: str, quote_escape: str = '"'
+) -> DataFrame:
+    """`read_raw` with the columns `_unreadable` and `_record`.
+
+    Fields are read as text and cast, so no text gets lost: `_unreadable` names the columns that became
+    NULL or lost digits though there was text in them, and `_record` then holds the texts of the line
+    as JSON (the line itself where its number of fields is wrong).
+    """
+    texts = StructType([StructField(name, StringType()) for name in (*spec.names, _BROKEN)])
+    reader = (
+        spark.read.schema(texts)
+        .option("header", True)
+        .option("escape", quote_escape)
+        .option("columnNameOfCorruptRecord", _BROKEN)
+    )
+    if spec.multiline:
+        reader = reader.option("multiLine", True)
+    df = reader.csv(path)
+    marks = [F.when(F.col(_BROKEN).isNotNull(), F.lit(WHOLE_LINE))]
+    for column in spec.columns:
+        lost = _lost(column.name, column.type)
+        if lost is not None:
+            marks.append(F.when(lost, F.lit(column.name)))
+    names = F.array_compact(F.array(*marks))
+    line = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*spec.names)))
+    return df.select(
+        *[F.col(c.name).try_cast(c.type).alias(c.name) for c in spec.columns],
+        names.alias(UNREADABLE),
+        F.when(F.size(names) > 0, line).alias(RECORD),
+    )
+
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str, quote_escape: str = '"') -> DataFrame:
     """One raw entity; `path` is a file, a folder of part files or a glob.
 
     Quotes inside a quoted field are taken as doubled, which keeps review texts in one piece.
     Pass ``quote_escape="\\\\"`` to read with Spark's default instead; reviews whose text holds
-    doubled quotes then lose columns. Values that do not fit the declared type become NULL.
+    doubled quotes then lose columns. A value that does not fit the declared type becomes NULL; see
+    `read_checked` for which these are.
 
     A multi-line file cannot be split: Spark streams each file through one task. Ship such an
     entity as many files; everything after this read works on Parquet.
     """
-    reader = spark.read.schema(spec.schema).option("header", True).option("escape", quote_escape)
-    if spec.multiline:
-        reader = reader.option("multiLine", True)
-    return reader.csv(path)
+    return read_checked(spark, spec, path, quote_escape).select(*spec.names)
+
+
+def is_incomplete(spec: TableSpec) -> Column:
+    """True where one of the columns the entity requires is NULL."""
+    return F.expr(" OR ".join(f"{name} IS NULL" for name in spec.required) or "false")
 
 
 def drop_incomplete(df: DataFrame, spec: TableSpec) -> DataFrame:

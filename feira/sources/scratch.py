@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feira.sources.files import delete
 from feira.sources.parallel import run_all
 
 _local_folder: str | None = None
+_run_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +31,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/feira/{label}-{uuid4().hex}"
+    """A folder that does not exist yet, inside the folder of the current run if there is one."""
+    return f"{_run_folder or f'{shared_folder(spark)}/feira'}/{label}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch_of_run(spark: SparkSession) -> Iterator[None]:
+    """What is kept inside the block is deleted at its end, also after an error.
+
+    A block inside another one uses the outer one's folder.
+    """
+    global _run_folder
+    if _run_folder is not None:
+        yield
+        return
+    _run_folder = new_path(spark, "run")
+    try:
+        yield
+    finally:
+        ended, _run_folder = _run_folder, None
+        delete(spark, ended)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

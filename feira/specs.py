@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
 from pyspark.sql.types import (
-    ByteType,
     DataType,
     DecimalType,
     DoubleType,
@@ -19,9 +18,9 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-MONEY = DecimalType(10, 2)
-MONEY_SUM = DecimalType(20, 2)
-MONEY_MEAN = DecimalType(24, 6)
+MONEY = DecimalType(18, 2)
+MONEY_SUM = DecimalType(28, 2)
+MONEY_MEAN = DecimalType(32, 6)
 # Sums over items and reviews of an order can exceed the other types where one order has many of both.
 PAIRED_SUM = DecimalType(38, 2)
 PAIRED_COUNT = DecimalType(20, 0)
@@ -85,12 +84,12 @@ def money(name: str) -> Column:
     return Column(name, MONEY, MONEY.simpleString().upper())
 
 
-def small(name: str, kind: DataType = ShortType()) -> Column:
-    return Column(name, kind, "SMALLINT")
+def small(name: str) -> Column:
+    return Column(name, ShortType(), "SMALLINT")
 
 
-def whole(name: str, kind: DataType = IntegerType()) -> Column:
-    return Column(name, kind, "INT")
+def whole(name: str) -> Column:
+    return Column(name, IntegerType(), "INT")
 
 
 def moment(name: str) -> Column:
@@ -140,7 +139,7 @@ ORDER_ITEMS = TableSpec(
     "order_items",
     (
         char("order_id", 32),
-        small("order_item_id", ByteType()),
+        small("order_item_id"),
         char("product_id", 32),
         char("seller_id", 32),
         moment("shipping_limit_date"),
@@ -160,7 +159,7 @@ ORDER_PAYMENTS = TableSpec(
     "order_payments",
     (
         char("order_id", 32),
-        whole("payment_sequential", ByteType()),
+        whole("payment_sequential"),
         varchar("payment_type", 20),
         whole("payment_installments"),
         money("payment_value"),
@@ -175,7 +174,7 @@ ORDER_REVIEWS = TableSpec(
     (
         char("review_id", 32),
         char("order_id", 32),
-        small("review_score", ByteType()),
+        small("review_score"),
         varchar("review_comment_title", 255),
         varchar("review_comment_message", 255),
         moment("review_creation_date"),

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feira.plans.marts import order_sales
+from feira.plans.refresh import Layers, load_clean
 from feira.sources.layers import (
     CatalogLayer,
     JdbcLayer,
@@ -13,7 +15,7 @@ from feira.sources.layers import (
     unpad,
 )
 from feira.sources.scratch import keep, shared_folder
-from feira.specs import CLEAN, CLEAN_GEOLOCATION, MARTS, ORDER_ITEMS, ORDERS, SELLERS
+from feira.specs import CLEAN, CLEAN_GEOLOCATION, MARTS, ORDER_ITEMS, ORDERS, RAW, SELLERS
 
 from conftest import values
 
@@ -43,7 +45,7 @@ def test_tables_get_declared_columns_and_types(spark, tmp_path):
 
 
 def test_value_that_does_not_fit_stops_the_write(spark, tmp_path):
-    df = spark.sql("SELECT 'o' order_id, 300 order_item_id, 'p' product_id, 's' seller_id, "
+    df = spark.sql("SELECT 'o' order_id, 40000 order_item_id, 'p' product_id, 's' seller_id, "
                    "timestamp_ntz'2018-01-01' shipping_limit_date, 1 price, 1 freight_value")
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         ParquetLayer(str(tmp_path)).write(df, ORDER_ITEMS)
@@ -78,6 +80,96 @@ def test_bucketed_tables_join_by_key_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_failed_overwrite_leaves_the_old_table(spark, rows, tmp_path):
+    layer = ParquetLayer(str(tmp_path))
+    layer.write(rows(FIELDS, ("a", "1", "x", "SP")), SELLERS)
+    broken = rows(FIELDS, ("b", "2", "y", "RJ")).withColumn("seller_city", F.raise_error(F.lit("no city")))
+    with pytest.raises(Exception, match="no city"):
+        layer.write(broken, SELLERS)
+    assert values(layer.read(spark, SELLERS), "seller_id") == [("a",)]
+    assert [p.name for p in tmp_path.iterdir()] == ["sellers"]
+
+
+def test_orders_outside_a_window_are_in_other_files(spark, tmp_path):
+    orders = spark.range(4000).selectExpr(
+        "cast(id AS string) AS order_id", "'c' AS customer_id", "'shipped' AS order_status",
+        "if(id % 4 = 0, NULL, timestamp_ntz'2018-01-01' + make_dt_interval(pmod(xxhash64(id), 400))) "
+        "AS order_purchase_timestamp",
+        *[f"cast(NULL AS timestamp_ntz) AS {c}" for c in ORDERS.names[4:]],
+    )
+    layer = ParquetLayer(str(tmp_path))
+    # Files of a size that AQE would merge.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    layer.write(orders, ORDERS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = layer.read(spark, ORDERS).groupBy(F.input_file_name()).agg(
+        F.min("order_purchase_timestamp").alias("low"), F.max("order_purchase_timestamp").alias("high"),
+        F.count("*").alias("n"),
+    ).collect()
+    spans = sorted((f.low, f.high) for f in files if f.low)
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(f.n for f in files) < 2000
+
+
+class Reader:
+    """As much of a session's reader as `JdbcLayer` uses; keeps what it was asked for."""
+
+    def __init__(self, spark, asked):
+        self.spark, self.asked, self.chosen = spark, asked, {}
+
+    def format(self, name):
+        return self
+
+    def options(self, **chosen):
+        self.chosen = chosen
+        return self
+
+    def load(self):
+        return self._table(self.chosen["dbtable"], self.chosen)
+
+    def jdbc(self, url, table, predicates, properties):
+        return self._table(table, {"predicates": predicates})
+
+    def _table(self, name, chosen):
+        self.asked[name] = chosen
+        spec = next(s for s in RAW if f"raw_{s.name}" == name)
+        return self.spark.createDataFrame([], spec.schema)
+
+
+class Stub:
+    """A session whose reader is a stub and that is real otherwise."""
+
+    def __init__(self, spark, asked):
+        self._real, self.read = spark, Reader(spark, asked)
+
+    def __getattr__(self, name):
+        return getattr(self._real, name)
+
+
+def test_splits_reach_the_reader_through_the_pipeline(spark, tmp_path):
+    asked = {}
+    raw = JdbcLayer("jdbc:x", "raw_", splits={
+        "orders": RangeSplit("order_purchase_timestamp", "2016-01-01", "2019-01-01", 36),
+        "order_items": prefix_conditions("order_id"),
+    })
+
+    class Raw:
+        read = staticmethod(lambda session, spec: raw.read(Stub(session, asked), spec))
+
+    root = Layers.parquet(str(tmp_path))
+    load_clean(spark, Layers(Raw, root.clean, root.marts))
+    assert set(asked) == {f"raw_{spec.name}" for spec in RAW}
+    assert asked["raw_orders"]["numPartitions"] == "36"
+    assert len(asked["raw_order_items"]["predicates"]) == 16
+    assert "partitionColumn" not in asked["raw_sellers"]
+
+
+def test_writers_by_table():
+    layer = JdbcLayer("jdbc:x", writers=4, table_writers={"orders": 32})
+    assert layer.write_options(ORDERS, "append")["numPartitions"] == "32"
+    assert layer.write_options(SELLERS, "append")["numPartitions"] == "4"
+
+
 class Session:
     """As much of a session as `shared_folder` reads."""
 

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from feira.plans.star_oracle import ORACLE
+from feira.plans.star_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -30,13 +32,15 @@ def by_name(columns, found):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, engine, name):
-    df = contract.queries()[name](spark, FOLDER)
-    expected = engine.sql(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    expected = engine.sql(ORACLE[name])
     assert by_name(df.columns, df.collect()) == by_name(expected.columns, expected.fetchall())
 
 
