@@ -12,10 +12,9 @@ with any of its windows from above, and there are about eleven times fewer ancho
 3. Words under a window that a smaller document has are taken out of the texts.
 
 The sketch has a row of `cells` per hash function, sized by the input up to `MOST_CELLS`, so that what is
-broadcast, four bits a cell at most, stays under 32 MB. Beyond some 20 million anchors per row it lets more
-windows through; results do not change. Windows the sketch puts in `HOT` documents or more, of which
-there are few different ones, find their smallest document by a sum and a join, in which Spark combines
-or splits what one window holds; all others are grouped in one shuffle.
+broadcast, one bit a cell, stays under 16 MB. Beyond some 20 million anchors it lets more windows through;
+results do not change. A window that very many documents share is combined in the tasks that read it, is one
+row of the table of smallest documents, and is split by AQE where that table is joined.
 """
 
 from __future__ import annotations
@@ -26,11 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
-    BooleanType,
     IntegerType,
     LongType,
     StringType,
@@ -47,7 +45,6 @@ GRAM = 30
 SALTS = (0x51ED270B0A1F39C1, 0xA3AAC6C1D1F0B5E7)
 LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 26
 SECTION = 1 << 20
-HOT = 64
 # A task sends a partial sketch after so many anchors.
 FLUSH = 1 << 21
 
@@ -64,7 +61,6 @@ MERGED = StructType(
         StructField("row", IntegerType()),
         StructField("section", IntegerType()),
         StructField("repeated", BinaryType()),
-        StructField("hot", BinaryType()),
     ]
 )
 
@@ -130,8 +126,8 @@ def partition_sketches(texts: DataFrame, cells: int, window: int = WINDOW, gram:
     return texts.mapInArrow(run, SKETCH)
 
 
-def merged_sketch(partial: DataFrame, cells: int, hot: int = HOT) -> DataFrame:
-    """Per section, a bit per cell for counts of 2 or more and one for counts of `hot` or more."""
+def merged_sketch(partial: DataFrame, cells: int) -> DataFrame:
+    """The sums of all partial sketches: per section, a bit per cell for counts of 2 or more."""
     width = min(cells, SECTION)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +143,6 @@ def merged_sketch(partial: DataFrame, cells: int, hot: int = HOT) -> DataFrame:
                     pa.array([row], pa.int32()),
                     pa.array([section], pa.int32()),
                     pa.array([np.packbits(counts >= 2).tobytes()]),
-                    pa.array([np.packbits(counts >= hot).tobytes()]),
                 ],
                 MERGED.fieldNames(),
             )
@@ -155,13 +150,13 @@ def merged_sketch(partial: DataFrame, cells: int, hot: int = HOT) -> DataFrame:
     return partial.repartition("row", "section").mapInArrow(run, MERGED)
 
 
-def _joined(rows: list, cells: int, name: str) -> list[bytes]:
+def _joined(rows: list, cells: int) -> list[bytes]:
     """The bits of each sketch row in one piece."""
     width = min(cells, SECTION) // 8
     bits = [bytearray(cells // 8) for _ in SALTS]
     for found in rows:
         begin = found["section"] * width
-        bits[found["row"]][begin : begin + width] = found[name]
+        bits[found["row"]][begin : begin + width] = found["repeated"]
     return [bytes(b) for b in bits]
 
 
@@ -178,7 +173,7 @@ def _set(bits: list[np.ndarray], anchors: np.ndarray, cells: int) -> np.ndarray:
 def candidates(
     texts: DataFrame, sketch, cells: int, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
-    """(h1, h2, k, c, at, hot): windows of (k, t) whose anchor may be in two documents or more.
+    """(h1, h2, k, c, at): windows of (k, t) whose anchor may be in two documents or more.
 
     `c` is the CRC-32 of the text, which tells rows of one key apart; `at` is the first word.
     """
@@ -190,12 +185,11 @@ def candidates(
             StructField("k", kind.dataType),
             StructField("c", LongType()),
             StructField("at", IntegerType()),
-            StructField("hot", BooleanType()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, hot = [[np.frombuffer(b, np.uint8) for b in bits] for bits in sketch.value]
+        repeated = [np.frombuffer(bits, np.uint8) for bits in sketch.value]
         for batch in batches:
             keys, column = batch.column(0), batch.column(1)
             for chunk in chunks(column):
@@ -210,7 +204,6 @@ def candidates(
                 starts, owners = starts[chosen], owners[chosen]
                 if not len(starts):
                     continue
-                is_hot = _set(hot, own, cells)[run_of][chosen]
                 h1 = mix(rolling(x, window, BASES[0])[starts]).view(np.int64)
                 h2 = (mix(rolling(x, window, BASES[1])[starts]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 begins = np.cumsum(chunk.counts) - chunk.counts
@@ -224,7 +217,6 @@ def candidates(
                         keys.take(pa.array(owners + chunk.begin)),
                         pa.array(sums[owners]),
                         pa.array((starts - begins[owners]).astype(np.int32)),
-                        pa.array(is_hot),
                     ],
                     schema.fieldNames(),
                 )
@@ -234,17 +226,10 @@ def candidates(
 
 def later_windows(found: DataFrame) -> DataFrame:
     """(k, c, at) of the windows that a document with a smaller key has too; NULL keys are left alone."""
-    same = Window.partitionBy("h1", "h2")
-    cold = (
-        found.filter("NOT hot AND k IS NOT NULL")
-        .withColumn("first", F.min("k").over(same))
-        .filter("k > first")
-    )
-    hot = found.filter("hot AND k IS NOT NULL")
-    firsts = hot.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"))
+    known = found.filter("k IS NOT NULL")
+    firsts = known.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"))
     firsts = stored(firsts.filter("first < last").select("h1", "h2", "first"), "first-windows")
-    copied = hot.join(firsts, ["h1", "h2"]).filter("k > first")
-    return cold.select("k", "c", "at").unionByName(copied.select("k", "c", "at"))
+    return known.join(firsts, ["h1", "h2"]).filter("k > first").select("k", "c", "at")
 
 
 def covered_words(later: DataFrame) -> DataFrame:
@@ -290,11 +275,10 @@ def without_repeats(
     size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     cells = sketch_cells(size)
     merged = merged_sketch(partition_sketches(texts.select("t"), cells, window, gram), cells)
-    # At most 2 bits for each of 2 * MOST_CELLS cells: 32 MB.
-    rows = merged.collect()
-    sketch = spark.sparkContext.broadcast([_joined(rows, cells, name) for name in ("repeated", "hot")])
+    # A bit for each of 2 * MOST_CELLS cells: 16 MB at most.
+    sketch = spark.sparkContext.broadcast(_joined(merged.collect(), cells))
     found = stored(candidates(texts, sketch, cells, window, gram), "candidate-windows")
-    covered = covered_words(later_windows(found)).hint("shuffle_hash")
+    covered = stored(covered_words(later_windows(found)), "covered-words").hint("shuffle_hash")
     whole = docs.select(
         F.col(f"`{key}`").alias("k"),
         F.crc32(F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8")).alias("c"),
