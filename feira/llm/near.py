@@ -7,9 +7,10 @@ earlier ones. Two texts agree in a slot with the probability Jaccard similarity
 which for sets is the usual Jaccard similarity.
 
 With 32 bands of 5 slots a pair of similarity 0.8 shares no band with probability 3e-6. Texts of equal
-words are one node from the start. In every bucket each node is paired with the smallest one; found
+words are one node from the start. In every bucket each node is paired with one hub, another in each band;
 pairs are verified on the whole texts and joined to classes. Buckets that still hold several classes
-then pair the nodes of different classes, so no link is lost to the choice of the smallest.
+then pair the nodes of different classes, each pair in the first band it shares, if enough of their slots
+agree, so no link is lost to the choice of the hub.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    ByteType,
     LongType,
-    ShortType,
     StructField,
     StructType,
 )
@@ -34,10 +35,11 @@ from feira.llm.tables import stored
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_SLOTS = 32, 5
-SLOTS = BANDS * BAND_SLOTS
+# The bands take the first half of the slots; all of them estimate the similarity.
+SLOTS = 320
 # Pairs of one bucket, from different classes, that agree in fewer slots are not verified: with a
-# similarity of 0.8 that happens with probability 1e-8.
-AGREEING = 96
+# similarity of 0.8 that happens with probability 4e-6.
+AGREEING = 224
 STEP = 0x9E3779B97F4A7C15
 
 
@@ -105,7 +107,7 @@ def _text_hashes(chunk: Chunk) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, d1, d2, bands, slots) per row with words; `slots` holds 16 bits of each slot."""
+    """(k, d1, d2, bands, slots) per row with words; `slots` holds 8 bits of each slot."""
     picked = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     schema = StructType(
         [
@@ -113,7 +115,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             StructField("d1", LongType()),
             StructField("d2", LongType()),
             StructField("bands", ArrayType(LongType(), False)),
-            StructField("slots", ArrayType(ShortType(), False)),
+            StructField("slots", ArrayType(ByteType(), False)),
         ]
     )
 
@@ -131,7 +133,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 slots = signatures(*shingles(chunk), n_rows)[kept]
                 bands = np.zeros((len(kept), BANDS), np.uint64)
                 for i in range(BAND_SLOTS):
-                    bands = mix(bands + slots[:, i::BAND_SLOTS] * np.uint64(STEP))
+                    bands = mix(bands + slots[:, i : BANDS * BAND_SLOTS : BAND_SLOTS] * np.uint64(STEP))
                 hashes = _text_hashes(chunk).view(np.int64)[:, kept]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -139,7 +141,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                         pa.array(hashes[0]),
                         pa.array(hashes[1]),
                         lists(bands.view(np.int64)),
-                        lists((slots & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)),
+                        lists((slots & np.uint64(0xFF)).astype(np.uint8).view(np.int8)),
                     ],
                     schema.fieldNames(),
                 )
@@ -180,10 +182,11 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity:
     """The pairs (a, b) whose whole texts are that similar."""
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     ends = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    # Stored, so that each text is looked for once and both joins below can split a hot node.
-    known = stored(texts.join(ends, "k", "left_semi"), "paired-texts")
-    first = pairs.join(known.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a")
-    both = first.join(known.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
+    # Stored, so that each text is looked for once and both joins below can split a hot node. The hints
+    # keep small inputs on the plan that large ones need.
+    known = stored(texts.join(ends.hint("shuffle_hash"), "k", "left_semi"), "paired-texts")
+    first = pairs.hint("merge").join(known.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a")
+    both = first.hint("merge").join(known.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
     schema = StructType([StructField(name, pairs.schema[name].dataType) for name in ("a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,10 +269,12 @@ def near_classes(
     )
     entries = stored(nodes.select("node", F.posexplode("bands").alias("band", "hash")), "band-entries")
     bucket = ["band", "hash"]
-    hubs = entries.groupBy(*bucket).agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    hubs = stored(hubs.filter("hub < last").select(*bucket, "hub"), "hubs")
+    # The hub is another node in each band, so that each node meets many different ones.
+    drawn = F.min(F.struct(F.xxhash64("node", "band").alias("luck"), "node"))
+    hubs = entries.groupBy(*bucket).agg(drawn.alias("first"), F.count("*").alias("n")).filter("n > 1")
+    hubs = stored(hubs.select(*bucket, F.col("first.node").alias("hub")), "hubs")
     shared = stored(entries.join(hubs, bucket), "shared-buckets")
-    pairs = shared.filter("node > hub").select(*_ordered("node", "hub")).distinct()
+    pairs = shared.filter("node <> hub").select(*_ordered("node", "hub")).distinct()
     pairs = stored(pairs, "hub-pairs")
     links = stored(verified(pairs, docs, key, text, similarity), "hub-links")
     labels = components(links)
@@ -281,10 +286,12 @@ def near_classes(
     mixed = members.groupBy(*bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = stored(mixed.filter("low < high").select(*bucket), "mixed-buckets")
     if mixed.limit(1).count():
-        slots = nodes.select("node", "slots")
-        apart = stored(members.join(mixed, bucket).join(slots, "node"), "apart")
-        left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in ("node", "label", "slots")])
-        right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in ("node", "label", "slots")])
+        known = nodes.select("node", "bands", "slots")
+        apart = stored(members.join(mixed, bucket).join(known, "node"), "apart")
+        kept = ("node", "label", "bands", "slots")
+        left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in kept])
+        right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in kept])
+        first_band = F.array_position(F.zip_with("bands_x", "bands_y", lambda x, y: x == y), True) - 1
         agreeing = F.aggregate(
             F.zip_with("slots_x", "slots_y", lambda x, y: (x == y).cast("int")),
             F.lit(0),
@@ -293,7 +300,7 @@ def near_classes(
         alike = left.join(
             right,
             [left[c] == right[c] for c in bucket]
-            + [F.col("label_x") < F.col("label_y"), agreeing >= AGREEING],
+            + [F.col("label_x") < F.col("label_y"), first_band == left["band"], agreeing >= AGREEING],
         )
         more = alike.select(*_ordered("node_x", "node_y")).distinct().join(pairs, ["a", "b"], "left_anti")
         more = stored(more, "more-pairs")
