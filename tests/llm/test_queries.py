@@ -1,0 +1,55 @@
+"""Registered queries against their SQL, and the pipeline against its parts."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from feira.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def engine():
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return connection
+
+
+def by_name(columns, found):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(repr(tuple(row[i] for i in order)) for row in found)
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_query_equals_sql(spark, engine, name):
+    df = queries.QUERIES[name](spark, FOLDER)
+    result = engine.execute(queries.ORACLE[name])
+    assert by_name(df.columns, df.collect()) == by_name([c[0] for c in result.description], result.fetchall())
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in queries.ORACLE])
+def test_query_has_a_row_per_document(spark, name):
+    assert queries.QUERIES[name](spark, FOLDER).count() == queries.table(spark, FOLDER, "documents").count()
+
+
+def test_pipeline(spark):
+    docs = queries.table(spark, FOLDER, "documents")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "near_dedup", "substring_dedup", "source_mix", "byte_bpe"]
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, FOLDER)
+        if name != "byte_bpe":
+            assert found.columns == docs.columns
+            counts.append((docs.count(), found.count()))
+            docs = found
+    for before, after in counts[:3]:
+        assert 0 < after <= before
+    result = corpus_pipeline.run(spark, FOLDER)
+    assert result.columns == ["doc_id", "ids", "decoded"]
+    assert result.count() == counts[-1][1]
+    assert {r.doc_id for r in result.select("doc_id").collect()} <= {r.doc_id for r in docs.collect()}
