@@ -8,9 +8,9 @@ which for sets is the usual Jaccard similarity.
 
 With 32 bands of 5 slots a pair of similarity 0.8 shares no band with probability 3e-6. Texts of equal
 words are one node from the start. In every bucket each node is paired with one hub, another in each band;
-pairs are verified on the whole texts and joined to classes. Buckets that still hold several classes
-then pair the nodes of different classes, each pair in the first band it shares, if enough of their slots
-agree, so no link is lost to the choice of the hub.
+pairs are verified on the whole texts and joined to classes. Where a bucket still holds several classes, its
+nodes meet some more hubs; in what then is left, all nodes of different classes are paired, each pair in the
+first band it shares, if enough of their slots agree. So no link is lost to the choice of the hubs.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ SLOTS = 320
 # Pairs of one bucket, from different classes, that agree in fewer slots are not verified: with a
 # similarity of 0.8 that happens with probability 4e-6.
 AGREEING = 224
+# Hubs that each node of a bucket with several classes meets besides the first.
+MORE_HUBS = 3
 STEP = 0x9E3779B97F4A7C15
 
 
@@ -282,31 +284,52 @@ def near_classes(
     def labelled(frame: DataFrame, known: DataFrame) -> DataFrame:
         return frame.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    members = stored(labelled(shared.select("node", *bucket), labels), "bucket-classes")
-    mixed = members.groupBy(*bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = stored(mixed.filter("low < high").select(*bucket), "mixed-buckets")
-    if mixed.limit(1).count():
-        known = nodes.select("node", "bands", "slots")
-        apart = stored(members.join(mixed, bucket).join(known, "node"), "apart")
-        kept = ("node", "label", "bands", "slots")
+    known = nodes.select("node", "bands", "slots")
+
+    def in_mixed_buckets() -> DataFrame:
+        """The nodes of every bucket that holds several classes."""
+        members = stored(labelled(shared.select("node", *bucket), labels), "bucket-classes")
+        mixed = members.groupBy(*bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = mixed.filter("low < high").select(*bucket)
+        return stored(members.join(mixed, bucket).join(known, "node"), "mixed-buckets")
+
+    def join_classes(alike: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Links, labels and tried pairs after verifying those pairs of `alike` that are new."""
+        new = alike.select(*_ordered("node_x", "node_y")).distinct()
+        new = stored(new.join(tried, ["a", "b"], "left_anti"), "more-pairs")
+        if not new.limit(1).count():
+            return links, labels, tried
+        every = links.union(stored(verified(new, docs, key, text, similarity), "more-links"))
+        return every, components(every), tried.union(new)
+
+    agreeing = F.aggregate(
+        F.zip_with("slots_x", "slots_y", lambda x, y: (x == y).cast("int")),
+        F.lit(0),
+        lambda total, one: total + one,
+    )
+    kept = ("node", "label", "slots")
+    apart = in_mixed_buckets()
+    if apart.limit(1).count():
+        # More hubs, for nodes that are like few others of a large group.
+        drawn = [
+            F.min(F.struct(F.xxhash64(F.lit(i), "node", "band").alias("luck"), *kept)) for i in range(MORE_HUBS)
+        ]
+        hubs = apart.groupBy(*bucket).agg(F.array(*drawn).alias("hubs")).select(*bucket, F.explode("hubs").alias("hub"))
+        hubs = stored(hubs.select(*bucket, *[F.col(f"hub.{c}").alias(f"{c}_y") for c in kept]), "more-hubs")
         left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in kept])
-        right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in kept])
+        met = left.join(hubs, [left[c] == hubs[c] for c in bucket] + [F.col("label_x") != F.col("label_y"), agreeing >= AGREEING])
+        links, labels, pairs = join_classes(met, pairs)
+        apart = in_mixed_buckets()
+    if apart.limit(1).count():
+        left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in (*kept, "bands")])
+        right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in (*kept, "bands")])
         first_band = F.array_position(F.zip_with("bands_x", "bands_y", lambda x, y: x == y), True) - 1
-        agreeing = F.aggregate(
-            F.zip_with("slots_x", "slots_y", lambda x, y: (x == y).cast("int")),
-            F.lit(0),
-            lambda total, one: total + one,
-        )
         alike = left.join(
             right,
             [left[c] == right[c] for c in bucket]
             + [F.col("label_x") < F.col("label_y"), first_band == left["band"], agreeing >= AGREEING],
         )
-        more = alike.select(*_ordered("node_x", "node_y")).distinct().join(pairs, ["a", "b"], "left_anti")
-        more = stored(more, "more-pairs")
-        if more.limit(1).count():
-            links = links.union(stored(verified(more, docs, key, text, similarity), "more-links"))
-            labels = components(links)
+        links, labels, pairs = join_classes(alike, pairs)
     classes = stored(labelled(nodes.select("node", "d1", "d2", "n_copies"), labels), "classes")
     member = found.select("k", "d1", "d2").join(classes, ["d1", "d2"])
     member = member.select(F.col("k").alias("doc_id"), F.col("label").alias("class_id"), "n_copies")

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 
 from feira.llm import quality
@@ -35,7 +35,8 @@ TEXTS = st.text(alphabet="ab #|\n\t é \U0001f600", max_size=60) | st.lists(
 ).map(" ".join)
 
 
-@settings(max_examples=4, deadline=None)
+# Not shrunk: each example is a Spark job.
+@settings(max_examples=4, deadline=None, phases=[Phase.generate])
 @given(texts=st.lists(TEXTS, min_size=12, max_size=25))
 def test_base_measures(documents, texts):
     rows = [(i, text) for i, text in enumerate([None, "", " \n", *texts])]
