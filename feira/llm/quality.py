@@ -147,7 +147,8 @@ def judged(
 
     A NULL or empty text has no words and fails the base rules. Repeated rows are judged alike, each
     for itself; no row is looked at together with another, so nothing is shuffled. Rows with NULL in
-    other columns, and tables without rows, pass through.
+    other columns, and tables without rows, pass through. To keep the good rows alone use
+    `filter_quality`, not a filter on `kept`: Spark would write the measures out at every use.
     """
     found = measures(docs, text).withColumn("base_failed", ~compiled(base))
     found = found.withColumn("kept", ~F.col("base_failed") & compiled(rules))
@@ -158,8 +159,13 @@ def judged(
 
 
 def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs` whose text passes all rules, with their columns unchanged."""
-    found = measures(docs, text).filter(compiled((*BASE_RULES, *RULES)))
+    """The rows of `docs` whose text passes all rules, with their columns unchanged.
+
+    The row number in the test keeps Spark from moving it below the projections, where each measure would be
+    written out in full, arrays and all, at every place that uses it.
+    """
+    numbered = measures(docs, text).withColumn("number", F.monotonically_increasing_id())
+    found = numbered.filter(compiled((*BASE_RULES, *RULES)) & (F.col("number") >= 0))
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
