@@ -16,7 +16,7 @@ from feira.session import local_session
 HEADLINE = [
     name
     for name in QUERIES
-    if name.startswith(("m1", "m2", "m3", "m4", "m5", "m6", "m7", "m8", "c1", "c2", "c3"))
+    if name.startswith(("m1", "m2", "m3", "m4", "m5", "m6", "m7", "m8", "c1", "c2", "c3", "x1"))
 ]
 
 

@@ -74,3 +74,48 @@ def test_parents_come_first():
             assert {fk.parent for fk in spec.foreign_keys} <= seen
         seen |= {spec.name for spec in group}
     assert len(seen) == 10
+
+
+def test_declared_keys_references_and_widths():
+    """The contract of the clean tables as plain values, apart from the code that declares them."""
+    from feira.specs import CLEAN
+
+    keys = {spec.name: ",".join(spec.primary_key) for spec in CLEAN}
+    assert keys == {
+        "customers": "customer_id",
+        "geolocation": "geolocation_id",
+        "order_items": "order_id,order_item_id",
+        "order_payments": "order_id,payment_sequential",
+        "order_reviews": "order_id,review_id",
+        "orders": "order_id",
+        "product_category_name_translation": "product_category_name",
+        "products": "product_id",
+        "sellers": "seller_id",
+        "zip": "zip_code_prefix,zip_city,zip_state",
+    }
+    references = {(s.name, ",".join(fk.columns), fk.parent) for s in CLEAN for fk in s.foreign_keys}
+    assert references == {
+        ("customers", "customer_zip_code_prefix,customer_city,customer_state", "zip"),
+        ("geolocation", "geolocation_zip_code_prefix,geolocation_city,geolocation_state", "zip"),
+        ("order_items", "order_id", "orders"),
+        ("order_items", "product_id", "products"),
+        ("order_items", "seller_id", "sellers"),
+        ("order_payments", "order_id", "orders"),
+        ("order_reviews", "order_id", "orders"),
+        ("orders", "customer_id", "customers"),
+        ("products", "product_category_name", "product_category_name_translation"),
+        ("sellers", "seller_zip_code_prefix,seller_city,seller_state", "zip"),
+    }
+    widths = {s.name: " ".join(str(w) for w in s.widths.values()) for s in CLEAN}
+    assert widths == {
+        "customers": "32 32 5 40 2",
+        "geolocation": "5 40 2",
+        "order_items": "32 32 32",
+        "order_payments": "32 20",
+        "order_reviews": "32 32 255 255",
+        "orders": "32 32 11",
+        "product_category_name_translation": "50 50",
+        "products": "32 50",
+        "sellers": "32 5 40 2",
+        "zip": "5 40 2",
+    }
