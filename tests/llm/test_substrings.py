@@ -28,7 +28,7 @@ def check(documents, rows):
     docs = documents(*rows)
     found = substrings.without_repeats(docs)
     assert found.columns[:2] == ["doc_id", "text"] and "a b" in found.columns
-    got = [(r.doc_id, r.n_words, r.n_removed, " ".join((r.text or "").split())) for r in found.collect()]
+    got = [(r.doc_id, r.n_words, r.n_removed, b" ".join((r.text or "").encode().split()).decode()) for r in found.collect()]
     assert sorted(got, key=repr) == brute(rows)
     kept = {(r.doc_id, r.text) for r in found.filter("n_removed = 0").collect()}
     assert kept <= set(rows)
