@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 # The notices looked for.
 TEMPLATES = {
+    "All-rights-reserved": "All rights reserved.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -33,6 +36,26 @@ def test_notices(documents):
     assert 0.9 < changed.coverage < 1
 
 
+LINES = {
+    "All rights reserved.": "All-rights-reserved",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Released under the MIT License.": "MIT",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_every_license_line_of_the_tables(scale):
+    texts = pq.read_table(f"/root/testdata/{scale}/documents.parquet", columns=["text"])["text"].to_pylist()
+    about = re.compile("licen[cs]e|copyright|rights reserved|public domain|creative commons|proprietary", re.I)
+    lines = [(text, line) for text in texts if text for line in set(text.split("\n")) if about.search(line)]
+    assert {line for _, line in lines} <= LINES.keys()
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE, licenses.STRETCH)
+    for text, line in lines:
+        assert LINES[line] in {name for name, *_ in scanner.notices(text)}
+
+
 def test_empty_table(documents):
     assert licenses.licenses(documents((1, "x")).filter("false")).count() == 0
 
