@@ -48,6 +48,26 @@ TEMPLATES = {
         "the above copyright notice, this list of conditions and the following disclaimer."
     ),
 }
+# Phrases that tell a license from its relatives. Each must stand in the text, word after
+# word, where the template's is aligned.
+DECIDING = {
+    "All-rights-reserved": ("all rights", "reserved"),
+    "Apache-2.0": ("apache", "2 0"),
+    "Apache-2.0-header": ("apache", "2 0"),
+    "CC-BY-NC-4.0": ("cc by nc", "4 0"),
+    "GPL-3.0": ("gnu general public license", "version 3"),
+    "GPL-3.0-header": ("gnu general public license", "version 3"),
+    "MIT": ("mit",),
+    "MIT-permission": ("without restriction", "sell"),
+}
+# Words that make another license of it when they stand inside the stretch.
+FOREIGN = {
+    "Apache-2.0-header": ("educational",),
+    "CC-BY-NC-4.0": ("nd", "sa"),
+    "GPL-3.0": ("affero", "lesser", "library"),
+    "GPL-3.0-header": ("affero", "lesser"),
+    "MIT": ("0", "no"),
+}
 # Part of a template's words that must be aligned.
 COVERAGE = 0.8
 # The aligned stretch of the text may be this much longer than the template.
@@ -132,33 +152,76 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
 class Template:
     name: str
     words: list[bytes]
+    deciding: list[list[bytes]]
+    foreign: frozenset[bytes]
 
     @property
     def counts(self) -> Counter:
         return Counter(self.words)
 
+    @property
+    def phrases(self) -> list[tuple[int, list[bytes]]]:
+        """The deciding phrases and where they first stand in the template."""
+        found = []
+        for phrase in self.deciding:
+            places = range(len(self.words) - len(phrase) + 1)
+            place = next((i for i in places if self.words[i : i + len(phrase)] == phrase), None)
+            if place is None:
+                raise ValueError(f"template {self.name} does not hold {b' '.join(phrase).decode()!r}")
+            found.append((place, phrase))
+        return found
+
+
+def decided(
+    words: list[bytes], pairs: list[tuple[int, int]], phrases: list[tuple[int, list[bytes]]], foreign: frozenset[bytes]
+) -> bool:
+    """Whether each phrase stands in the text where one of its words is aligned, with no foreign word between."""
+    at = {other: place for place, other in pairs}
+    for begin, phrase in phrases:
+        starts = [at[begin + i] - i for i in range(len(phrase)) if begin + i in at]
+        if not any(start >= 0 and words[start : start + len(phrase)] == phrase for start in starts):
+            return False
+    return foreign.isdisjoint(words[pairs[0][0] : pairs[-1][0] + 1])
+
 
 class Scanner:
     """Looks for all templates in one text after the other."""
 
-    def __init__(self, templates: dict[str, str], coverage: float, stretch: float):
-        self.templates = [Template(name, plain_words(text)) for name, text in sorted(templates.items())]
+    def __init__(
+        self,
+        templates: dict[str, str],
+        coverage: float,
+        stretch: float,
+        deciding: dict[str, tuple[str, ...]] | None = None,
+        foreign: dict[str, tuple[str, ...]] | None = None,
+    ):
+        self.templates = [
+            Template(
+                name,
+                plain_words(text),
+                [plain_words(phrase) for phrase in (deciding or {}).get(name, ())],
+                frozenset(word for words in (foreign or {}).get(name, ()) for word in plain_words(words)),
+            )
+            for name, text in sorted(templates.items())
+        ]
         self.counts = [template.counts for template in self.templates]
+        self.phrases = [template.phrases for template in self.templates]
         self.coverage, self.stretch = coverage, stretch
 
     def notices(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """(template, coverage, first word, last word) of every notice, template by template."""
         words = plain_words(text)
         known = set(words)
-        for template, counts in zip(self.templates, self.counts):
+        for template, counts, phrases in zip(self.templates, self.counts, self.phrases):
             size = len(template.words)
             need = max(1, -int(-self.coverage * size // 1))
             # No alignment can pair more words than the text has of the template's.
             if sum([counts[w] for w in known & counts.keys()]) < need:
                 continue
-            yield from self._stretches(words, template, counts, need)
+            if all(known.issuperset(phrase) for _, phrase in phrases):
+                yield from self._stretches(words, template, counts, phrases, need)
 
-    def _stretches(self, words, template, counts, need) -> Iterator[tuple[str, float, int, int]]:
+    def _stretches(self, words, template, counts, phrases, need) -> Iterator[tuple[str, float, int, int]]:
         size = len(template.words)
         longest = int(self.stretch * size) + 1
         hits = [i for i, w in enumerate(words) if w in counts]
@@ -167,12 +230,16 @@ class Scanner:
             begin, end = hits[last - need + 1], hits[last] + 1
             if begin < after or end - begin > longest:
                 continue
-            # The words that are still missing may stand on either side.
+            # The words that are still missing may stand on either side, or be those of another notice.
             left, right = max(after, begin - longest + need), min(len(words), begin + longest)
-            pairs = align(words[left:right], template.words)
-            if len(pairs) >= need and pairs[-1][0] - pairs[0][0] < longest:
-                yield template.name, len(pairs) / size, left + pairs[0][0], left + pairs[-1][0]
-                after = left + pairs[-1][0] + 1
+            for i, j in dict.fromkeys(((left, right), (begin, right), (left, end), (begin, end))):
+                pairs = [(i + place, other) for place, other in align(words[i:j], template.words)]
+                if len(pairs) < need or pairs[-1][0] - pairs[0][0] >= longest:
+                    continue
+                if decided(words, pairs, phrases, template.foreign):
+                    yield template.name, len(pairs) / size, pairs[0][0], pairs[-1][0]
+                    after = pairs[-1][0] + 1
+                    break
 
     def best(self, text: str) -> tuple[str, float, int, int, int] | None:
         """The notice with the most aligned words of the whole text, and the number of notices.
@@ -194,6 +261,8 @@ def licenses(
     stretch: float = STRETCH,
     key: str = "doc_id",
     text: str = "text",
+    deciding: dict[str, tuple[str, ...]] | None = None,
+    foreign: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word, n_notices), one row per document.
 
@@ -201,11 +270,17 @@ def licenses(
     the words of `plain_words`. A NULL or empty text has no notice. Repeated rows and rows with a NULL
     key get each their own result; other columns are left out; a table without rows gives no rows.
     Each text is looked at by itself, so nothing is shuffled.
+
+    `deciding` and `foreign` give, by template, the phrases that must stand in the text and the words that
+    must not stand between; without them DECIDING and FOREIGN hold for the default templates and none for others.
     """
     chosen = TEMPLATES if templates is None else templates
+    if templates is None:
+        deciding = DECIDING if deciding is None else deciding
+        foreign = FOREIGN if foreign is None else foreign
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(chosen, coverage, stretch)
+        scanner = Scanner(chosen, coverage, stretch, deciding, foreign)
         for batch in batches:
             found = [scanner.best(value.as_py() or "") for value in batch.column(1)]
             columns = zip(*[row or (None, 0.0, None, None, 0) for row in found])

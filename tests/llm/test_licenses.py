@@ -36,6 +36,11 @@ def test_notices(documents):
     assert 0.9 < changed.coverage < 1
 
 
+def default_scanner():
+    parts = licenses.TEMPLATES, licenses.COVERAGE, licenses.STRETCH, licenses.DECIDING, licenses.FOREIGN
+    return licenses.Scanner(*parts)
+
+
 LINES = {
     "All rights reserved.": "All-rights-reserved",
     "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
@@ -51,11 +56,64 @@ def test_every_license_line_of_the_tables(scale):
     about = re.compile("licen[cs]e|copyright|rights reserved|public domain|creative commons|proprietary", re.I)
     lines = [(text, line) for text in texts if text for line in set(text.split("\n")) if about.search(line)]
     assert {line for _, line in lines} <= LINES.keys()
-    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE, licenses.STRETCH)
+    scanner = default_scanner()
     for text, line in lines:
         assert LINES[line] in {name for name, *_ in scanner.notices(text)}
 
 
+OTHERS = [
+    "Released under the BSD License.",
+    "Licensed under CC BY 4.0.",
+    "Licensed under CC BY-SA 4.0.",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "Licensed under CC BY-NC-ND 4.0.",
+    "Licensed under CC BY-NC 3.0.",
+    "Licensed under the Apache License, Version 1.0.",
+    "Licensed under the Apache License, Version 1.1.",
+    "Licensed under the Educational Community License, Version 2.0.",
+    "Some rights reserved.",
+    licenses.TEMPLATES["GPL-3.0-header"].replace("either version 3", "either version 2"),
+    licenses.TEMPLATES["GPL-3.0-header"].replace("GNU General", "GNU Lesser General"),
+    HEADER.replace("Apache License", "Educational Community License").replace("apache", "opensource"),
+]
+
+
+def test_other_licenses_have_no_label(documents):
+    pad = " ".join(prose(3, 30))
+    rows = [(i, line) for i, line in enumerate(OTHERS)] + [(i, f"{pad} {line}\n{pad}") for i, line in enumerate(OTHERS)]
+    found = licenses.licenses(documents(*rows)).collect()
+    assert len(found) == len(rows)
+    assert [(OTHERS[r.doc_id], r.license) for r in found if r.license or r.n_notices] == []
+
+
+@pytest.mark.parametrize("line", LINES)
+@pytest.mark.parametrize("other", OTHERS)
+def test_notice_beside_another_license(line, other):
+    pad = " ".join(prose(3, 30))
+    for text in (f"{other}\n{line}", f"{line}\n{other}", f"{pad} {other} {line} {pad}", f"{pad} {line} {other} {pad}"):
+        assert [name for name, *_ in default_scanner().notices(text)] == [LINES[line]]
+
+
+def test_deciding_phrases_may_stand_beside_changes():
+    for text, name in [
+        ("Licensed under CC BY-NC, version 4.0", "CC-BY-NC-4.0"),
+        ("licensed under the GNU General Public License (GPL), version 3", None),
+        ("this work is licensed under the GNU General Public License (GPL), version 3", "GPL-3.0"),
+        ("this work is licensed under the GNU General Public License, version 2 or version 3", "GPL-3.0"),
+        ("All rights are reserved", "All-rights-reserved"),
+        ("Licensed under the Apache License 2.0", "Apache-2.0"),
+    ]:
+        assert [n for n, *_ in default_scanner().notices(text)] == ([name] if name else []), text
+
+
+def test_deciding_phrase_must_be_in_its_template():
+    with pytest.raises(ValueError, match="does not hold 'bsd'"):
+        licenses.Scanner({"MIT": MIT}, 0.8, 1.5, {"MIT": ("bsd",)})
+
+
 def test_empty_table(documents):
     assert licenses.licenses(documents((1, "x")).filter("false")).count() == 0
 
