@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feira.llm.tables import stored
 
 SHARDS = 16
 SEED = 20_011
 BUCKET_BYTES = 16 << 20
+# Rows of a bucket are this many bytes long on average at least, so short rows do not crowd into one.
+LEAST_BYTES = 16
+# Copies of one row are dealt in parts of this part of a bucket.
+PART = 8
 
 
 def record_bytes(text: Column) -> Column:
@@ -20,9 +25,54 @@ def text_crc32(text: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
 
 
-def scatter(key: Column, text: Column, buckets: int, seed: int) -> Column:
-    """The bucket of a record: a seeded hash, uniform whatever the order of the input."""
-    return F.pmod(F.xxhash64(F.lit(seed), key, text_crc32(text)), F.lit(buckets)).cast("int")
+def scatter(row: Column, part: Column, buckets: int, seed: int) -> Column:
+    """The bucket of a part of the copies of a row: a seeded hash, uniform whatever the order of the input."""
+    return F.pmod(F.xxhash64(F.lit(seed), row, part), F.lit(buckets)).cast("int")
+
+
+def row_hash(docs: DataFrame, columns: list[str]) -> Column:
+    """A hash of the columns, but for those of types without one."""
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in columns}
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns if "map<" not in kinds[c] and "variant" not in kinds[c]])
+
+
+def _exact(docs: DataFrame, name: str) -> Column:
+    """A grouping key that is equal only for the same value: -0.0 is not 0.0, nor one case of a letter another."""
+    kind = docs.schema[name].dataType.typeName()
+    column = F.col(f"`{name}`")
+    return column.cast("binary") if kind == "string" else column.cast("string") if kind in ("float", "double") else column
+
+
+def dealt_rows(docs: DataFrame, text: str, bucket_bytes: int, seed: int) -> tuple[DataFrame, int, int, bool]:
+    """(row, record, part, copies, bucket), the numbers of rows and buckets, and whether any row has copies."""
+    whole = docs.select(
+        row_hash(docs, docs.columns).alias("row"),
+        record_bytes(F.col(f"`{text}`")).alias("bytes"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
+        *[_exact(docs, c).alias(f"exact {i}") for i, c in enumerate(docs.columns)],
+    )
+    groups = stored(whole.groupBy("row").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "equal-rows")
+    size = groups.agg(F.sum("n"), F.sum("bytes")).first()
+    rows, total = size[0] or 0, size[1] or 0
+    buckets = max(1, -(-total // bucket_bytes), -(-rows * LEAST_BYTES // bucket_bytes))
+    in_part = F.expr(f"greatest(1L, {bucket_bytes}L div ({PART} * greatest(bytes, {LEAST_BYTES}L)))")
+    many = groups.withColumn("bytes", F.expr("bytes div n")).filter(F.col("n") > in_part).select("row").hint("broadcast")
+    single = whole.select("row", "record", F.lit(0).alias("part"), F.lit(1).alias("copies"))
+    # At most PART rows a bucket. Rows with the same hash that are not equal are grouped apart.
+    repeated = not many.isEmpty()
+    if repeated:
+        grouped = (
+            whole.join(many, "row", "left_semi")
+            .groupBy("row", "bytes", *[f"exact {i}" for i in range(len(docs.columns))])
+            .agg(F.count("*").alias("n"), F.first("record").alias("record"))
+        )
+        parts = stored(grouped.select("row", "record", "n", in_part.alias("m")), "repeated-rows").select(
+            "row", "record", "n", "m", F.explode(F.expr("sequence(0, cast((n - 1) div m AS int))")).alias("part")
+        )
+        copies = F.expr("cast(least(m, n - part * m) AS int)").alias("copies")
+        single = single.join(many, "row", "left_anti").unionByName(parts.select("row", "record", "part", copies))
+    bucket = scatter(F.col("row"), F.col("part"), buckets, seed)
+    return single.withColumn("bucket", bucket), rows, buckets, repeated
 
 
 def write_shards(
@@ -36,45 +86,41 @@ def write_shards(
 ) -> DataFrame:
     """Write `docs` in random order to folders `shard=0` ... under `path`; returns the written table.
 
-    Pass one deals the records to buckets of about `bucket_bytes` by a seeded hash of key and text;
+    Pass one deals the records to buckets of about `bucket_bytes` by a seeded hash of all their columns;
     pass two puts each bucket in a random order in one task (Spark's `shuffle` is a Fisher-Yates
     shuffle; its input is sorted first and each bucket has a task of its own, so that a second run
     gives the same order) and writes it. The records of all buckets, one bucket after the other, are
     cut into `shards` runs whose lengths differ by one at most; `slot` counts from 0 in each.
 
     The result columns `shard` and `slot` replace input columns of those names. Copies of a text have
-    keys of their own and so spread over all buckets, as do records without key or text; only rows that are
-    equal in both meet in one bucket. A table without rows gives an empty table.
+    keys of their own and so spread over all buckets, as do records without key or text. Rows that are equal in
+    all columns and fill more than 1 / PART of a bucket travel as (row, copies), in parts that are dealt
+    each by itself and expanded in their buckets. A table without rows gives an empty table.
     """
     spark = docs.sparkSession
     results = ("shard", "slot")
     kept = [c for c in docs.columns if c.lower() not in results]
-    size = docs.agg(F.count("*"), F.sum(record_bytes(F.col(f"`{text}`")))).first()
-    rows, total = size[0], size[1] or 0
-    buckets = max(1, -(-total // bucket_bytes))
-    bucket = scatter(F.col(f"`{key}`"), F.col(f"`{text}`"), buckets, seed)
+    single, rows, buckets, repeated = dealt_rows(docs.select(*[F.col(f"`{c}`") for c in kept]), text, bucket_bytes, seed)
 
     first = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = docs.groupBy(bucket.alias("bucket")).count()
+    counts = single.groupBy("bucket").agg(F.sum("copies").alias("count"))
     # One row per bucket.
     begins = counts.select(
         "bucket", F.coalesce(F.sum("count").over(first), F.lit(0)).alias("begin")
     )
-    record = F.struct(*[F.col(f"`{c}`") for c in kept])
-    order = F.xxhash64(F.lit(seed + 1), F.col(f"`{key}`"), text_crc32(F.col(f"`{text}`")))
-    dealt = docs.select(
-        bucket.alias("bucket"),
-        F.struct(order.alias("order"), F.col(f"`{key}`").alias("key"), record.alias("record")).alias("entry"),
+    order = F.xxhash64(F.lit(seed + 1), F.col("row"))
+    at_key = F.col("record").getField(key)
+    dealt = single.select(
+        "bucket",
+        F.struct(order.alias("order"), at_key.alias("key"), "record", "copies").alias("entry"),
     ).repartitionById(buckets, F.col("bucket"))
+    entries = F.array_sort("entries", lambda a, b: _compare(a, b))
+    if repeated:
+        entries = F.flatten(F.transform(entries, lambda e: F.array_repeat(e, e["copies"])))
     mixed = (
         dealt.groupBy("bucket")
         .agg(F.collect_list("entry").alias("entries"))
-        .select(
-            "bucket",
-            F.shuffle(
-                F.array_sort("entries", lambda a, b: _compare(a, b)), seed
-            ).alias("entries"),
-        )
+        .select("bucket", F.shuffle(entries, seed).alias("entries"))
     )
     placed = mixed.join(begins, "bucket").select(
         "begin", F.posexplode("entries").alias("place", "entry")

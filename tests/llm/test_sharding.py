@@ -54,3 +54,30 @@ def test_each_bucket_has_a_task(documents, tmp_path, spark):
     files = list((tmp_path / "s").rglob("part-*.parquet"))
     # A bucket lies in one shard or across the border of two.
     assert len(files) <= -(-300 * 51 // 2048) + 16
+
+
+@pytest.mark.parametrize("row", [(None, None), (7, "same text")])
+def test_equal_rows_spread_over_buckets(documents, tmp_path, row):
+    docs = documents(*[(i, f"text {i}") for i in range(100, 400)], *[row] * 900)
+    table = sharding.write_shards(docs, str(tmp_path / "s"), bucket_bytes=2000)
+    found = table.select("doc_id", "text", "shard", "slot").collect()
+    assert sum((r.doc_id, r.text) == row for r in found) == 900 and len(found) == 1200
+    assert {r.doc_id for r in found} == {row[0], *range(100, 400)}
+    assert sorted((r.shard, r.slot) for r in found) == [(s, i) for s in range(16) for i in range(75)]
+    dealt, rows, buckets, repeated = sharding.dealt_rows(docs, "text", 2000, sharding.SEED)
+    sizes = [r[0] for r in dealt.groupBy("bucket").agg({"copies": "sum"}).select("sum(copies)").collect()]
+    assert (sum(sizes), rows, repeated) == (1200, 1200, True)
+    assert max(sizes) < 3 * 1200 / buckets
+    copies = [sum((r.doc_id, r.text) == row for r in found if r.shard == s) for s in range(16)]
+    assert min(copies) > 0
+    again = sharding.write_shards(docs.repartition(5), str(tmp_path / "t"), bucket_bytes=2000)
+    place = lambda df: sorted([(r.doc_id, r.shard, r.slot) for r in df.collect()], key=repr)
+    assert place(table) == place(again)
+
+
+def test_rows_equal_in_key_and_text_keep_their_other_columns(spark, tmp_path):
+    rows = [(None, None, f"s{i % 3}", (-0.0, 0.0)[i % 2]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, x double")
+    table = sharding.write_shards(docs, str(tmp_path / "s"), bucket_bytes=2000)
+    count = lambda found: sorted((r[0], str(r[1])) for r in found)
+    assert count(table.select("source", "x").collect()) == count([r[2:] for r in rows])
