@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import bpe, katz, licenses, mixing, near, quality, sharding, substrings, topk, warc
+from feira.llm import bpe, katz, licenses, merkle, mixing, near, quality, sharding, substrings, topk, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -59,6 +59,10 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("q_id") % 100 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     job.__name__: job
     for job in (
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_near_dedup,
         op10_exact_top_k,
+        op12_merkle_manifest,
     )
 }
 
@@ -125,4 +130,5 @@ ORACLE: dict[str, str] = {
     "op2_quality_rules": quality.ORACLE,
     "op3_warc": WARC_SQL,
     "op10_exact_top_k": TOP_K_SQL,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
