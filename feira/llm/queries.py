@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import bpe, katz, licenses, merkle, mixing, near, quality, sharding, substrings, topk, warc
+from feira.llm import bpe, katz, licenses, merkle, mixing, near, quality, sharding, substrings, topk, variants, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -63,6 +63,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     job.__name__: job
     for job in (
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_near_dedup,
         op10_exact_top_k,
         op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 
@@ -131,4 +136,5 @@ ORACLE: dict[str, str] = {
     "op3_warc": WARC_SQL,
     "op10_exact_top_k": TOP_K_SQL,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_spelling_variants": variants.ORACLE,
 }
