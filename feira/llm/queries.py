@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm import bpe, katz, licenses, merkle, mixing, near, quality, sharding, substrings, topk, variants, warc
+from feira.llm import bpe, katz, licenses, merkle, mixing, near, quality, sharding, substrings, topk, toxicity, variants, warc
 from feira.llm.tables import table
 from feira.sources.scratch import new_path
 
@@ -59,6 +59,11 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("q_id") % 100 == 0)
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_near_dedup,
         op10_exact_top_k,
+        op11_toxicity,
         op12_merkle_manifest,
         op13_spelling_variants,
     )
