@@ -81,3 +81,18 @@ def test_rows_equal_in_key_and_text_keep_their_other_columns(spark, tmp_path):
     table = sharding.write_shards(docs, str(tmp_path / "s"), bucket_bytes=2000)
     count = lambda found: sorted((r[0], str(r[1])) for r in found)
     assert count(table.select("source", "x").collect()) == count([r[2:] for r in rows])
+
+
+def test_records_are_exchanged_once(spark, documents):
+    """Also where no join may be a broadcast: what each bucket begins with travels with its records."""
+    docs = documents(*[(i, f"text {i}") for i in range(200)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sharding.in_shards(docs, 16, 1, 2000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+    # The records; their number per bucket; one row per bucket.
+    assert len(exchanges) == 3 and sum("REPARTITION_BY_NUM" in e or "direct" in e.lower() for e in exchanges) == 1, exchanges
