@@ -369,6 +369,10 @@ ORACLE = {
             text AS review_comment_message, o_orderdate AS review_creation_date,
             o_orderdate AS review_answer_timestamp
         FROM documents JOIN orders ON o_orderkey = doc_id WHERE o_orderstatus <> 'P'""",
+    "s2_multiline_in_splits": """
+        SELECT CAST(doc_id AS VARCHAR) AS review_id, source, md5(text) AS title_md5,
+            md5(text || chr(10) || '"' || text || '"') AS message_md5,
+            TIMESTAMP '2018-01-01' + to_minutes(doc_id) AS review_creation_date FROM documents""",
     "k1_overwrite_layer": f"""
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, zip AS seller_zip_code_prefix,
             city AS seller_city, state AS seller_state

@@ -381,6 +381,28 @@ def r1_raw_reviews_multiline(star: Star) -> DataFrame:
     return raw.withColumn("review_score", F.col("review_score").cast("bigint"))
 
 
+@query
+def s2_multiline_in_splits(star: Star) -> DataFrame:
+    """All document texts, twice over, as messages of reviews in files that Spark reads in many splits."""
+    docs = star.table("documents")
+    reviews = docs.select(
+        F.col("doc_id").cast("string").alias("review_id"),
+        F.col("source").alias("order_id"),
+        (F.col("n_chars") % 5 + 1).alias("review_score"),
+        F.col("text").alias("review_comment_title"),
+        F.concat("text", F.lit('\n"'), "text", F.lit('"')).alias("review_comment_message"),
+        *[(F.lit("2018-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins="doc_id")).alias(c) for c in ORDER_REVIEWS.required],
+    )
+    raw = _through_csv(star, reviews, ORDER_REVIEWS)
+    return raw.select(
+        "review_id",
+        F.col("order_id").alias("source"),
+        F.md5(F.encode("review_comment_title", "UTF-8")).alias("title_md5"),
+        F.md5(F.encode("review_comment_message", "UTF-8")).alias("message_md5"),
+        "review_creation_date",
+    )
+
+
 @query
 def r1_raw_awkward_values(star: Star) -> DataFrame:
     """Item numbers above 127, prices above eight digits, times in another format and thirds of a cent."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
+from feira.sources.multiline import records
 from feira.specs import TableSpec
 
 # Besides the columns of an entity: the names of those whose text could not be read, and the line.
@@ -31,6 +32,18 @@ def _lost(name: str, kind) -> Column | None:
     return _is_given(text) & lost
 
 
+def _fields(spark: SparkSession, spec: TableSpec, path: str, quote_escape: str) -> DataFrame:
+    """The fields of every line as text, and the line where their number is wrong."""
+    texts = StructType([StructField(name, StringType()) for name in (*spec.names, _BROKEN)])
+    options = {"escape": quote_escape, "columnNameOfCorruptRecord": _BROKEN}
+    if spec.multiline:
+        options["multiLine"] = "true"
+        if quote_escape == '"':
+            fields = F.from_csv("record", ", ".join(f"{name} string" for name in texts.names), options)
+            return records(spark, path).select(fields.alias("fields")).select("fields.*")
+    return spark.read.schema(texts).options(header=True, **options).csv(path)
+
+
 def read_checked(
     spark: SparkSession, spec: TableSpec, path: str, quote_escape: str = '"'
 ) -> DataFrame:
@@ -40,16 +53,7 @@ def read_checked(
     NULL or lost digits though there was text in them, and `_record` then holds the texts of the line
     as JSON (the line itself where its number of fields is wrong).
     """
-    texts = StructType([StructField(name, StringType()) for name in (*spec.names, _BROKEN)])
-    reader = (
-        spark.read.schema(texts)
-        .option("header", True)
-        .option("escape", quote_escape)
-        .option("columnNameOfCorruptRecord", _BROKEN)
-    )
-    if spec.multiline:
-        reader = reader.option("multiLine", True)
-    df = reader.csv(path)
+    df = _fields(spark, spec, path, quote_escape)
     marks = [F.when(F.col(_BROKEN).isNotNull(), F.lit(WHOLE_LINE))]
     for column in spec.columns:
         lost = _lost(column.name, column.type)
@@ -72,8 +76,8 @@ def read_raw(spark: SparkSession, spec: TableSpec, path: str, quote_escape: str
     doubled quotes then lose columns. A value that does not fit the declared type becomes NULL; see
     `read_checked` for which these are.
 
-    A multi-line file cannot be split: Spark streams each file through one task. Ship such an
-    entity as many files; everything after this read works on Parquet.
+    An entity with line breaks in its fields is read in splits like others (`records`), but with
+    another escape character each of its files goes through one task.
     """
     return read_checked(spark, spec, path, quote_escape).select(*spec.names)
 

@@ -1,0 +1,86 @@
+"""Splits of a multi-line CSV file against Spark's own reader, which takes each file whole."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feira.sources.multiline import lines, records, split_states
+from feira.sources.raw import read_checked
+from feira.specs import ORDER_REVIEWS
+
+from conftest import values
+
+FIELDS = "a string, b string, c string, broken string"
+OPTIONS = {"escape": '"', "columnNameOfCorruptRecord": "broken", "multiLine": "true"}
+SPLIT = "spark.sql.files.maxPartitionBytes"
+# Lines that are not as the format has it, but that readers take.
+ODD = ('p,5" pipe,z', 'p,a"b"c,z', 'q,"he said "hi" there",z', 'q,"x" ,z', "", "  ", "a,b", '"a""","b"z,c', 'x,"""",y')
+
+
+@pytest.fixture
+def split_at(spark):
+    """Files are cut after so many bytes."""
+    before = {key: spark.conf.get(key) for key in (SPLIT, "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield lambda size: spark.conf.set(SPLIT, str(size))
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def both(spark, path, split_at, size):
+    whole = spark.read.schema(FIELDS).options(header=True, **OPTIONS).csv(path)
+    expected = sorted(repr(tuple(r)) for r in whole.collect())
+    split_at(size)
+    found = records(spark, path).select(F.from_csv("record", FIELDS, OPTIONS).alias("r")).select("r.*")
+    return sorted(repr(tuple(r)) for r in found.collect()), expected
+
+
+def body(seed):
+    draw = random.Random(seed)
+
+    def field():
+        text = "".join(draw.choice(["x", "yz", ",", "\n", '"', "é", "\r\n", " "]) for _ in range(draw.randrange(8)))
+        if draw.random() < 0.6:
+            return '"' + text.replace('"', '""') + '"'
+        return "".join(c for c in text if c not in ',\n\r"')
+
+    rows = [",".join(field() for _ in range(3)) for _ in range(draw.randrange(30))]
+    for odd in draw.sample(ODD, draw.randrange(3)):
+        rows.insert(draw.randrange(len(rows) + 1), odd)
+    end = draw.choice(["\n", "\r\n"])
+    return "a,b,c" + end + end.join(rows) + draw.choice([end, ""])
+
+
+@pytest.mark.parametrize("size", [7, 23, 64])
+def test_same_rows_as_a_whole_read(spark, split_at, tmp_path, size):
+    for i in range(6):
+        (tmp_path / f"part{i}.csv").write_text(body(size * 100 + i), newline="")
+    found, expected = both(spark, str(tmp_path), split_at, size)
+    assert found == expected and len(found) > 20
+
+
+@pytest.mark.parametrize("text", ["", "a,b,c", "a,b,c\n", 'a,b,c\n"never closed,\n1,2,3\n4,5,6', '"a\n",b,c\n1,2,3\n\n\n'])
+def test_short_files(spark, split_at, tmp_path, text):
+    (tmp_path / "one.csv").write_text(text, newline="")
+    found, expected = both(spark, str(tmp_path), split_at, 5)
+    assert found == expected
+
+
+def test_one_file_is_read_by_many_tasks(spark, split_at, tmp_path):
+    """A record longer than several splits, borders in quotes, between doubled quotes and behind line breaks."""
+    header = ",".join(ORDER_REVIEWS.names)
+    message = 'so ""good""\n\n"",' * 40
+    rows = [f'r{i},o{i},5,t,"{message}{i}",2018-01-01 00:00:00,2018-01-01 00:00:00' for i in range(40)]
+    (tmp_path / "reviews.csv").write_text("\n".join([header, *rows]))
+    split_at(100)
+    text = lines(spark, str(tmp_path))
+    assert text.rdd.getNumPartitions() > 200
+    carried = split_states(text).groupBy("carry").count().collect()
+    assert {r.carry for r in carried} == {0, 1}
+    found = read_checked(spark, ORDER_REVIEWS, str(tmp_path))
+    plain = message.replace('""', '"')
+    assert values(found, "review_id", "review_comment_message") == sorted((f"r{i}", f"{plain}{i}") for i in range(40))
+    assert found.filter("size(_unreadable) > 0").count() == 0
