@@ -386,11 +386,12 @@ ORACLE = {
     "r1_raw_awkward_values": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
             CASE l_linenumber % 5 WHEN 0 THEN 128 WHEN 1 THEN 300 ELSE l_linenumber END AS order_item_id,
-            CASE l_linenumber % 5 WHEN 2 THEN NULL ELSE l_shipdate END AS shipping_limit_date,
+            CASE WHEN l_linenumber % 5 <> 2 OR l_partkey % 7 = 6 THEN l_shipdate
+                WHEN l_partkey % 7 = 5 THEN date_trunc('day', l_shipdate) END AS shipping_limit_date,
             CASE l_linenumber % 5 WHEN 3 THEN 1000000000.0 + CAST({PRICE} AS DOUBLE)
                 ELSE CAST({PRICE} AS DOUBLE) END AS price,
-            CASE l_linenumber % 5 WHEN 2 THEN 'shipping_limit_date' WHEN 4 THEN 'freight_value'
-                ELSE '' END AS unreadable
+            CASE WHEN l_linenumber % 5 = 2 AND l_partkey % 7 < 5 THEN 'shipping_limit_date'
+                WHEN l_linenumber % 5 = 4 THEN 'freight_value' ELSE '' END AS unreadable
         FROM lineitem""",
     "x1_refresh": REFRESH,
 }

@@ -405,15 +405,20 @@ def s2_multiline_in_splits(star: Star) -> DataFrame:
 
 @query
 def r1_raw_awkward_values(star: Star) -> DataFrame:
-    """Item numbers above 127, prices above eight digits, times in another format and thirds of a cent."""
-    kind = F.col("order_item_id") % 5
+    """Item numbers above 127, prices above eight digits, thirds of a cent, times in seven other formats."""
+    kind, form = F.col("order_item_id") % 5, F.col("product_id") % 7
     price = F.col("price")
+    formats = ("yyyy", "yyyy-MM", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "yyyy-MM-dd HH:mm:ss' Europe/Paris'",
+               "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    other = F.date_format("shipping_limit_date", "dd/MM/yyyy HH:mm")
+    for i, given in enumerate(formats, 1):
+        other = F.when(form == i, F.date_format("shipping_limit_date", given)).otherwise(other)
     text = star.order_items().select(
         "order_id",
         F.when(kind == 0, 128).when(kind == 1, 300).otherwise(F.col("order_item_id")).alias("order_item_id"),
         "product_id",
         "seller_id",
-        F.when(kind == 2, F.date_format("shipping_limit_date", "dd/MM/yyyy HH:mm"))
+        F.when(kind == 2, other)
         .otherwise(F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         .alias("shipping_limit_date"),
         F.when(kind == 3, price + 1_000_000_000).otherwise(price).alias("price"),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, DoubleType, StringType, StructField, StructType, TimestampNTZType
 
 from feira.sources.multiline import records
+from feira.specs import Column as Declared
 from feira.specs import TableSpec
 
 # Besides the columns of an entity: the names of those whose text could not be read, and the line.
@@ -14,6 +15,9 @@ UNREADABLE, RECORD = "_unreadable", "_record"
 # Stands among the names for a line with too few or too many fields.
 WHOLE_LINE = "(line)"
 _BROKEN = "_broken_line"
+# A date, or a date and a time of day up to microseconds, without a zone; a decimal number.
+MOMENT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _is_given(text: Column) -> Column:
@@ -29,9 +33,23 @@ def _lost(name: str, kind) -> Column | None:
     if isinstance(kind, DecimalType):
         # Digits behind the last declared place would be rounded away.
         lost = lost | F.coalesce(text.try_cast("decimal(38,16)") != value, F.lit(False))
+    if isinstance(kind, TimestampNTZType):
+        # A cast takes a year or a month alone for its first day, and leaves a zone out.
+        lost = lost | ~F.rlike(text, F.lit(MOMENT))
+    if isinstance(kind, DoubleType):
+        # A number too large becomes infinite.
+        lost = lost | ~F.rlike(text, F.lit(NUMBER)) | (F.abs(value) == float("inf"))
     return _is_given(text) & lost
 
 
+def _value(column: Declared) -> Column:
+    """The typed value, NULL where the text is not taken over whole for other reasons than lost digits."""
+    value, lost = F.col(column.name).try_cast(column.type), _lost(column.name, column.type)
+    if isinstance(column.type, (TimestampNTZType, DoubleType)):
+        return F.when(~lost, value)
+    return value
+
+
 def _fields(spark: SparkSession, spec: TableSpec, path: str, quote_escape: str) -> DataFrame:
     """The fields of every line as text, and the line where their number is wrong."""
     texts = StructType([StructField(name, StringType()) for name in (*spec.names, _BROKEN)])
@@ -62,7 +80,7 @@ def read_checked(
     names = F.array_compact(F.array(*marks))
     line = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*spec.names)))
     return df.select(
-        *[F.col(c.name).try_cast(c.type).alias(c.name) for c in spec.columns],
+        *[_value(c).alias(c.name) for c in spec.columns],
         names.alias(UNREADABLE),
         F.when(F.size(names) > 0, line).alias(RECORD),
     )
