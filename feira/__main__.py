@@ -17,7 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("source", help="folder of the raw files")
     parser.add_argument("target", help="folder for the layers raw, clean and marts")
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
-    parser.add_argument("--on-violation", choices=("fail", "report"), default="fail")
+    parser.add_argument("--on-violation", choices=("fail", "report", "quarantine"), default="fail")
     parser.add_argument("--quote-escape", default='"', help="what stands before a quote inside a field")
     chosen = parser.parse_args(arguments)
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.types import LongType, StringType
 
 from feira.functions.text import fit_all
 from feira.operators.constraints import constraint_report, primary_key_violations, repeated_keys
+from feira.operators.quarantine import REASONS, kept_rows, quarantine, rejected_rows
 from feira.plans.clean import clean_tables
 from feira.plans.marts import DELIVERED, all_marts
 from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer
@@ -36,8 +38,8 @@ LINES = (
 REPORT = TableSpec("constraint_report", LINES)
 # The same lines on the raw files: rows with text that cannot be read, reviews without their dates.
 LOADED = TableSpec("load_report", LINES)
-# Reviews without dates are left out by design, so they stop no run.
-HARMLESS = "incomplete"
+# Reviews without dates are left out by design, and rejected rows on request, so they stop no run.
+HARMLESS = ("incomplete", "rejected")
 
 
 def unreadable_rows(spec: TableSpec) -> TableSpec:
@@ -48,6 +50,11 @@ def unreadable_rows(spec: TableSpec) -> TableSpec:
     )
 
 
+def rejected(spec: TableSpec) -> TableSpec:
+    """The table of an entity's rows that break a constraint, beside its clean table."""
+    return TableSpec(f"{spec.name}_rejected", (*spec.columns, Column(REASONS, StringType(), "VARCHAR(1024)")))
+
+
 class ConstraintViolation(ValueError):
     """Clean tables break a declared constraint; no clean table was written."""
 
@@ -106,7 +113,7 @@ def load_raw(
             layer.write(rows.select(names, F.col(RECORD).alias("record")), rejected)
         lines = [(spec.name, f"{spec.name}_readable", "unreadable", counts["unreadable"])]
         if spec.required:
-            lines.append((spec.name, f"{spec.name}_complete", HARMLESS, counts["incomplete"]))
+            lines.append((spec.name, f"{spec.name}_complete", HARMLESS[0], counts["incomplete"]))
         return lines
 
     with scratch_of_run(spark):
@@ -116,6 +123,24 @@ def load_raw(
     return report
 
 
+def _set_apart(
+    tables: Mapping[str, DataFrame], present: Mapping[str, DataFrame], suspects: set[str]
+) -> dict[str, DataFrame]:
+    """Marked tables with at least one of `suspects` above them or the same; nothing without suspects."""
+    return quarantine(tables, CLEAN, present, keep, suspects) if suspects else {}
+
+
+def _write_rejected(spark: SparkSession, layer: Layer, taken_out: Mapping[str, DataFrame], mode: str) -> None:
+    """The rejected rows of each table; tables of an earlier run are emptied where nothing is rejected now."""
+    for spec in CLEAN:
+        target = rejected(spec)
+        if spec.name in taken_out:
+            rows = rejected_rows(taken_out[spec.name])
+            layer.write(rows.withColumn(REASONS, F.array_join(REASONS, ",")), target, mode)
+        elif mode == "overwrite" and not isinstance(layer, JdbcLayer) and layer.find(spark, target) is not None:
+            layer.write(spark.createDataFrame([], target.schema), target)
+
+
 def load_clean(
     spark: SparkSession,
     layers: Layers,
@@ -127,7 +152,10 @@ def load_clean(
 
     Constraints are checked before the first clean table is written, and the report, with the lines of
     `loaded`, is written beside the marts whatever it says. With ``on_violation="fail"`` any violation
-    then stops the run; with ``"report"`` the tables are written all the same.
+    then stops the run; with ``"report"`` the tables are written all the same. With ``"quarantine"``
+    the rows that break a constraint, and those that refer to them, go to tables of their own
+    (`rejected`) with the names of what they break. The rest is checked again and written; the
+    report then is that of the rest, with the number of rejected rows per table.
 
     ``mode="append"`` adds to the clean tables that exist: a key that is there already is a violation,
     rows there count as parents, and location ids go on after the largest one.
@@ -139,14 +167,31 @@ def load_clean(
             present = {name: df for name, df in found.items() if df is not None}
         raw = {spec.name: layers.raw.read(spark, spec) for spec in RAW}
         tables = clean_tables(raw, keep_all, present)
-        lines = constraint_report(tables, CLEAN, present)
-        report = keep(lines if loaded is None else lines.unionByName(loaded), "constraint-report")
+        report = keep(constraint_report(tables, CLEAN, present), "constraint-report")
+        taken_out = {}
+        if on_violation == "quarantine":
+            suspects = {r.table_name for r in report.filter("violations > 0").select("table_name").distinct().collect()}
+            taken_out = _set_apart(tables, present, suspects)
+            if taken_out:
+                tables |= {name: kept_rows(marked) for name, marked in taken_out.items()}
+                counts = [
+                    marked.agg(
+                        F.lit(name).alias("table_name"),
+                        F.lit(f"{name}_accepted").alias("constraint_name"),
+                        F.lit(HARMLESS[1]).alias("kind"),
+                        F.count_if(F.size(REASONS) > 0).alias("violations"),
+                    )
+                    for name, marked in taken_out.items()
+                ]
+                report = reduce(DataFrame.unionByName, counts, constraint_report(tables, CLEAN, present))
+        report = keep(report if loaded is None else report.unionByName(loaded), "constraint-report")
         layers.marts.write(report, REPORT)
         # One row per declared constraint at most, so fetching the broken ones is bounded.
-        bad = (F.col("violations") > 0) & (F.col("kind") != HARMLESS)
-        broken = report.filter(bad).orderBy("constraint_name").collect() if on_violation == "fail" else []
+        bad = (F.col("violations") > 0) & ~F.col("kind").isin(*HARMLESS)
+        broken = report.filter(bad).orderBy("constraint_name").collect() if on_violation != "report" else []
         if broken:
             raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
+        _write_rejected(spark, layers.clean, taken_out, mode)
         for group in parents_first():
             run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
     return layers.marts.read(spark, REPORT)

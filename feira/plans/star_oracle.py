@@ -154,6 +154,58 @@ REPORT = f"WITH {STAR_TABLES}\n" + "\nUNION ALL ".join(
     line for spec in CLEAN for line in report_lines(spec, lambda name: f"t_{name}")
 )
 
+def _text(columns, table: str = "") -> str:
+    return "concat_ws('/', " + ", ".join(f"{table}{c}" for c in columns) + ")"
+
+
+def _quarantine() -> str:
+    """Rows that are out by themselves or have no parent at all, then all that refer to a row that is out."""
+    steps, own, keys, references = [], [], [], []
+    for spec in CLEAN:
+        missing = " OR ".join(f"{c} IS NULL" for c in spec.primary_key)
+        tests = [f"CASE WHEN {missing} THEN '{spec.name}_key_not_null' END"]
+        for column, width in spec.widths.items():
+            wide = f"length(rtrim(CAST({column} AS VARCHAR), ' ')) > {width}"
+            tests.append(f"CASE WHEN {wide} THEN '{spec.name}_{column}_width' END")
+        listed, keyed = ", ".join(tests), ", ".join(spec.primary_key)
+        steps.append(f"""r_{spec.name} AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, *, list_filter([{listed}], lambda x: x IS NOT NULL) AS own FROM t_{spec.name}
+), s_{spec.name} AS MATERIALIZED (
+    SELECT *, len(own) = 0 AND count(*) FILTER (len(own) = 0) OVER (PARTITION BY {keyed}) > 1 AS twice
+    FROM r_{spec.name}
+)""")
+        own.append(f"SELECT '{spec.name}' AS t, rid, 0 AS place, unnest(own) AS reason FROM s_{spec.name} "
+                   f"UNION ALL SELECT '{spec.name}', rid, 1, '{spec.name}_key_unique' FROM s_{spec.name} WHERE twice")
+        keys.append(f"SELECT '{spec.name}' AS t, rid, {_text(spec.primary_key)} AS k FROM s_{spec.name}")
+        for i, fk in enumerate(spec.foreign_keys):
+            given = " AND ".join(f"{c} IS NOT NULL" for c in fk.columns)
+            references.append(
+                f"SELECT '{spec.name}' AS t, rid, {i + 2} AS place, '{spec.name}_{fk.parent}_reference' AS reason, "
+                f"'{fk.parent}' AS parent, {_text(fk.columns)} AS k FROM s_{spec.name} WHERE {given}"
+            )
+    return f"""WITH RECURSIVE {STAR_TABLES}, {", ".join(steps)},
+own AS MATERIALIZED ({" UNION ALL ".join(own)}),
+keys AS MATERIALIZED ({" UNION ALL ".join(keys)}),
+refs AS MATERIALIZED ({" UNION ALL ".join(references)}),
+gone AS (
+    SELECT t, rid FROM own
+    UNION SELECT t, rid FROM refs WHERE NOT EXISTS (SELECT 1 FROM keys WHERE keys.t = refs.parent AND keys.k = refs.k)
+    UNION SELECT refs.t, refs.rid FROM gone
+        JOIN keys ON keys.t = gone.t AND keys.rid = gone.rid JOIN refs ON refs.parent = keys.t AND refs.k = keys.k
+),
+good AS (SELECT t, k FROM keys WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.t = keys.t AND gone.rid = keys.rid)),
+reasons AS (
+    SELECT t, rid, place, reason FROM own
+    UNION ALL SELECT t, rid, place, reason FROM refs
+    WHERE NOT EXISTS (SELECT 1 FROM good WHERE good.t = refs.parent AND good.k = refs.k)
+),
+named AS (SELECT t, rid, string_agg(reason, ',' ORDER BY place) AS broken FROM reasons GROUP BY t, rid)
+SELECT named.t AS table_name, k AS row_key, broken AS broken_constraints, count(*) AS "rows"
+FROM named JOIN keys ON keys.t = named.t AND keys.rid = named.rid GROUP BY ALL"""
+
+
+QUARANTINE = _quarantine()
+
 MESSAGE_WIDTH = ORDER_REVIEWS.widths["review_comment_message"]
 
 # The refreshed tables: the feed lacks pending orders, customers and sellers in debt, economy
@@ -354,6 +406,7 @@ ORACLE = {
         SELECT doc_id, length(text) AS characters, 'review_comment_message' AS too_wide
         FROM documents WHERE length(rtrim(text, ' ')) > {MESSAGE_WIDTH}""",
     "c3_constraint_report": REPORT,
+    "c3_quarantine": QUARANTINE,
     "r1_raw_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
             o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp,

@@ -19,13 +19,14 @@ from feira.operators.constraints import (
     width_violations,
 )
 from feira.operators.dense_id import numbered_geolocation
+from feira.operators.quarantine import REASONS, quarantine, rejected_rows
 from feira.operators.recent import PURCHASED, recent, window_start
 from feira.plans import marts
 from feira.plans.refresh import Layers, RepeatedKeys, append_rows, refresh
 from feira.plans.star import DELIVERED_STATUS, Star
 from feira.sources.layers import ParquetLayer
 from feira.sources.raw import UNREADABLE, drop_incomplete, read_checked, read_raw
-from feira.sources.scratch import new_path
+from feira.sources.scratch import keep, new_path
 from feira.specs import (
     CLEAN,
     MARTS,
@@ -300,9 +301,9 @@ def c3_length_violations(star: Star) -> DataFrame:
     )
 
 
-@query
-def c3_constraint_report(star: Star) -> DataFrame:
-    tables = {
+def _incomplete_tables(star: Star) -> dict[str, DataFrame]:
+    """All clean tables without stub rows, so that references break."""
+    return {
         "orders": star.closed(star.orders()),
         "customers": star.solvent_customers(),
         "order_items": star.order_items(),
@@ -314,7 +315,27 @@ def c3_constraint_report(star: Star) -> DataFrame:
         "geolocation": numbered_geolocation(star.debtor_locations()),
         "zip": zip_dimension(star.debtor_locations(), star.customers(), star.sellers()),
     }
-    return constraint_report(tables, CLEAN)
+
+
+@query
+def c3_constraint_report(star: Star) -> DataFrame:
+    return constraint_report(_incomplete_tables(star), CLEAN)
+
+
+@query
+def c3_quarantine(star: Star) -> DataFrame:
+    """Every row that breaks a constraint or refers to one that does, with the names of what it breaks."""
+    marked = quarantine(_incomplete_tables(star), CLEAN, keep=keep)
+    rows = [
+        rejected_rows(marked[spec.name]).select(
+            F.lit(spec.name).alias("table_name"),
+            F.concat_ws("/", *spec.primary_key).alias("row_key"),
+            F.array_join(REASONS, ",").alias(REASONS),
+        )
+        for spec in CLEAN
+    ]
+    counts = [part.groupBy(*part.columns).agg(F.count("*").alias("rows")) for part in rows]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- raw files and layers
