@@ -128,11 +128,12 @@ def constraint_report(
     tables: Mapping[str, DataFrame],
     specs: Sequence[TableSpec],
     present: Mapping[str, DataFrame] | None = None,
+    new_keys: bool = True,
 ) -> DataFrame:
     """(table_name, constraint_name, kind, violations) for every declared constraint.
 
-    With tables that are `present`, to which these are to be added, their keys must be new, and rows
-    that are present count as parents.
+    With tables that are `present`, to which these are to be added, rows that are present count as
+    parents, and the keys must be new, unless `new_keys` is false as rows are to be replaced.
     """
     present = present or {}
     copies = {spec.name: key_copies(tables[spec.name], spec.primary_key) for spec in specs}
@@ -140,7 +141,7 @@ def constraint_report(
     lines = []
     for spec in specs:
         lines += [column_lines(tables[spec.name], spec), key_lines(copies[spec.name], spec)]
-        if spec.name in present:
+        if spec.name in present and new_keys:
             lines.append(present_lines(copies[spec.name], present[spec.name], spec))
         for fk in spec.foreign_keys:
             users.setdefault(fk.parent, []).append((spec, fk))

@@ -75,13 +75,15 @@ def quarantine(
     present: Mapping[str, DataFrame] | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
     suspects: set[str] | None = None,
+    new_keys: bool = True,
 ) -> dict[str, DataFrame]:
     """`marked_rows` of every table, so that the rows without marks keep all constraints together.
 
     A row that is taken out takes out the rows that refer to it. The declared references have no
     cycle, so marking parents before children reaches the end of this in one round over the tables.
     With `suspects`, the names of tables that break something, tables that neither are among them nor refer to such
-    are left as they are, and not in the result. `keep(df, label)` may store each marked table.
+    are left as they are, and not in the result. `keep(df, label)` may store each marked table. Keys that are
+    present are no fault where `new_keys` is false, as rows are to be replaced.
     """
     present, known = present or {}, dict(tables)
     result: dict[str, DataFrame] = {}
@@ -89,7 +91,8 @@ def quarantine(
         for spec in group:
             touched = suspects is None or spec.name in suspects or any(fk.parent in result for fk in spec.foreign_keys)
             if touched:
-                marked = marked_rows(tables[spec.name], spec, known, present.get(spec.name))
+                old = present.get(spec.name) if new_keys else None
+                marked = marked_rows(tables[spec.name], spec, known, old)
                 result[spec.name] = keep(marked, f"marked-{spec.name}")
                 known[spec.name] = kept_rows(result[spec.name])
             if spec.name in present:

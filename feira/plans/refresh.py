@@ -75,6 +75,17 @@ def append_rows(layer: Layer, df: DataFrame, spec: TableSpec) -> None:
     layer.write(df, spec, "append")
 
 
+def upsert_rows(layer: ParquetLayer, df: DataFrame, spec: TableSpec) -> list[str]:
+    """Bring changed and new rows into a table; returns the files replaced.
+
+    A key that occurs twice among the rows, or has a NULL part, is refused: which row would count is not known.
+    """
+    refused = primary_key_violations(df, list(spec.primary_key)).count()
+    if refused:
+        raise RepeatedKeys(f"{spec.name}: {refused} keys")
+    return layer.upsert(df, spec)
+
+
 @dataclass(frozen=True)
 class Layers:
     raw: Layer
@@ -124,10 +135,10 @@ def load_raw(
 
 
 def _set_apart(
-    tables: Mapping[str, DataFrame], present: Mapping[str, DataFrame], suspects: set[str]
+    tables: Mapping[str, DataFrame], present: Mapping[str, DataFrame], suspects: set[str], new_keys: bool
 ) -> dict[str, DataFrame]:
     """Marked tables with at least one of `suspects` above them or the same; nothing without suspects."""
-    return quarantine(tables, CLEAN, present, keep, suspects) if suspects else {}
+    return quarantine(tables, CLEAN, present, keep, suspects, new_keys) if suspects else {}
 
 
 def _write_rejected(spark: SparkSession, layer: Layer, taken_out: Mapping[str, DataFrame], mode: str) -> None:
@@ -136,7 +147,7 @@ def _write_rejected(spark: SparkSession, layer: Layer, taken_out: Mapping[str, D
         target = rejected(spec)
         if spec.name in taken_out:
             rows = rejected_rows(taken_out[spec.name])
-            layer.write(rows.withColumn(REASONS, F.array_join(REASONS, ",")), target, mode)
+            layer.write(rows.withColumn(REASONS, F.array_join(REASONS, ",")), target, "append" if mode != "overwrite" else mode)
         elif mode == "overwrite" and not isinstance(layer, JdbcLayer) and layer.find(spark, target) is not None:
             layer.write(spark.createDataFrame([], target.schema), target)
 
@@ -158,20 +169,22 @@ def load_clean(
     report then is that of the rest, with the number of rejected rows per table.
 
     ``mode="append"`` adds to the clean tables that exist: a key that is there already is a violation,
-    rows there count as parents, and location ids go on after the largest one.
+    rows there count as parents, and location ids go on after the largest one. ``mode="upsert"`` (Parquet
+    layers) does the same, but a row whose key is there takes the place of that row.
     """
     with scratch_of_run(spark):
         present = {}
-        if mode == "append":
+        if mode != "overwrite":
             found = {spec.name: layers.clean.find(spark, spec) for spec in CLEAN}
             present = {name: df for name, df in found.items() if df is not None}
         raw = {spec.name: layers.raw.read(spark, spec) for spec in RAW}
         tables = clean_tables(raw, keep_all, present)
-        report = keep(constraint_report(tables, CLEAN, present), "constraint-report")
+        new_keys = mode == "append"
+        report = keep(constraint_report(tables, CLEAN, present, new_keys), "constraint-report")
         taken_out = {}
         if on_violation == "quarantine":
             suspects = {r.table_name for r in report.filter("violations > 0").select("table_name").distinct().collect()}
-            taken_out = _set_apart(tables, present, suspects)
+            taken_out = _set_apart(tables, present, suspects, new_keys)
             if taken_out:
                 tables |= {name: kept_rows(marked) for name, marked in taken_out.items()}
                 counts = [
@@ -183,7 +196,7 @@ def load_clean(
                     )
                     for name, marked in taken_out.items()
                 ]
-                report = reduce(DataFrame.unionByName, counts, constraint_report(tables, CLEAN, present))
+                report = reduce(DataFrame.unionByName, counts, constraint_report(tables, CLEAN, present, new_keys))
         report = keep(report if loaded is None else report.unionByName(loaded), "constraint-report")
         layers.marts.write(report, REPORT)
         # One row per declared constraint at most, so fetching the broken ones is bounded.
@@ -193,7 +206,10 @@ def load_clean(
             raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
         _write_rejected(spark, layers.clean, taken_out, mode)
         for group in parents_first():
-            run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
+            if mode == "upsert":
+                run_all(partial(upsert_rows, layers.clean, tables[spec.name], spec) for spec in group)
+            else:
+                run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
     return layers.marts.read(spark, REPORT)
 
 

@@ -436,6 +436,11 @@ ORACLE = {
     "k2_append_repeated_keys": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS rows_kept
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "k2_upsert_layer": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+            CASE WHEN o_orderstatus <> 'P' AND o_custkey % 5 = 0 THEN 'F' ELSE o_orderstatus END AS order_status,
+            o_orderdate + CASE WHEN o_custkey % 5 = 0 OR o_orderstatus = 'P' THEN INTERVAL 1 HOUR
+                ELSE INTERVAL 0 HOUR END AS order_purchase_timestamp FROM orders""",
     "r1_raw_awkward_values": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
             CASE l_linenumber % 5 WHEN 0 THEN 128 WHEN 1 THEN 300 ELSE l_linenumber END AS order_item_id,

@@ -22,7 +22,7 @@ from feira.operators.dense_id import numbered_geolocation
 from feira.operators.quarantine import REASONS, quarantine, rejected_rows
 from feira.operators.recent import PURCHASED, recent, window_start
 from feira.plans import marts
-from feira.plans.refresh import Layers, RepeatedKeys, append_rows, refresh
+from feira.plans.refresh import Layers, RepeatedKeys, append_rows, refresh, upsert_rows
 from feira.plans.star import DELIVERED_STATUS, Star
 from feira.sources.layers import ParquetLayer
 from feira.sources.raw import UNREADABLE, drop_incomplete, read_checked, read_raw
@@ -489,6 +489,22 @@ def k2_append_repeated_keys(star: Star) -> DataFrame:
     return repeated_keys(incoming, present, ["order_id"]).withColumn("rows_kept", count)
 
 
+@query
+def k2_upsert_layer(star: Star) -> DataFrame:
+    """Pending orders arrive, and orders of every fifth customer that are there are delivered and move in time."""
+    layer = ParquetLayer(new_path(star.spark, "layer"))
+    orders = star.orders().withColumns({c: F.col(c).cast("string") for c in ("order_id", "customer_id")})
+    layer.write(star.closed(orders), ORDERS)
+    changed = orders.filter("customer_id % 5 = 0 OR order_status = 'P'").withColumns(
+        {
+            "order_status": F.when(F.col("order_status") == "P", F.lit("P")).otherwise(F.lit("F")),
+            PURCHASED: F.col(PURCHASED) + F.expr("INTERVAL '1' HOUR"),
+        }
+    )
+    upsert_rows(layer, changed, ORDERS)
+    return layer.read(star.spark, ORDERS).select("order_id", "customer_id", "order_status", PURCHASED)
+
+
 def raw_files(star: Star, folder: str) -> None:
     """All nine raw files, with parents missing from orders, customers, products and so on."""
     feed = {

@@ -16,6 +16,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(at)
 
 
+def names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """What lies in a folder and begins with `prefix`, by name; nothing if the folder does not exist."""
+    system, at = _open(spark, path)
+    if not system.exists(at):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in system.listStatus(at)) if n.startswith(prefix))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there in full or not at all: it is written under another name first."""
+    system, at = _open(spark, path)
+    new = _open(spark, f"{path}.new")[1]
+    out = system.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    system.delete(at, False)
+    if not system.rename(new, at):
+        raise OSError(f"{new} cannot be renamed to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or None if it does not exist."""
+    system, at = _open(spark, path)
+    if not system.exists(at):
+        return None
+    source = system.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, at = _open(spark, path)
+    system.mkdirs(at)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file, unless that was done before."""
+    system, at = _open(spark, path)
+    if system.exists(at) and not system.rename(at, _open(spark, target)[1]):
+        raise OSError(f"{path} cannot be renamed to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """The folder and all in it; nothing if it does not exist."""
     system, at = _open(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
@@ -9,9 +10,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.sources.files import delete, exists, replace
+from feira.sources.files import delete, exists, make_folder, move, names, read_text, replace, write_text
+from feira.sources.scratch import keep
 from feira.specs import TableSpec
 
+# Folder of an update that is being written, hidden from Spark, and the file in it that says what is to be done.
+_STAGED, _PLAN = "_update-", "_plan.json"
+
 
 @dataclass(frozen=True)
 class ParquetLayer:
@@ -32,13 +37,18 @@ class ParquetLayer:
         """The table, or None if it does not exist."""
         return self.read(spark, spec) if exists(spark, self.path(spec)) else None
 
+    @staticmethod
+    def _placed(table: DataFrame, spec: TableSpec) -> DataFrame:
+        if not spec.sorted_by:
+            return table
+        # Each file gets a range of the column, so a scan for a range opens few files. The key
+        # spreads the rows that share a value or have none.
+        order = (*spec.sorted_by, *[c for c in spec.primary_key if c not in spec.sorted_by])
+        return table.repartitionByRange(*order).sortWithinPartitions(*order)
+
     def write(self, df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> None:
-        table = conform(df, spec)
-        if spec.sorted_by:
-            # Each file gets a range of the column, so a scan for a range opens few files. The key
-            # spreads the rows that share a value or have none.
-            order = (*spec.sorted_by, *[c for c in spec.primary_key if c not in spec.sorted_by])
-            table = table.repartitionByRange(*order).sortWithinPartitions(*order)
+        self.finish_updates(df.sparkSession, spec)
+        table = self._placed(conform(df, spec), spec)
         if mode != "overwrite":
             table.write.mode(mode).parquet(self.path(spec))
             return
@@ -50,6 +60,48 @@ class ParquetLayer:
             delete(spark, new)
 
 
+    def upsert(self, df: DataFrame, spec: TableSpec) -> list[str]:
+        """Put rows in the place of those with the same key, and add the others; returns the files replaced.
+
+        Only files that hold a key of `df` are written anew, each row but those replaced. The keys in
+        `df` must be complete and tell its rows apart. All rows of the table that share a key of `df` go. The new
+        files are written beside the table; then a plan of what to move and delete, which a later
+        writer carries out if this one dies; then the old files go and the new ones come. A reader in between sees
+        fewer rows, never two of one key. One writer at a time.
+        """
+        spark, key = df.sparkSession, list(spec.primary_key)
+        new = keep(conform(df, spec), f"upsert-{spec.name}")
+        self.finish_updates(spark, spec)
+        path, staged = self.path(spec), f"{self.root.rstrip('/')}/{_STAGED}{spec.name}-{uuid4().hex}"
+        rows, old = new, []
+        if exists(spark, path):
+            keys = new.select(*key)
+            held = self.read(spark, spec).select(*key, F.col("_metadata.file_path").alias("file"))
+            # Names of files, not rows.
+            old = [r.file for r in held.join(keys, key, "left_semi").select("file").distinct().collect()]
+            if old:
+                rest = spark.read.schema(spec.schema).parquet(*old).join(keys, key, "left_anti")
+                rows = rest.select(*spec.names).unionByName(new)
+        self._placed(rows, spec).write.parquet(staged)
+        write_text(spark, f"{staged}/{_PLAN}", json.dumps({"old": old, "new": names(spark, staged, "part-")}))
+        self.finish_updates(spark, spec)
+        return old
+
+    def finish_updates(self, spark: SparkSession, spec: TableSpec) -> None:
+        """Carry out the plan of an update that was cut off; without a plan, drop what it has written."""
+        root = self.root.rstrip("/")
+        for name in names(spark, root, f"{_STAGED}{spec.name}-"):
+            plan = read_text(spark, f"{root}/{name}/{_PLAN}")
+            if plan is not None:
+                steps = json.loads(plan)
+                for file in steps["old"]:
+                    delete(spark, file)
+                make_folder(spark, self.path(spec))
+                for file in steps["new"]:
+                    move(spark, f"{root}/{name}/{file}", f"{self.path(spec)}/{file}")
+            delete(spark, f"{root}/{name}")
+
+
 @dataclass(frozen=True)
 class CatalogLayer:
     """Parquet tables of the session catalog.
