@@ -32,15 +32,20 @@ def scorecard(
     orders: DataFrame, start: Column | None = None, delivered: str = DELIVERED
 ) -> DataFrame:
     """Counts and age sums of all orders in the window, one row from one scan."""
+    return recent(orders, start).agg(*card_sums(delivered))
+
+
+def card_sums(delivered: str) -> list[Column]:
+    """Aggregates of orders that the scorecard holds; all of them can be added up over parts of the orders."""
     arrived, promised = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    return recent(orders, start).agg(
+    return [
         F.count("order_id").alias("orders"),
         F.count("*").alias("rows"),
         F.count_if(F.col("order_status") == delivered).alias("delivered"),
         F.count_if(arrived > promised).alias("late"),
         F.count_if(arrived <= promised).alias("on_time"),
         *age_sums(arrived, F.col(PURCHASED)),
-    )
+    ]
 
 
 def total_order(card: DataFrame) -> DataFrame:
@@ -132,10 +137,23 @@ def total_sales_of_delivered_order_per_state(sales: DataFrame, customers: DataFr
         .groupBy("customer_state")
         .agg(F.sum("sales").cast(MONEY_SUM).alias("total_sales"))
     )
+    return named_states(per_state)
+
+
+def named_states(per_state: DataFrame) -> DataFrame:
     named = per_state.withColumn("customer_state_name", state_name(F.col("customer_state")))
     return named.orderBy(F.col("total_sales").desc_nulls_first(), "customer_state")
 
 
+def review_factors() -> list[Column]:
+    """Aggregates of the reviews of an order."""
+    return [
+        F.count("*").alias("reviews"),
+        F.sum(F.col("review_score").cast("bigint")).alias("score_sum"),
+        F.count("review_score").alias("scores"),
+    ]
+
+
 def review_scores(
     orders: DataFrame,
     reviews: DataFrame,
@@ -144,11 +162,7 @@ def review_scores(
     keep=own_stage,
 ) -> DataFrame:
     """Number of reviews, score sum and number of scores per delivered order with reviews."""
-    per_order = reviews.groupBy("order_id").agg(
-        F.count("*").alias("reviews"),
-        F.sum(F.col("review_score").cast("bigint")).alias("score_sum"),
-        F.count("review_score").alias("scores"),
-    )
+    per_order = reviews.groupBy("order_id").agg(*review_factors())
     sold = delivered_orders(orders, start, delivered).select("order_id")
     return keep(sold.join(per_order, "order_id"), "review-scores")
 
@@ -162,16 +176,21 @@ def category_sales(
     without reviews is left out. Items and reviews are not paired for it: multiplying by the number
     of reviews gives the same sums. Categories without an English name form one group.
     """
-    per_product = (
-        items.select("order_id", "product_id", "price")
-        .join(scores, "order_id")
-        .groupBy("product_id")
-        .agg(
-            F.sum(F.col("price") * F.col("reviews")).alias("sales"),
-            F.sum(F.col("score_sum").cast(PAIRED_COUNT)).alias("score_sum"),
-            F.sum(F.col("scores").cast(PAIRED_COUNT)).alias("scores"),
-        )
-    )
+    reviewed = items.select("order_id", "product_id", "price").join(scores, "order_id")
+    return by_category(reviewed.groupBy("product_id").agg(*product_sums()), products, translation)
+
+
+def product_sums() -> list[Column]:
+    """Aggregates of items with the review factors of their order."""
+    return [
+        F.sum(F.col("price") * F.col("reviews")).alias("sales"),
+        F.sum(F.col("score_sum").cast(PAIRED_COUNT)).alias("score_sum"),
+        F.sum(F.col("scores").cast(PAIRED_COUNT)).alias("scores"),
+    ]
+
+
+def by_category(per_product: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Sums per product as sums per English category name."""
     per_category = (
         per_product.join(products.select("product_id", "product_category_name"), "product_id")
         .groupBy("product_category_name")

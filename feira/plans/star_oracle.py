@@ -453,3 +453,22 @@ ORACLE = {
         FROM lineitem""",
     "x1_refresh": REFRESH,
 }
+
+
+def _mart(table: str, key: str, item: str, amount: str, rating: str = "NULL") -> str:
+    return _row(table, item, amount, f"({ORACLE[key]}) AS mart", rating)
+
+
+# The same marts from all rows at once.
+ORACLE["m_daily_marts"] = "\nUNION ALL ".join(
+    [
+        _mart("total_order", "m1_total_order", "''", '"count"'),
+        _mart("successful_delivery_percentage", "m2_delivered_pct", "''", "delivered_order_percentage"),
+        _mart("total_sales_of_delivered_order", "m3_total_sales", "''", "total_sales"),
+        _mart("average_sales_of_delivered_order", "m4_avg_sales", "''", "average_sales"),
+        _mart("total_sales_of_delivered_order_per_state", "m5_sales_by_state_named", "customer_state_name", "total_sales"),
+        _mart("average_shipping_duration", "m6_avg_shipping", "average_shipping_time", "NULL"),
+        _mart("order_delivery_lateness", "m7_lateness", "order_delivery", '"count"'),
+        _mart("top_product_category_by_sales", "m8_top_categories", "product_category", "total_sales", "average_rating"),
+    ]
+)

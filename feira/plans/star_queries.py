@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +22,9 @@ from feira.operators.dense_id import numbered_geolocation
 from feira.operators.quarantine import REASONS, quarantine, rejected_rows
 from feira.operators.recent import PURCHASED, recent, window_start
 from feira.plans import marts
+from feira.plans.daily import DailySums
 from feira.plans.refresh import Layers, RepeatedKeys, append_rows, refresh, upsert_rows
-from feira.plans.star import DELIVERED_STATUS, Star
+from feira.plans.star import DELIVERED_STATUS, PENDING_STATUS, Star
 from feira.sources.layers import ParquetLayer
 from feira.sources.raw import UNREADABLE, drop_incomplete, read_checked, read_raw
 from feira.sources.scratch import keep, new_path
@@ -522,27 +523,19 @@ def raw_files(star: Star, folder: str) -> None:
         write_csv(feed[spec.name].select(*spec.names), f"{folder}/{spec.source}")
 
 
-@query
-def x1_refresh(star: Star) -> DataFrame:
-    """Raw files to marts: the marts, the rows of each clean table, and the broken constraints.
+def _line(df: DataFrame, name: str, item, amount, rating=None) -> DataFrame:
+    rating = F.lit(None).cast("double") if rating is None else rating
+    return df.select(
+        F.lit(name).alias("table_name"),
+        item.cast("string").alias("item"),
+        amount.cast("double").alias("amount"),
+        F.round(rating, 6).alias("rating"),
+    )
 
-    Lines of these tables repeat their key, so the constraints are reported, not enforced.
-    """
-    spark, folder = star.spark, new_path(star.spark, "star")
-    raw_files(star, f"{folder}/files")
-    layers = Layers.parquet(folder)
-    report = refresh(spark, f"{folder}/files", layers, on_violation="report", delivered=DELIVERED_STATUS)
 
+def mart_lines(found: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Every mart as rows (table_name, item, amount, rating)."""
     none = F.lit(None).cast("double")
-
-    def lines(df: DataFrame, name: str, item, amount, rating=none) -> DataFrame:
-        return df.select(
-            F.lit(name).alias("table_name"),
-            item.cast("string").alias("item"),
-            amount.cast("double").alias("amount"),
-            F.round(rating, 6).alias("rating"),
-        )
-
     shown = {
         "total_order": (F.lit(""), F.col("count")),
         "successful_delivery_percentage": (F.lit(""), F.round("delivered_order_percentage", 9)),
@@ -557,10 +550,57 @@ def x1_refresh(star: Star) -> DataFrame:
             F.col("average_rating"),
         ),
     }
-    parts = [lines(layers.marts.read(spark, s), s.name, *shown[s.name]) for s in MARTS]
+    return [_line(found[m.name], m.name, *shown[m.name]) for m in MARTS]
+
+
+@query
+def x1_refresh(star: Star) -> DataFrame:
+    """Raw files to marts: the marts, the rows of each clean table, and the broken constraints.
+
+    Lines of these tables repeat their key, so the constraints are reported, not enforced.
+    """
+    spark, folder = star.spark, new_path(star.spark, "star")
+    raw_files(star, f"{folder}/files")
+    layers = Layers.parquet(folder)
+    report = refresh(spark, f"{folder}/files", layers, on_violation="report", delivered=DELIVERED_STATUS)
+
+    parts = mart_lines({m.name: layers.marts.read(spark, m) for m in MARTS})
     for spec in CLEAN:
         count = layers.clean.read(spark, spec).agg(F.count("*").alias("n"))
-        parts.append(lines(count, "clean", F.lit(spec.name), F.col("n")))
+        parts.append(_line(count, "clean", F.lit(spec.name), F.col("n")))
     broken = report.filter(F.col("violations") > 0)
-    parts.append(lines(broken, "constraint_report", F.col("constraint_name"), F.col("violations")))
+    parts.append(_line(broken, "constraint_report", F.col("constraint_name"), F.col("violations")))
     return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def m_daily_marts(star: Star) -> DataFrame:
+    """All marts from sums per month, after two batches: late items and reviews, then pending and corrected orders."""
+    daily = DailySums(new_path(star.spark, "daily"), delivered=DELIVERED_STATUS, unit="month")
+    orders, items, reviews = star.shipped_orders(), star.order_items(), star.order_reviews()
+    wrong, late = F.col("customer_id") % 7 == 0, (F.col("order_id") + F.col("order_item_id")) % 5 == 0
+    status, bought = F.when(wrong, "O").otherwise(F.col("order_status")), F.col(PURCHASED) - F.expr("INTERVAL '30' HOUR")
+    first = star.closed(orders).withColumns(
+        {"order_status": status, PURCHASED: F.when(wrong, bought).otherwise(F.col(PURCHASED))}
+    )
+    lookups = {
+        "customers": star.customers(),
+        "products": star.products(),
+        "product_category_name_translation": star.translation(),
+    }
+    early = {"orders": first, "order_items": items.filter(~late), "order_reviews": reviews.filter("review_id % 3 > 0")}
+    daily.rebuild(star.spark, {**early, **lookups})
+    added = {"order_items": items.filter(late), "order_reviews": reviews.filter("review_id % 3 = 0")}
+    closed = star.closed(orders).select("order_id")
+    daily.update(
+        star.spark, {name: df.join(closed, "order_id", "left_semi") for name, df in added.items()}, lookups["customers"]
+    )
+    pending = orders.filter(wrong | (F.col("order_status") == PENDING_STATUS))
+    opened = orders.filter(F.col("order_status") == PENDING_STATUS).select("order_id")
+    batch = {
+        "orders": pending,
+        "order_items": items.join(opened, "order_id", "left_semi"),
+        "order_reviews": reviews.join(opened, "order_id", "left_semi"),
+    }
+    daily.update(star.spark, batch, lookups["customers"])
+    return reduce(DataFrame.unionByName, mart_lines(daily.marts(star.spark, lookups)))
