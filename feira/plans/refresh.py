@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from functools import partial, reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from feira.operators.quarantine import REASONS, kept_rows, quarantine, rejected_
 from feira.plans.clean import clean_tables
 from feira.plans.marts import DELIVERED, all_marts
 from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer
+from feira.sources.ledger import AppendLedger, fingerprint
 from feira.sources.parallel import run_all
 from feira.sources.raw import (
     RECORD,
@@ -25,9 +28,10 @@ from feira.sources.raw import (
     read_checked,
 )
 from feira.sources.scratch import keep, keep_all, scratch_of_run
+from feira.sources.versions import VersionedLayer
 from feira.specs import CLEAN, MARTS, RAW, Column, TableSpec, parents_first
 
-Layer = ParquetLayer | CatalogLayer | JdbcLayer
+Layer = ParquetLayer | CatalogLayer | JdbcLayer | VersionedLayer
 
 LINES = (
     Column("table_name", StringType(), "VARCHAR(64)"),
@@ -75,7 +79,7 @@ def append_rows(layer: Layer, df: DataFrame, spec: TableSpec) -> None:
     layer.write(df, spec, "append")
 
 
-def upsert_rows(layer: ParquetLayer, df: DataFrame, spec: TableSpec) -> list[str]:
+def upsert_rows(layer: ParquetLayer | VersionedLayer, df: DataFrame, spec: TableSpec) -> list[str]:
     """Bring changed and new rows into a table; returns the files replaced.
 
     A key that occurs twice among the rows, or has a NULL part, is refused: which row would count is not known.
@@ -96,6 +100,12 @@ class Layers:
     def parquet(root: str) -> Layers:
         return Layers(*[ParquetLayer(f"{root.rstrip('/')}/{name}") for name in ("raw", "clean", "marts")])
 
+    @staticmethod
+    def versioned(root: str) -> Layers:
+        """Raw tables one by one; the clean tables change together, and so do the marts."""
+        kinds = (("raw", ParquetLayer), ("clean", VersionedLayer), ("marts", VersionedLayer))
+        return Layers(*[kind(f"{root.rstrip('/')}/{name}") for name, kind in kinds])
+
 
 def load_raw(
     spark: SparkSession, source: str, layer: Layer, quote_escape: str = '"'
@@ -141,10 +151,14 @@ def _set_apart(
     return quarantine(tables, CLEAN, present, keep, suspects, new_keys) if suspects else {}
 
 
-def _write_rejected(spark: SparkSession, layer: Layer, taken_out: Mapping[str, DataFrame], mode: str) -> None:
+def _write_rejected(
+    spark: SparkSession, layer: Layer, taken_out: Mapping[str, DataFrame], mode: str, done: Sequence[str]
+) -> None:
     """The rejected rows of each table; tables of an earlier run are emptied where nothing is rejected now."""
     for spec in CLEAN:
         target = rejected(spec)
+        if target.name in done:
+            continue
         if spec.name in taken_out:
             rows = rejected_rows(taken_out[spec.name])
             layer.write(rows.withColumn(REASONS, F.array_join(REASONS, ",")), target, "append" if mode != "overwrite" else mode)
@@ -152,6 +166,20 @@ def _write_rejected(spark: SparkSession, layer: Layer, taken_out: Mapping[str, D
             layer.write(spark.createDataFrame([], target.schema), target)
 
 
+def _present(spark: SparkSession, layer: Layer, spec: TableSpec, ledger: AppendLedger | None) -> DataFrame | None:
+    """The rows of a table before the append; None if there is no table."""
+    df = layer.find(spark, spec)
+    if df is None or ledger is None or spec.name not in ledger.done:
+        return df
+    files = [f"{layer.path(spec)}/{name}" for name in ledger.before[spec.name]]
+    return spark.read.schema(spec.schema).parquet(*files) if files else None
+
+
+def _together(spark: SparkSession, layer: Layer):
+    """Where to write tables that belong together."""
+    return layer.change(spark) if isinstance(layer, VersionedLayer) else nullcontext(layer)
+
+
 def load_clean(
     spark: SparkSession,
     layers: Layers,
@@ -171,11 +199,21 @@ def load_clean(
     ``mode="append"`` adds to the clean tables that exist: a key that is there already is a violation,
     rows there count as parents, and location ids go on after the largest one. ``mode="upsert"`` (Parquet
     layers) does the same, but a row whose key is there takes the place of that row.
+
+    An append to Parquet tables that was cut off is finished by the next one with the same raw tables: what it had
+    added is not added again. One with other raw tables first takes out what the unfinished one had added. In a
+    `VersionedLayer` all tables change at once.
     """
     with scratch_of_run(spark):
-        present = {}
+        present, ledger = {}, None
+        if mode == "append" and isinstance(layers.clean, ParquetLayer):
+            inputs = [layers.raw.path(spec) for spec in RAW] if isinstance(layers.raw, ParquetLayer) else []
+            # Without files to know the input by, each run is one of its own.
+            run = fingerprint(spark, inputs) if inputs else uuid4().hex
+            kinds = [*CLEAN, *map(rejected, CLEAN)]
+            ledger = AppendLedger.open(spark, layers.clean.root, run, [spec.name for spec in kinds])
         if mode != "overwrite":
-            found = {spec.name: layers.clean.find(spark, spec) for spec in CLEAN}
+            found = {spec.name: _present(spark, layers.clean, spec, ledger) for spec in CLEAN}
             present = {name: df for name, df in found.items() if df is not None}
         raw = {spec.name: layers.raw.read(spark, spec) for spec in RAW}
         tables = clean_tables(raw, keep_all, present)
@@ -204,12 +242,25 @@ def load_clean(
         broken = report.filter(bad).orderBy("constraint_name").collect() if on_violation != "report" else []
         if broken:
             raise ConstraintViolation(", ".join(f"{r.constraint_name}: {r.violations}" for r in broken))
-        _write_rejected(spark, layers.clean, taken_out, mode)
-        for group in parents_first():
-            if mode == "upsert":
-                run_all(partial(upsert_rows, layers.clean, tables[spec.name], spec) for spec in group)
-            else:
-                run_all(partial(layers.clean.write, tables[spec.name], spec, mode) for spec in group)
+        with _together(spark, layers.clean) as target:
+
+            def load(spec: TableSpec) -> None:
+                if mode == "upsert":
+                    upsert_rows(target, tables[spec.name], spec)
+                elif ledger is None or spec.name not in ledger.done:
+                    target.write(tables[spec.name], spec, mode)
+
+            def finished(specs: Iterable[TableSpec]) -> None:
+                if ledger is not None:
+                    ledger.finish(spark, [spec.name for spec in specs])
+
+            _write_rejected(spark, target, taken_out, mode, ledger.done if ledger else ())
+            finished(map(rejected, CLEAN))
+            for group in parents_first():
+                run_all(partial(load, spec) for spec in group)
+                finished(group)
+        if ledger is not None:
+            ledger.close(spark)
     return layers.marts.read(spark, REPORT)
 
 
@@ -218,7 +269,8 @@ def load_marts(spark: SparkSession, layers: Layers, delivered: str = DELIVERED)
     with scratch_of_run(spark):
         clean = {spec.name: layers.clean.read(spark, spec) for spec in CLEAN}
         marts = all_marts(clean, delivered, keep)
-        run_all(partial(layers.marts.write, marts[spec.name], spec) for spec in MARTS)
+        with _together(spark, layers.marts) as target:
+            run_all(partial(target.write, marts[spec.name], spec) for spec in MARTS)
 
 
 def refresh(

@@ -60,6 +60,13 @@ def move(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"{path} cannot be renamed to {target}")
 
 
+def move_new(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a file to a name that is free; False if it is taken."""
+    system, at = _open(spark, path)
+    goal = _open(spark, target)[1]
+    return not system.exists(goal) and system.rename(at, goal)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """The folder and all in it; nothing if it does not exist."""
     system, at = _open(spark, path)

@@ -38,7 +38,8 @@ class ParquetLayer:
         return self.read(spark, spec) if exists(spark, self.path(spec)) else None
 
     @staticmethod
-    def _placed(table: DataFrame, spec: TableSpec) -> DataFrame:
+    def placed(table: DataFrame, spec: TableSpec) -> DataFrame:
+        """The rows as they are written: in ranges of the columns the table is sorted by, if any."""
         if not spec.sorted_by:
             return table
         # Each file gets a range of the column, so a scan for a range opens few files. The key
@@ -48,7 +49,7 @@ class ParquetLayer:
 
     def write(self, df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> None:
         self.finish_updates(df.sparkSession, spec)
-        table = self._placed(conform(df, spec), spec)
+        table = self.placed(conform(df, spec), spec)
         if mode != "overwrite":
             table.write.mode(mode).parquet(self.path(spec))
             return
@@ -82,7 +83,7 @@ class ParquetLayer:
             if old:
                 rest = spark.read.schema(spec.schema).parquet(*old).join(keys, key, "left_anti")
                 rows = rest.select(*spec.names).unionByName(new)
-        self._placed(rows, spec).write.parquet(staged)
+        self.placed(rows, spec).write.parquet(staged)
         write_text(spark, f"{staged}/{_PLAN}", json.dumps({"old": old, "new": names(spark, staged, "part-")}))
         self.finish_updates(spark, spec)
         return old

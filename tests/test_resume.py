@@ -1,0 +1,206 @@
+"""Loads that die, and what the next one makes of them."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from feira.plans import refresh as refresh_module
+from feira.plans.refresh import Layers, load_clean, load_marts, load_raw, refresh, rejected, upsert_rows
+from feira.sources import versions
+from feira.sources.layers import ParquetLayer
+from feira.sources.ledger import FILE
+from feira.sources.versions import Outdated, VersionedLayer
+from feira.specs import CLEAN, ORDERS, SELLERS
+
+from conftest import values
+from test_refresh import expected_marts, make_feed, marts, write_feed
+
+FIELDS = "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"
+
+
+class Killed(BaseException):
+    pass
+
+
+def second_feed(seed=4):
+    """A feed whose keys are all new."""
+    feed = make_feed(seed)
+    names = ("customer_id", "order_id", "seller_id", "product_id", "review_id")
+    for rows in feed.values():
+        for row in rows:
+            row.update({k: f"x{seed}{row[k]}" for k in names if row.get(k)})
+    feed["product_category_name_translation"] = []
+    return feed
+
+
+def tables(spark, layers):
+    return {s.name: values(layers.clean.read(spark, s)) for s in CLEAN}
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark, tmp_path_factory):
+    """The clean tables after a first load, and after an append that nothing disturbs."""
+    folder = tmp_path_factory.mktemp("undisturbed")
+    layers = Layers.parquet(str(folder))
+    write_feed(make_feed(3), folder)
+    refresh(spark, str(folder), layers)
+    before = tables(spark, layers)
+    write_feed(second_feed(), folder)
+    load_raw(spark, str(folder), layers.raw)
+    load_clean(spark, layers, mode="append")
+    assert not (folder / "clean" / FILE).exists()
+    return before, tables(spark, layers)
+
+
+def loaded(spark, folder, layers):
+    write_feed(make_feed(3), folder)
+    refresh(spark, str(folder), layers)
+    write_feed(second_feed(), folder)
+    load_raw(spark, str(folder), layers.raw)
+
+
+def test_an_append_killed_after_any_table_is_finished(spark, tmp_path, undisturbed, monkeypatch):
+    """Killed before the first table, then again and again one table further on, until nothing is left to do."""
+    layers = Layers.parquet(str(tmp_path))
+    loaded(spark, tmp_path, layers)
+    real, written = ParquetLayer.write, []
+
+    def dying(self, df, spec, mode="overwrite"):
+        if mode == "append":
+            if written and written[-1] == "last":
+                raise Killed
+            # The rows are there, but the run does not live to note it.
+            real(self, df, spec, mode)
+            written.append("last")
+            raise Killed
+        real(self, df, spec, mode)
+
+    monkeypatch.setattr(refresh_module, "run_all", lambda jobs: [job() for job in jobs])
+    monkeypatch.setattr(ParquetLayer, "write", dying)
+    for _ in range(2):
+        written.clear()
+        with pytest.raises(Killed):
+            load_clean(spark, layers, mode="append")
+    # From now on every run gets one group of tables further.
+    done, groups = [], refresh_module.parents_first()
+    for group in groups[:-1]:
+        names = {s.name for s in group}
+
+        def one_group(self, df, spec, mode="overwrite", names=names):
+            if mode == "append" and spec.name not in names:
+                raise Killed
+            real(self, df, spec, mode)
+            if mode == "append":
+                done.append(spec.name)
+
+        monkeypatch.setattr(ParquetLayer, "write", one_group)
+        with pytest.raises(Killed):
+            load_clean(spark, layers, mode="append")
+    monkeypatch.setattr(ParquetLayer, "write", lambda self, df, spec, mode="overwrite": (done.append(spec.name), real(self, df, spec, mode)))
+    load_clean(spark, layers, mode="append")
+    # No table was written twice.
+    assert sorted(n for n in done if n != "constraint_report") == sorted(s.name for s in CLEAN)
+    assert tables(spark, layers) == undisturbed[1]
+    assert not (tmp_path / "clean" / FILE).exists()
+
+
+def test_other_input_undoes_what_an_unfinished_append_added(spark, tmp_path, undisturbed, monkeypatch):
+    layers = Layers.parquet(str(tmp_path))
+    write_feed(make_feed(3), tmp_path)
+    refresh(spark, str(tmp_path), layers)
+    write_feed(second_feed(seed=9), tmp_path)
+    load_raw(spark, str(tmp_path), layers.raw)
+    real = ParquetLayer.write
+
+    def dying(self, df, spec, mode="overwrite"):
+        real(self, df, spec, mode)
+        if mode == "append" and spec.name == "order_items":
+            raise Killed
+
+    monkeypatch.setattr(ParquetLayer, "write", dying)
+    with pytest.raises(Killed):
+        load_clean(spark, layers, mode="append")
+    monkeypatch.undo()
+    assert tables(spark, layers) != undisturbed[0]
+    write_feed(second_feed(), tmp_path)
+    load_raw(spark, str(tmp_path), layers.raw)
+    load_clean(spark, layers, mode="append")
+    assert tables(spark, layers) == undisturbed[1]
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+def test_readers_see_all_tables_of_a_load_or_none(spark, tmp_path, undisturbed, monkeypatch, mode):
+    layers = Layers.versioned(str(tmp_path))
+    loaded(spark, tmp_path, layers)
+    assert tables(spark, layers) == undisturbed[0]
+    real, count = versions._Change.write, []
+
+    def dying(self, df, spec, mode="overwrite"):
+        if self.layer is layers.clean:
+            count.append(spec.name)
+            if len(count) == 6:
+                raise Killed
+        real(self, df, spec, mode)
+
+    monkeypatch.setattr(versions._Change, "write", dying)
+    with pytest.raises(Killed):
+        load_clean(spark, layers, mode=mode)
+    monkeypatch.undo()
+    assert tables(spark, layers) == undisturbed[0]
+    number, _ = layers.clean.latest(spark)
+    load_clean(spark, layers, mode=mode)
+    assert layers.clean.latest(spark)[0] == number + 1
+    if mode == "append":
+        assert tables(spark, layers) == undisturbed[1]
+    # What no version needs goes; the tables stay.
+    after = tables(spark, layers)
+    layers.clean.clean_up(spark)
+    assert tables(spark, layers) == after
+    assert len(list(Path(layers.clean.root).glob("orders-*"))) == (2 if mode == "append" else 1)
+
+
+def test_whole_run_in_versions(spark, tmp_path):
+    feed = make_feed(11)
+    write_feed(feed, tmp_path)
+    layers = Layers.versioned(str(tmp_path))
+    refresh(spark, str(tmp_path), layers, on_violation="quarantine")
+    found = marts(spark, layers)
+    for name, expected in expected_marts(feed).items():
+        assert found[name] == expected, name
+    load_marts(spark, layers)
+    assert marts(spark, layers) == found
+    assert layers.clean.find(spark, rejected(ORDERS)) is None
+
+
+def test_upsert_in_versions_shares_untouched_files(spark, tmp_path, rows):
+    layer = VersionedLayer(str(tmp_path))
+    for i in range(5):
+        layer.write(rows(FIELDS, *[(f"{i}{n}", "1", "old", "SP") for n in range(4)]).coalesce(2), SELLERS, "append")
+    files = {str(p) for p in tmp_path.glob("sellers-*/part-*")}
+    replaced = upsert_rows(layer, rows(FIELDS, ("21", "2", "new", "RJ"), ("x", "2", "new", "RJ")), SELLERS)
+    assert len(replaced) == 1 and layer.read(spark, SELLERS).count() == 21
+    assert values(layer.read(spark, SELLERS).filter("seller_city = 'new'"), "seller_id") == [("21",), ("x",)]
+    assert files <= {str(p) for p in tmp_path.glob("sellers-*/part-*")}
+    used = {f.removeprefix("file://") for f in layer.read(spark, SELLERS).inputFiles()}
+    assert len(files & used) == len(files) - 1
+    again = upsert_rows(layer, rows(FIELDS, ("22", "3", "newer", "RJ"), ("x", "3", "newer", "RJ")), SELLERS)
+    assert again and layer.read(spark, SELLERS).count() == 21
+    layer.clean_up(spark)
+    assert values(layer.read(spark, SELLERS).filter("seller_city <> 'old'"), "seller_id", "seller_city") == [
+        ("21", "new"), ("22", "newer"), ("x", "newer"),
+    ]
+
+
+def test_the_slower_of_two_writers_is_refused(spark, tmp_path, rows):
+    layer = VersionedLayer(str(tmp_path))
+    layer.write(rows(FIELDS, ("a", "1", "x", "SP")), SELLERS)
+    with pytest.raises(Outdated):
+        with layer.change(spark) as change:
+            change.write(rows(FIELDS, ("b", "1", "x", "SP")), SELLERS)
+            layer.write(rows(FIELDS, ("c", "1", "x", "SP")), SELLERS)
+    assert values(layer.read(spark, SELLERS), "seller_id") == [("c",)]
+    assert len(list(tmp_path.glob("sellers-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        layer.read(spark, ORDERS)
