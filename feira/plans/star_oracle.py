@@ -68,17 +68,34 @@ LEFT JOIN (VALUES {STATES}) named(i, code, name) ON named.code = customer_state
 WHERE {SOLD} GROUP BY customer_state"""
 
 
-def categories(english: str) -> str:
-    """Ranked category sales with items and reviews paired row by row."""
+def category_sums(english: str) -> str:
+    """(product_category, total, average_rating) with items and reviews paired row by row."""
     return f"""
-SELECT product_category, total_sales, average_rating, "rank" FROM (
-    SELECT {english} AS product_category, CAST(sum({PRICE}) AS DOUBLE) AS total_sales,
-        round(avg(1 + CAST(floor(value) AS BIGINT) % 5), 6) AS average_rating,
-        row_number() OVER (ORDER BY sum({PRICE}) DESC NULLS FIRST, {english} NULLS LAST) AS "rank"
-    FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
-    JOIN events ON CAST(floor(event_id / 2.0) AS BIGINT) = o_orderkey
-    WHERE {SOLD} GROUP BY {english}
-) WHERE "rank" <= 10"""
+SELECT {english} AS product_category, sum({PRICE}) AS total,
+    round(avg(1 + CAST(floor(value) AS BIGINT) % 5), 6) AS average_rating
+FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
+JOIN events ON CAST(floor(event_id / 2.0) AS BIGINT) = o_orderkey
+WHERE {SOLD} GROUP BY {english}"""
+
+
+def best_ten(english: str) -> str:
+    return f"""SELECT product_category, CAST(total AS DOUBLE) AS total_sales, average_rating
+FROM ({category_sums(english)}) ORDER BY total DESC, product_category NULLS LAST LIMIT 10"""
+
+
+def places(english: str) -> str:
+    """The ten best, each with one more than the number of categories that go before it."""
+    return f"""WITH sums AS ({category_sums(english)}), placed AS (
+    SELECT a.*, 1 + (SELECT count(*) FROM sums AS b WHERE b.total > a.total
+        OR b.total = a.total AND b.product_category < a.product_category) AS place FROM sums AS a)
+SELECT product_category, CAST(total AS DOUBLE) AS total_sales, average_rating, place AS "rank"
+FROM placed WHERE place <= 10"""
+
+
+def delivered_share(status: str) -> str:
+    return f"""WITH counts AS (
+    SELECT count(*) AS every, count(*) FILTER (o_orderstatus = '{status}') AS done FROM orders WHERE {WINDOW})
+SELECT round(done * 100.0::DOUBLE / every, 9) AS delivered_order_percentage FROM counts WHERE done > 0"""
 
 
 TRANSLATED = f"CASE WHEN p_brand NOT IN ({NO_ENGLISH}) THEN p_brand END"
@@ -229,9 +246,8 @@ lines AS (SELECT l_partkey, {PRICE} AS price, score, p_type, p_brand
     FROM lineitem JOIN recent ON o_orderkey = l_orderkey JOIN reviews ON order_id = o_orderkey
     JOIN part ON p_partkey = l_partkey
     WHERE o_orderstatus = 'F' AND p_type <> 'ECONOMY'),
-ranked AS (SELECT {TRANSLATED} AS category, sum(price) AS total, avg(score) AS rating,
-    row_number() OVER (ORDER BY sum(price) DESC NULLS FIRST, {TRANSLATED} NULLS LAST) AS "rank"
-    FROM lines GROUP BY {TRANSLATED}),
+best AS (SELECT {TRANSLATED} AS category, sum(price) AS total, avg(score) AS rating
+    FROM lines GROUP BY ALL ORDER BY total DESC, category NULLS LAST LIMIT 10),
 clean_orders AS (SELECT o_orderkey AS k FROM feed UNION SELECT l_orderkey FROM lineitem
     UNION SELECT {EVENT_ORDER} FROM events WHERE event_type IN ('purchase', 'view', 'signup', 'click'))"""
 
@@ -253,8 +269,8 @@ REFRESH = f"WITH {CLEAN_FEED}\n" + "\nUNION ALL ".join(
         _row(
             "successful_delivery_percentage",
             "''",
-            "round(count(*) * 100.0 / (SELECT count(*) FROM recent), 9)",
-            "recent WHERE o_orderstatus = 'F' GROUP BY o_orderstatus",
+            "round(done * 100.0 / every, 9)",
+            "(SELECT count(*) AS every, count(*) FILTER (o_orderstatus = 'F') AS done FROM recent) WHERE done > 0",
         ),
         _row("total_sales_of_delivered_order", "''", "sum(total)", "sales"),
         _row("average_sales_of_delivered_order", "''", "round(avg(CAST(total AS DOUBLE)), 4)", "sales"),
@@ -273,7 +289,7 @@ REFRESH = f"WITH {CLEAN_FEED}\n" + "\nUNION ALL ".join(
             "count_if(arrived <= bought + INTERVAL 45 DAY)",
             "arrivals",
         ),
-        _row("top_product_category_by_sales", "category", "total", 'ranked WHERE "rank" <= 10', "rating"),
+        _row("top_product_category_by_sales", "category", "total", "best", "rating"),
         _counted("customers", "(SELECT c_custkey FROM customer WHERE c_acctbal >= 0 "
                  "UNION SELECT o_custkey FROM feed)"),
         _counted("geolocation", f"(SELECT DISTINCT zip, s_acctbal FROM supplier JOIN {PLACE} "
@@ -328,12 +344,8 @@ ORACLE = {
         ts AS review_creation_date, ts AS review_answer_timestamp
         FROM events WHERE event_type <> 'error'""",
     "m1_total_order": f'SELECT count(o_orderkey) AS "count" FROM orders WHERE {WINDOW}',
-    "m2_delivered_pct": f"""SELECT round(CAST(count(*) AS DOUBLE) * 100.0
-        / (SELECT count(*) FROM orders WHERE {WINDOW}), 9) AS delivered_order_percentage
-        FROM orders WHERE {SOLD} GROUP BY o_orderstatus""",
-    "m2_delivered_pct_empty": f"""SELECT round(CAST(count(*) AS DOUBLE) * 100.0
-        / (SELECT count(*) FROM orders WHERE {WINDOW}), 9) AS delivered_order_percentage
-        FROM orders WHERE {WINDOW} AND o_orderstatus = 'ZZ' GROUP BY o_orderstatus""",
+    "m2_delivered_pct": delivered_share("F"),
+    "m2_delivered_pct_empty": delivered_share("ZZ"),
     "m3_total_sales": f"""SELECT CAST(sum({PRICE}) AS DOUBLE) AS total_sales
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {SOLD}""",
     "m4_avg_sales": f"""SELECT round(avg(CAST(s AS DOUBLE)), 4) AS average_sales FROM (
@@ -343,15 +355,14 @@ ORACLE = {
     "m5_sales_by_state_named": per_state("s.code"),
     "m6_avg_shipping": f"""WITH {SHIPPED}, rows_ AS (SELECT arrived, o_orderdate AS bought FROM shipped),
         {mean_age("rows_")} {SHIPPING_TEXT}""",
-    "m7_lateness": f"""WITH {SHIPPED}
-        SELECT 'late' AS order_delivery,
-            count(CASE WHEN arrived > o_orderdate + INTERVAL 45 DAY THEN 1 END) AS "count"
-        FROM shipped UNION ALL
-        SELECT 'on-time', count(CASE WHEN arrived <= o_orderdate + INTERVAL 45 DAY THEN 1 END)
-        FROM shipped""",
-    "m8_top_categories": f"SELECT * EXCLUDE (\"rank\") FROM ({categories('p_brand')})",
-    "m8_untranslated_group": f"SELECT * EXCLUDE (\"rank\") FROM ({categories(TRANSLATED)})",
-    "w1_category_rank": categories("p_brand"),
+    "m7_lateness": f"""WITH {SHIPPED}, labelled AS (
+            SELECT CASE WHEN arrived > o_orderdate + INTERVAL 45 DAY THEN 'late'
+                WHEN arrived <= o_orderdate + INTERVAL 45 DAY THEN 'on-time' END AS label FROM shipped)
+        SELECT name AS order_delivery, count(label) AS "count"
+        FROM (VALUES ('late'), ('on-time')) AS kinds(name) LEFT JOIN labelled ON label = name GROUP BY name""",
+    "m8_top_categories": best_ten("p_brand"),
+    "m8_untranslated_group": best_ten(TRANSLATED),
+    "w1_category_rank": places("p_brand"),
     "s4_sql_on_tables": f"""
         SELECT o_orderstatus AS order_status, count(DISTINCT o_orderkey) AS orders,
             CAST(sum({PRICE}) AS DOUBLE) AS total_sales

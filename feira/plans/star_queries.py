@@ -191,11 +191,11 @@ def s4_sql_on_tables(star: Star) -> DataFrame:
             WHERE order_purchase_timestamp >=
                 (SELECT max(order_purchase_timestamp) FROM {orders}) - INTERVAL '6' MONTH
         ), sales AS (
-            SELECT order_id, sum(price) AS sales FROM {items} GROUP BY order_id
+            SELECT order_id, order_status, sum(price) AS sales
+            FROM recent JOIN {items} USING (order_id) GROUP BY order_id, order_status
         )
         SELECT order_status, count(*) AS orders, cast(sum(sales) AS double) AS total_sales
-        FROM recent JOIN sales USING (order_id)
-        GROUP BY order_status ORDER BY total_sales DESC
+        FROM sales GROUP BY order_status ORDER BY total_sales DESC
         """,
         orders=star.orders(),
         items=star.order_items(),

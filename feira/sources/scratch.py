@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import partial
 from uuid import uuid4
 
@@ -14,7 +15,8 @@ from feira.sources.files import delete
 from feira.sources.parallel import run_all
 
 _local_folder: str | None = None
-_run_folder: str | None = None
+# Of the run the current thread belongs to; two runs side by side have folders of their own.
+_run_folder: ContextVar[str | None] = ContextVar("run folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A folder that does not exist yet, inside the folder of the current run if there is one."""
-    return f"{_run_folder or f'{shared_folder(spark)}/feira'}/{label}-{uuid4().hex}"
+    return f"{_run_folder.get() or f'{shared_folder(spark)}/feira'}/{label}-{uuid4().hex}"
 
 
 @contextmanager
@@ -41,16 +43,16 @@ def scratch_of_run(spark: SparkSession) -> Iterator[None]:
 
     A block inside another one uses the outer one's folder.
     """
-    global _run_folder
-    if _run_folder is not None:
+    if _run_folder.get() is not None:
         yield
         return
-    _run_folder = new_path(spark, "run")
+    folder = new_path(spark, "run")
+    before = _run_folder.set(folder)
     try:
         yield
     finally:
-        ended, _run_folder = _run_folder, None
-        delete(spark, ended)
+        _run_folder.reset(before)
+        delete(spark, folder)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from threading import Barrier, Event
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +18,7 @@ from feira.sources.layers import (
     prefix_conditions,
     unpad,
 )
-from feira.sources.scratch import keep, shared_folder
+from feira.sources.scratch import keep, keep_all, new_path, scratch_of_run, shared_folder
 from feira.specs import CLEAN, CLEAN_GEOLOCATION, MARTS, ORDER_ITEMS, ORDERS, RAW, SELLERS
 
 from conftest import values
@@ -236,3 +240,25 @@ def test_prefix_conditions_take_every_row_once(spark):
     ids = ids.union(spark.sql("SELECT * FROM VALUES (''), ('Z'), ('zz'), ('0'), ('f') AS t(k)"))
     parts = [ids.filter(condition).count() for condition in prefix_conditions("k")]
     assert len(parts) == 16 and sum(parts) == ids.count() and min(parts) > 10
+
+
+def test_two_runs_side_by_side_have_folders_of_their_own(spark):
+    """The first to end deletes nothing of the other, whose jobs in threads use its folder."""
+    inside, ended = Barrier(2), Event()
+
+    def run(first):
+        with scratch_of_run(spark):
+            kept = keep_all({"a": spark.range(3), "b": spark.range(4)})
+            inside.wait(60)
+            if not first:
+                ended.wait(60)
+            counts = {name: df.count() for name, df in kept.items()}
+            folder = new_path(spark, "x").rpartition("/")[0]
+        if first:
+            ended.set()
+        return folder, counts
+
+    with ThreadPoolExecutor(2) as pool:
+        (one, a), (two, b) = pool.map(run, (True, False))
+    assert one != two and a == b == {"a": 3, "b": 4}
+    assert "/run-" in one and not Path(one).exists() and not Path(two).exists()
