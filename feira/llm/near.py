@@ -9,8 +9,9 @@ which for sets is the usual Jaccard similarity.
 With 32 bands of 5 slots a pair of similarity 0.8 shares no band with probability 3e-6. Texts of equal
 words are one node from the start. In every bucket each node is paired with one hub, another in each band;
 pairs are verified on the whole texts and joined to classes. Where a bucket still holds several classes, its
-nodes meet some more hubs; in what then is left, all nodes of different classes are paired, each pair in the
-first band it shares, if enough of their slots agree. So no link is lost to the choice of the hubs.
+nodes get a code, one bit of each slot of a much longer signature, and meet some more hubs; in what then is left,
+all nodes of different classes are compared by their codes, each pair in the first band it shares, and those
+that may be similar by that are verified. So no link is lost to the choice of the hubs.
 """
 
 from __future__ import annotations
@@ -21,13 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    ByteType,
-    LongType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from feira.llm.hashing import BASES, Chunk, chunks, mix, rolling
 from feira.llm.tables import stored
@@ -35,11 +30,14 @@ from feira.llm.tables import stored
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_SLOTS = 32, 5
-# The bands take the first half of the slots; all of them estimate the similarity.
-SLOTS = 320
-# Pairs of one bucket, from different classes, that agree in fewer slots are not verified: with a
-# similarity of 0.8 that happens with probability 4e-6.
-AGREEING = 224
+SLOTS = BANDS * BAND_SLOTS
+# Codes are this many bits long. Two texts of similarity s agree in a bit with probability (1 + s) / 2.
+CODE_BITS = 4096
+# Pairs of one bucket, from different classes, are not verified if their bits agree less often than those of
+# texts that are just similar enough, by so many standard deviations: that happens with probability 3e-6.
+DEVIATIONS = 4.5
+# Texts whose codes are worked out at a time.
+TOGETHER = 256
 # Hubs that each node of a bucket with several classes meets besides the first.
 MORE_HUBS = 3
 STEP = 0x9E3779B97F4A7C15
@@ -64,16 +62,18 @@ def shingles(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     return rows[first], values[first], np.diff(np.r_[first, len(values)])
 
 
-def signatures(rows: np.ndarray, values: np.ndarray, weights: np.ndarray, n_rows: int) -> np.ndarray:
+def signatures(
+    rows: np.ndarray, values: np.ndarray, weights: np.ndarray, n_rows: int, slots: int = SLOTS
+) -> np.ndarray:
     """The ProbMinHash signature of each row: the shingle that comes first in each slot."""
-    times = np.full(n_rows * SLOTS, np.inf)
-    chosen = np.zeros(n_rows * SLOTS, np.uint64)
+    times = np.full(n_rows * slots, np.inf)
+    chosen = np.zeros(n_rows * slots, np.uint64)
     sizes = np.bincount(rows, minlength=n_rows)
     alone = np.flatnonzero(sizes == 1)
     if len(alone):
         # A single shingle comes first everywhere.
         single = sizes[rows] == 1
-        chosen.reshape(n_rows, SLOTS)[rows[single]] = values[single][:, None]
+        chosen.reshape(n_rows, slots)[rows[single]] = values[single][:, None]
     active = np.flatnonzero(sizes[rows] > 1)
     at = np.zeros(len(rows))
     step = 0
@@ -83,14 +83,14 @@ def signatures(rows: np.ndarray, values: np.ndarray, weights: np.ndarray, n_rows
         gap = -np.log(((drawn >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53))
         at[active] += gap / weights[active]
         now, owner = at[active], rows[active]
-        slot = owner * SLOTS + (mix(drawn) % np.uint64(SLOTS)).astype(np.int64)
+        slot = owner * slots + (mix(drawn) % np.uint64(slots)).astype(np.int64)
         np.minimum.at(times, slot, now)
         won = times[slot] == now
         chosen[slot[won]] = values[active][won]
         open_rows, place = np.unique(owner, return_inverse=True)
-        last = times.reshape(n_rows, SLOTS)[open_rows].max(axis=1)
+        last = times.reshape(n_rows, slots)[open_rows].max(axis=1)
         active = active[now < last[place]]
-    return chosen.reshape(n_rows, SLOTS)
+    return chosen.reshape(n_rows, slots)
 
 
 def _text_hashes(chunk: Chunk) -> np.ndarray:
@@ -108,8 +108,14 @@ def _text_hashes(chunk: Chunk) -> np.ndarray:
     return np.array(both)
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    """One list per row."""
+    offsets = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(k, d1, d2, bands, slots) per row with words; `slots` holds 8 bits of each slot."""
+    """(k, d1, d2, bands) per row with words."""
     picked = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     schema = StructType(
         [
@@ -117,14 +123,9 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             StructField("d1", LongType()),
             StructField("d2", LongType()),
             StructField("bands", ArrayType(LongType(), False)),
-            StructField("slots", ArrayType(ByteType(), False)),
         ]
     )
 
-    def lists(values: np.ndarray) -> pa.Array:
-        offsets = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(1)):
@@ -135,15 +136,14 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 slots = signatures(*shingles(chunk), n_rows)[kept]
                 bands = np.zeros((len(kept), BANDS), np.uint64)
                 for i in range(BAND_SLOTS):
-                    bands = mix(bands + slots[:, i : BANDS * BAND_SLOTS : BAND_SLOTS] * np.uint64(STEP))
+                    bands = mix(bands + slots[:, i::BAND_SLOTS] * np.uint64(STEP))
                 hashes = _text_hashes(chunk).view(np.int64)[:, kept]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(kept + chunk.begin)),
                         pa.array(hashes[0]),
                         pa.array(hashes[1]),
-                        lists(bands.view(np.int64)),
-                        lists((slots & np.uint64(0xFF)).astype(np.uint8).view(np.int8)),
+                        _lists(bands.view(np.int64)),
                     ],
                     schema.fieldNames(),
                 )
@@ -151,6 +151,33 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return picked.filter("k IS NOT NULL").mapInArrow(run, schema)
 
 
+def codes(texts: DataFrame) -> DataFrame:
+    """(node, code) of (k, t): CODE_BITS bits as longs, one of each slot of a signature of that length."""
+    schema = StructType(
+        [StructField("node", texts.schema["k"].dataType), StructField("code", ArrayType(LongType(), False))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(1)):
+                rows, values, counts = shingles(chunk)
+                for begin in range(0, len(chunk.counts), TOGETHER):
+                    size = min(TOGETHER, len(chunk.counts) - begin)
+                    low, high = np.searchsorted(rows, (begin, begin + size))
+                    own = signatures(rows[low:high] - begin, values[low:high], counts[low:high], size, CODE_BITS)
+                    bits = np.packbits((own & np.uint64(1)).astype(np.uint8), axis=1)
+                    keys = batch.column(0).slice(chunk.begin + begin, size)
+                    yield pa.RecordBatch.from_arrays([keys, _lists(bits.view(np.int64))], schema.fieldNames())
+
+    return texts.select("k", "t").mapInArrow(run, schema)
+
+
+def agreeing_bits(similarity: float) -> int:
+    """How many bits of a code have to agree."""
+    share = (1 + similarity) / 2
+    return int(CODE_BITS * share - DEVIATIONS * (CODE_BITS * share * (1 - share)) ** 0.5)
+
+
 # --- verification
 
 
@@ -214,33 +241,44 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the undirected edges (a, b): the smallest node it is linked to.
 
-    Every round gives each node the smallest label around it and then the label of its label, so long
-    chains take a logarithmic number of rounds. Rounds are written tables; only a count reaches the driver.
+    Every round gives each node the smallest node around it, follows these twice, and draws the nodes
+    that got one label together, so that the edges between them go and the others become fewer. Rounds are written
+    tables; only whether edges are left reaches the driver.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")), "links")
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-        .select("node", F.least("node", "near").alias("label"), F.lit(True).alias("moved")),
-        "labels",
-    )
-    while labels.filter("moved").limit(1).count():
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        lower = stored(
-            labels.select("node", F.col("label").alias("old"))
-            .join(near, "node")
-            .select("node", "old", F.least("old", "near").alias("label")),
-            "lower-labels",
-        )
-        jump = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = stored(
-            lower.join(jump, "label").select("node", F.col("next").alias("label"), (F.col("next") < F.col("old")).alias("moved")),
-            "labels",
-        )
-    return labels.select("node", "label")
+    left = stored(edges.select(*_ordered("a", "b")).filter("a <> b").distinct(), "links")
+    labels = None
+    while True:
+        both = left.union(left.select("b", "a"))
+        step = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+        step = stored(step.select("node", F.least("node", "near").alias("label")), "labels")
+        for _ in range(2):
+            further = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            step = stored(step.join(further, "label").select("node", F.col("next").alias("label")), "labels")
+        labels = step if labels is None else _followed(labels, step)
+        left = stored(_between(left, step), "links")
+        if not left.limit(1).count():
+            return labels
+
+
+def _followed(labels: DataFrame, step: DataFrame) -> DataFrame:
+    """Labels of labels, where `step` has one."""
+    on = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    return stored(labels.join(on, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+
+
+def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The edges (a, b) as edges of labels, without those inside one label; a node without label is its own."""
+    for end in ("a", "b"):
+        on = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        edges = edges.join(on, end, "left").withColumn(end, F.coalesce(f"{end}_label", end)).drop(f"{end}_label")
+    return edges.select(*_ordered("a", "b")).filter("a <> b").distinct()
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` after further links: only classes that these lead to are looked at again."""
+    step = components(_between(links, labels))
+    new = step.select("node", F.col("node").alias("label")).join(labels, "node", "left_anti")
+    return _followed(labels.union(new), step)
 
 
 def _ordered(x: str, y: str) -> list:
@@ -265,7 +303,6 @@ def near_classes(
             F.min("k").alias("node"),
             F.count("*").alias("n_copies"),
             F.first("bands").alias("bands"),
-            F.first("slots").alias("slots"),
         ),
         "nodes",
     )
@@ -284,52 +321,52 @@ def near_classes(
     def labelled(frame: DataFrame, known: DataFrame) -> DataFrame:
         return frame.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    known = nodes.select("node", "bands", "slots")
-
     def in_mixed_buckets() -> DataFrame:
         """The nodes of every bucket that holds several classes."""
         members = stored(labelled(shared.select("node", *bucket), labels), "bucket-classes")
         mixed = members.groupBy(*bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
         mixed = mixed.filter("low < high").select(*bucket)
-        return stored(members.join(mixed, bucket).join(known, "node"), "mixed-buckets")
+        return stored(members.join(mixed, bucket), "mixed-buckets")
 
-    def join_classes(alike: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Links, labels and tried pairs after verifying those pairs of `alike` that are new."""
+    def join_classes(alike: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Labels and tried pairs after verifying those pairs of `alike` that are new."""
         new = alike.select(*_ordered("node_x", "node_y")).distinct()
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "more-pairs")
         if not new.limit(1).count():
-            return links, labels, tried
-        every = links.union(stored(verified(new, docs, key, text, similarity), "more-links"))
-        return every, components(every), tried.union(new)
-
-    agreeing = F.aggregate(
-        F.zip_with("slots_x", "slots_y", lambda x, y: (x == y).cast("int")),
-        F.lit(0),
-        lambda total, one: total + one,
+            return labels, tried
+        return joined(labels, stored(verified(new, docs, key, text, similarity), "more-links")), tried.union(new)
+
+    differing = F.aggregate(
+        F.zip_with("code_x", "code_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
-    kept = ("node", "label", "slots")
+    agreeing = differing <= CODE_BITS - agreeing_bits(similarity)
+    kept = ("node", "label", "code")
     apart = in_mixed_buckets()
     if apart.limit(1).count():
+        texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+        mixed_nodes = apart.select(F.col("node").alias("k")).distinct()
+        known = stored(codes(texts.join(mixed_nodes, "k", "left_semi")).distinct(), "codes")
         # More hubs, for nodes that are like few others of a large group.
-        drawn = [
-            F.min(F.struct(F.xxhash64(F.lit(i), "node", "band").alias("luck"), *kept)) for i in range(MORE_HUBS)
-        ]
+        drawn = [F.min(F.struct(F.xxhash64(F.lit(i), "node", "band").alias("luck"), "node", "label")) for i in range(MORE_HUBS)]
         hubs = apart.groupBy(*bucket).agg(F.array(*drawn).alias("hubs")).select(*bucket, F.explode("hubs").alias("hub"))
-        hubs = stored(hubs.select(*bucket, *[F.col(f"hub.{c}").alias(f"{c}_y") for c in kept]), "more-hubs")
-        left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in kept])
-        met = left.join(hubs, [left[c] == hubs[c] for c in bucket] + [F.col("label_x") != F.col("label_y"), agreeing >= AGREEING])
-        links, labels, pairs = join_classes(met, pairs)
+        hubs = hubs.select(*bucket, F.col("hub.node").alias("node"), F.col("hub.label").alias("label")).join(known, "node")
+        hubs = stored(hubs.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in kept]), "more-hubs")
+        left = apart.join(known, "node").select(*bucket, *[F.col(c).alias(f"{c}_x") for c in kept])
+        met = left.join(hubs, [left[c] == hubs[c] for c in bucket] + [F.col("label_x") != F.col("label_y"), agreeing])
+        labels, pairs = join_classes(met, pairs)
         apart = in_mixed_buckets()
     if apart.limit(1).count():
-        left = apart.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in (*kept, "bands")])
-        right = apart.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in (*kept, "bands")])
+        coded = known.join(nodes.select("node", "bands"), "node")
+        coded = stored(apart.join(coded, "node"), "coded-buckets")
+        left = coded.select(*bucket, *[F.col(c).alias(f"{c}_x") for c in (*kept, "bands")])
+        right = coded.select(*bucket, *[F.col(c).alias(f"{c}_y") for c in (*kept, "bands")])
         first_band = F.array_position(F.zip_with("bands_x", "bands_y", lambda x, y: x == y), True) - 1
         alike = left.join(
             right,
             [left[c] == right[c] for c in bucket]
-            + [F.col("label_x") < F.col("label_y"), first_band == left["band"], agreeing >= AGREEING],
+            + [F.col("label_x") < F.col("label_y"), first_band == left["band"], agreeing],
         )
-        links, labels, pairs = join_classes(alike, pairs)
+        labels, pairs = join_classes(alike, pairs)
     classes = stored(labelled(nodes.select("node", "d1", "d2", "n_copies"), labels), "classes")
     member = found.select("k", "d1", "d2").join(classes, ["d1", "d2"])
     member = member.select(F.col("k").alias("doc_id"), F.col("label").alias("class_id"), "n_copies")

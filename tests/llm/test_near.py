@@ -133,3 +133,54 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r.node: r.label for r in near.components(df).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[100 + i] for i in range(60)} == {100}
     assert {found[k] for k in (203, 204, 205)} == {203}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_edges_in_two_parts(spark, seed):
+    draw = np.random.default_rng(seed)
+    edges = [(int(a), int(b)) for a, b in draw.integers(0, 300, (220, 2))] + [(7, 7)]
+    label = {n: n for e in edges for n in e}
+
+    def find(n):
+        return n if label[n] == n else find(label[n])
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        label[high] = low
+    df = spark.createDataFrame(edges, "a long, b long")
+    expected = {n: find(n) for n in label}
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert {r.node: r.label for r in near.components(df).collect()} == {n: expected[n] for n in linked}
+    parts = (spark.createDataFrame(part, "a long, b long") for part in (edges[:100], edges[100:]))
+    found = near.joined(near.components(next(parts)), next(parts))
+    assert {r.node: r.label for r in found.collect()} == {n: expected[n] for n in linked}
+
+
+def test_no_link_is_lost_in_a_group_with_all_similarities(spark, documents):
+    """Texts of one origin, many at 0.5 to 0.95 to each other: the classes of all pairs compared."""
+    draw = np.random.default_rng(12)
+    words = prose(77, 150)
+    rows = []
+    for i in range(600):
+        places = draw.choice(150, int(draw.integers(1, 9)), replace=False)
+        rows.append((i, " ".join(f"n{i}-{p}" if p in places else w for p, w in enumerate(words))))
+    sets = [set(bags(t)) for _, t in rows]
+    label = list(range(600))
+
+    def find(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    spread = []
+    for i in range(600):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            spread.append(both / (len(sets[i]) + len(sets[j]) - both))
+            if spread[-1] >= 0.8:
+                low, high = sorted((find(i), find(j)))
+                label[high] = low
+    assert min(spread) < 0.55 and max(spread) > 0.9
+    assert sum(0.7 < x < 0.8 for x in spread) > 10_000 and len({find(k) for k in range(600)}) > 100
+    found = near.near_classes(documents(*rows)).collect()
+    assert {r.doc_id: r.class_id for r in found} == {k: find(k) for k in range(600)}
