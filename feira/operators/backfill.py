@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions.keys import complete
+from feira.specs import ForeignKey, TableSpec
 
 Child = tuple[DataFrame, Sequence[str]]
 
@@ -36,6 +37,35 @@ def missing_keys(parent: DataFrame, key: Sequence[str], children: Iterable[Child
     return key_set(children, key).join(known, list(key), "left_anti")
 
 
+def reference_name(spec: TableSpec, fk: ForeignKey) -> str:
+    return f"{spec.name}_{fk.parent}_reference"
+
+
+def reference_counts(child: DataFrame, spec: TableSpec) -> DataFrame:
+    """(reference, keys, child_rows): each complete key of every reference of a table, as texts, with its number of rows.
+
+    All references come from one scan, and keys combine inside each input task, so that what follows need not read the table again.
+    """
+    uses = [
+        F.when(
+            complete(fk.columns),
+            F.struct(
+                F.lit(reference_name(spec, fk)).alias("reference"),
+                F.array(*[F.col(c).cast("string") for c in fk.columns]).alias("keys"),
+            ),
+        )
+        for fk in spec.foreign_keys
+    ]
+    used = child.select(F.inline(F.array_compact(F.array(*uses))))
+    return used.groupBy("reference", "keys").agg(F.count("*").alias("child_rows"))
+
+
+def counted_keys(counts: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
+    """The keys of one reference under the parent's column names, and `child_rows`."""
+    own = counts.filter(F.col("reference") == name)
+    return own.select(*[F.col("keys")[i].alias(k) for i, k in enumerate(key)], "child_rows")
+
+
 def stub_rows(keys: DataFrame, parent: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key with the parent's columns, NULL outside the key."""
     return keys.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feira.functions.keys import complete, incomplete
 from feira.functions.text import fits
+from feira.operators.backfill import counted_keys, reference_name
 from feira.specs import ForeignKey, TableSpec
 
 
@@ -95,21 +96,25 @@ def reference_lines(
     parent_keys: DataFrame,
     tables: Mapping[str, DataFrame],
     users: Sequence[tuple[TableSpec, ForeignKey]],
+    counts: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Child rows without a parent row, for all references to one parent's `key_copies`.
 
-    The children are counted per key together, so the parent is joined once.
+    The children are counted per key together, so the parent is joined once. Children whose `reference_counts` are
+    among `counts` are not read.
     """
     key = users[0][1].parent_columns
-    names = {f"{spec.name}_{fk.parent}_reference": (spec, fk) for spec, fk in users}
-    used = [
-        tables[spec.name]
-        .filter(complete(fk.columns))
-        .selectExpr(*[f"{c} AS {k}" for c, k in zip(fk.columns, key)], f"'{name}' AS reference")
-        for name, (spec, fk) in names.items()
-    ]
-    counts = [F.expr(f"count_if(reference = '{name}') AS {name}") for name in names]
-    per_key = reduce(DataFrame.unionByName, used).groupBy(*key).agg(*counts)
+    names = {reference_name(spec, fk): (spec, fk) for spec, fk in users}
+    used = []
+    for name, (spec, fk) in names.items():
+        if counts and spec.name in counts:
+            rows = counted_keys(counts[spec.name], name, key)
+        else:
+            given = tables[spec.name].filter(complete(fk.columns))
+            rows = given.selectExpr(*[f"{c} AS {k}" for c, k in zip(fk.columns, key)], "1L AS child_rows")
+        used.append(rows.withColumn("reference", F.lit(name)))
+    sums = [F.expr(f"sum(if(reference = '{name}', child_rows, 0L)) AS {name}") for name in names]
+    per_key = reduce(DataFrame.unionByName, used).groupBy(*key).agg(*sums)
     # The test on the count keeps the aggregate as the uniqueness check has it, so both share a shuffle.
     known = parent_keys.filter("copies > 0").select(*key)
     lost = per_key.join(known, list(key), "left_anti")
@@ -129,11 +134,13 @@ def constraint_report(
     specs: Sequence[TableSpec],
     present: Mapping[str, DataFrame] | None = None,
     new_keys: bool = True,
+    counts: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """(table_name, constraint_name, kind, violations) for every declared constraint.
 
     With tables that are `present`, to which these are to be added, rows that are present count as
-    parents, and the keys must be new, unless `new_keys` is false as rows are to be replaced.
+    parents, and the keys must be new, unless `new_keys` is false as rows are to be replaced. References of
+    tables whose `reference_counts` are among `counts` are checked by these.
     """
     present = present or {}
     copies = {spec.name: key_copies(tables[spec.name], spec.primary_key) for spec in specs}
@@ -149,5 +156,5 @@ def constraint_report(
         known = copies[parent]
         if parent in present:
             known = known.unionByName(key_copies(present[parent], group[0][1].parent_columns))
-        lines.append(reference_lines(known, tables, group))
+        lines.append(reference_lines(known, tables, group, counts))
     return reduce(DataFrame.unionByName, lines)

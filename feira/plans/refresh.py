@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StringType
 from feira.functions.text import fit_all
 from feira.operators.constraints import constraint_report, primary_key_violations, repeated_keys
 from feira.operators.quarantine import REASONS, kept_rows, quarantine, rejected_rows
-from feira.plans.clean import clean_tables
+from feira.plans.clean import clean_tables, raw_counts
 from feira.plans.marts import DELIVERED, all_marts
 from feira.sources.layers import CatalogLayer, JdbcLayer, ParquetLayer
 from feira.sources.ledger import AppendLedger, fingerprint
@@ -216,16 +216,18 @@ def load_clean(
             found = {spec.name: _present(spark, layers.clean, spec, ledger) for spec in CLEAN}
             present = {name: df for name, df in found.items() if df is not None}
         raw = {spec.name: layers.raw.read(spark, spec) for spec in RAW}
-        tables = clean_tables(raw, keep_all, present)
+        counts = keep_all(raw_counts(raw))
+        tables = clean_tables(raw, keep_all, present, counts)
         new_keys = mode == "append"
-        report = keep(constraint_report(tables, CLEAN, present, new_keys), "constraint-report")
+        report = keep(constraint_report(tables, CLEAN, present, new_keys, counts), "constraint-report")
         taken_out = {}
         if on_violation == "quarantine":
             suspects = {r.table_name for r in report.filter("violations > 0").select("table_name").distinct().collect()}
             taken_out = _set_apart(tables, present, suspects, new_keys)
             if taken_out:
                 tables |= {name: kept_rows(marked) for name, marked in taken_out.items()}
-                counts = [
+                counts = {name: df for name, df in counts.items() if name not in taken_out}
+                rejections = [
                     marked.agg(
                         F.lit(name).alias("table_name"),
                         F.lit(f"{name}_accepted").alias("constraint_name"),
@@ -234,7 +236,8 @@ def load_clean(
                     )
                     for name, marked in taken_out.items()
                 ]
-                report = reduce(DataFrame.unionByName, counts, constraint_report(tables, CLEAN, present, new_keys))
+                rest = constraint_report(tables, CLEAN, present, new_keys, counts)
+                report = reduce(DataFrame.unionByName, rejections, rest)
         report = keep(report if loaded is None else report.unionByName(loaded), "constraint-report")
         layers.marts.write(report, REPORT)
         # One row per declared constraint at most, so fetching the broken ones is bounded.
