@@ -68,8 +68,12 @@ FOREIGN = {
     "GPL-3.0-header": ("affero", "lesser"),
     "MIT": ("0", "no"),
 }
+# Words that turn a notice around when they stand before it.
+NEGATIONS = ("not", "never", "neither", "nor")
 # Part of a template's words that must be aligned.
 COVERAGE = 0.8
+# Stretches of one text whose alignment is remembered.
+REMEMBERED = 4096
 # The aligned stretch of the text may be this much longer than the template.
 STRETCH = 1.5
 
@@ -77,6 +81,8 @@ _LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
 
+_NEGATIONS = frozenset(word.encode() for word in NEGATIONS)
+
 SCHEMA = StructType(
     [
         StructField("license", StringType()),
@@ -173,15 +179,26 @@ class Template:
 
 
 def decided(
-    words: list[bytes], pairs: list[tuple[int, int]], phrases: list[tuple[int, list[bytes]]], foreign: frozenset[bytes]
+    words: list[bytes],
+    pairs: list[tuple[int, int]],
+    phrases: list[tuple[int, list[bytes]]],
+    foreign: frozenset[bytes],
+    size: int,
 ) -> bool:
-    """Whether each phrase stands in the text where one of its words is aligned, with no foreign word between."""
+    """Whether each phrase stands in the text where one of its words is aligned, with no foreign word between.
+
+    A foreign word in the place of the template's last words counts as well, and so does a negation in front. `size`
+    is the number of words of the template.
+    """
     at = {other: place for place, other in pairs}
     for begin, phrase in phrases:
         starts = [at[begin + i] - i for i in range(len(phrase)) if begin + i in at]
         if not any(start >= 0 and words[start : start + len(phrase)] == phrase for start in starts):
             return False
-    return foreign.isdisjoint(words[pairs[0][0] : pairs[-1][0] + 1])
+    (first, begin), (last, end) = pairs[0], pairs[-1]
+    # Words of the template that are not aligned may stand changed at the ends.
+    in_front = words[max(0, first - begin - 1) : first]
+    return foreign.isdisjoint(words[first : last + size - end]) and _NEGATIONS.isdisjoint(in_front)
 
 
 class Scanner:
@@ -226,6 +243,8 @@ class Scanner:
         longest = int(self.stretch * size) + 1
         hits = [i for i, w in enumerate(words) if w in counts]
         after = 0
+        # Alignments by the words of a stretch: text that is repeated is aligned once.
+        aligned: dict[bytes, list[tuple[int, int]]] = {}
         for last in range(need - 1, len(hits)):
             begin, end = hits[last - need + 1], hits[last] + 1
             if begin < after or end - begin > longest:
@@ -233,10 +252,16 @@ class Scanner:
             # The words that are still missing may stand on either side, or be those of another notice.
             left, right = max(after, begin - longest + need), min(len(words), begin + longest)
             for i, j in dict.fromkeys(((left, right), (begin, right), (left, end), (begin, end))):
-                pairs = [(i + place, other) for place, other in align(words[i:j], template.words)]
-                if len(pairs) < need or pairs[-1][0] - pairs[0][0] >= longest:
+                stretch = b" ".join(words[i:j])
+                found = aligned.get(stretch)
+                if found is None:
+                    if len(aligned) > REMEMBERED:
+                        aligned.clear()
+                    found = aligned[stretch] = align(words[i:j], template.words)
+                if len(found) < need or found[-1][0] - found[0][0] >= longest:
                     continue
-                if decided(words, pairs, phrases, template.foreign):
+                pairs = [(i + place, other) for place, other in found]
+                if decided(words, pairs, phrases, template.foreign, size):
                     yield template.name, len(pairs) / size, pairs[0][0], pairs[-1][0]
                     after = pairs[-1][0] + 1
                     break

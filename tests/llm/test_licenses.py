@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -138,3 +139,27 @@ def test_alignment_pairs_equal_words_in_order(a, b):
 )
 def test_alignment(a, b, n):
     assert len(licenses.align(list(a), list(b))) == n
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Released under the MIT-0 License.", "Not released under the MIT License.", "never licensed under CC BY-NC 4.0.",
+        "This is not licensed under the Apache License, Version 2.0.", "Released under the MIT No Attribution License.",
+    ],
+)
+def test_words_next_to_a_notice_can_turn_it(text):
+    assert default_scanner().best(text) is None
+    # The same words elsewhere do not.
+    assert default_scanner().best("This is not 0. Released under the MIT License. No warranty.")[0] == "MIT"
+
+
+def test_near_misses_are_cheap():
+    """A header of another license, over and over: each of its stretches is aligned once."""
+    header = licenses.TEMPLATES["GPL-3.0-header"].replace("GNU General", "GNU Lesser General")
+    text = (header + "\n") * (97_000 // len(header))
+    begin = time.process_time()
+    assert default_scanner().best(text) is None
+    assert time.process_time() - begin < 2
+    found = default_scanner().best(text + licenses.TEMPLATES["GPL-3.0-header"] + "\n" + header)
+    assert found[0] == "GPL-3.0-header" and found[4] == 1
