@@ -6,7 +6,7 @@ import base64
 import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -15,8 +15,11 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
+    BooleanType,
     LongType,
     StringType,
     StructField,
@@ -42,6 +45,8 @@ DICTIONARY_BYTES = 16 << 10
 SAMPLE_BYTES = 512 << 10
 LEVEL = 3
 READ_BYTES = 64 << 10
+# A frame that grows beyond this is refused.
+RECORD_BYTES = 1 << 28
 
 RECORDS = StructType(
     [
@@ -194,6 +199,118 @@ def parse(data: bytes) -> Page:
     )
 
 
+# --- records of others
+
+_HEADER = StructType([StructField("name", StringType()), StructField("value", StringType())])
+FOREIGN = StructType(
+    [
+        StructField("archive", StringType()),
+        StructField("position", LongType()),
+        StructField("record_id", StringType()),
+        StructField("record_type", StringType()),
+        StructField("date", StringType()),
+        StructField("target_uri", StringType()),
+        StructField("refers_to", StringType()),
+        StructField("headers", ArrayType(_HEADER)),
+        StructField("status", LongType()),
+        StructField("http_headers", ArrayType(_HEADER)),
+        StructField("payload", BinaryType()),
+        StructField("payload_bytes", LongType()),
+        StructField("digest_fits", BooleanType()),
+    ]
+)
+
+
+def _listed(lines: list[bytes]) -> list[tuple[str, str]]:
+    """Header fields in their order, names in lower case; a line that begins with white space goes on."""
+    found: list[tuple[str, str]] = []
+    for line in lines:
+        text = line.decode("utf-8", "replace")
+        name, colon, value = text.partition(":")
+        if text[:1] in (" ", "\t") and found:
+            found[-1] = (found[-1][0], f"{found[-1][1]} {text.strip()}")
+        elif colon and name.strip():
+            found.append((name.strip().lower(), value.strip()))
+        else:
+            raise BrokenArchive(f"header line {line[:60]!r}")
+    return found
+
+
+def unchunked(body: bytes) -> bytes | None:
+    """The content of a body in HTTP chunks; None if it is not in chunks or they do not end."""
+    parts, at = [], 0
+    while True:
+        line, found, _ = body[at : at + 1024].partition(b"\r\n")
+        size = line.split(b";")[0].strip()
+        if not found or not re.fullmatch(rb"[0-9a-fA-F]{1,12}", size):
+            return None
+        at += len(line) + 2
+        length = int(size, 16)
+        if not length:
+            return b"".join(parts)
+        if body[at + length : at + length + 2] != b"\r\n":
+            return None
+        parts.append(body[at : at + length])
+        at += length + 2
+
+
+def _digest_fits(stated: str | None, candidates: list[bytes]) -> bool | None:
+    """Whether a SHA-1 digest, in base 32 or hexadecimal, is that of one of some contents; None for others."""
+    kind, _, value = (stated or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    sums = [hashlib.sha1(data).digest() for data in candidates]
+    return value.lower() in [x.hex() for x in sums] or value.upper() in [base64.b32encode(x).decode() for x in sums]
+
+
+def parse_any(data: bytes) -> dict:
+    """A record of any type and origin, as a row of FOREIGN without archive and position.
+
+    Version, the required headers and the block length are checked. HTTP messages are split into head
+    and payload; chunks are joined. Fields may repeat, and a payload length need not be stated. What is no HTTP message
+    is all payload. A digest that does not fit is told, not refused: crawlers differ in what they sum up.
+    """
+    (version, *lines), rest = _split(data, "record")
+    if version not in VERSIONS:
+        raise BrokenArchive(f"version {version[:20]!r}")
+    headers = _listed(lines)
+    fields = dict(reversed(headers))
+    for name in REQUIRED:
+        if name not in fields:
+            raise BrokenArchive(f"no header {name}")
+    size = _length(fields, "block")
+    block, end = rest[:size], rest[size:]
+    if len(block) != size or end != b"\r\n\r\n":
+        raise BrokenArchive(f"block of {len(rest) - 4} bytes, {size} stated")
+    kind = fields["warc-type"].lower()
+    status, http, payload, bodies = None, None, block, [block]
+    head, found, body = block.partition(b"\r\n\r\n")
+    first, *more = head.split(b"\r\n")
+    if fields.get("content-type", "").lower().startswith("application/http") and (found or kind == "revisit"):
+        answered = re.match(rb"HTTP/\S+ +(\d{3})", first)
+        status = int(answered[1]) if answered else None
+        http, payload, bodies = _listed(more), body, [body]
+        coding = ",".join(value for name, value in http if name == "transfer-encoding").lower()
+        joined = unchunked(body) if "chunked" in coding else None
+        if joined is not None:
+            payload, bodies = joined, [joined, body]
+    if kind == "revisit":
+        payload = None
+    return {
+        "record_id": fields["warc-record-id"],
+        "record_type": kind,
+        "date": fields["warc-date"],
+        "target_uri": fields.get("warc-target-uri"),
+        "refers_to": fields.get("warc-refers-to"),
+        "headers": [{"name": n, "value": v} for n, v in headers],
+        "status": status,
+        "http_headers": None if http is None else [{"name": n, "value": v} for n, v in http],
+        "payload": payload,
+        "payload_bytes": None if payload is None else len(payload),
+        "digest_fits": None if payload is None else _digest_fits(fields.get("warc-payload-digest"), bodies),
+    }
+
+
 # --- one archive
 
 
@@ -228,12 +345,15 @@ def pack(records: list[bytes]) -> bytes:
 def _frame(view: memoryview, begin: int, coder: zstandard.ZstdDecompressor) -> tuple[bytes, int]:
     """The content of the frame at `begin`, and where the next one begins."""
     reader = coder.decompressobj()
-    parts, at = [], begin
+    parts, at, size = [], begin, 0
     while not reader.eof:
         piece = view[at : at + READ_BYTES]
         if not piece:
             raise BrokenArchive("the last frame is cut off")
         parts.append(reader.decompress(piece))
+        size += len(parts[-1])
+        if size > RECORD_BYTES:
+            raise BrokenArchive(f"a record of more than {RECORD_BYTES} bytes")
         at += len(piece)
     return b"".join(parts), at - len(reader.unused_data)
 
@@ -343,6 +463,21 @@ def read_archives(table: DataFrame) -> DataFrame:
     is wrong. NULL content and empty archives have no records.
     """
 
+    return _records(table, lambda data: parse(data).__dict__, RECORDS)
+
+
+def read_records(table: DataFrame, types: tuple[str, ...] | None = None) -> DataFrame:
+    """All records of archives of any origin, or those of some types, as FOREIGN; else as `read_archives`.
+
+    `types` are lower-case names such as response, request, resource, metadata or warcinfo.
+    """
+    found = _records(table, parse_any, FOREIGN)
+    return found if types is None else found.filter(F.col("record_type").isin(*types))
+
+
+def _records(table: DataFrame, parsed: Callable[[bytes], dict], shape: StructType) -> DataFrame:
+    """A row per frame."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(*batch.columns):
@@ -350,8 +485,7 @@ def read_archives(table: DataFrame) -> DataFrame:
                 name = path.as_py()
                 try:
                     for at, data in unpack(content.as_py() or b""):
-                        page = parse(data)
-                        rows.append({"archive": name, "position": at, **page.__dict__})
+                        rows.append({"archive": name, "position": at, **parsed(data)})
                         size += len(data)
                         if size >= ARCHIVE_BYTES // 4:
                             yield pa.RecordBatch.from_pylist(rows, schema)
@@ -361,9 +495,8 @@ def read_archives(table: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    kinds = {StringType: pa.string(), LongType: pa.int64(), BinaryType: pa.binary()}
-    schema = pa.schema([(f.name, kinds[type(f.dataType)]) for f in RECORDS])
-    return table.select("path", "content").mapInArrow(read, RECORDS)
+    schema = to_arrow_schema(shape)
+    return table.select("path", "content").mapInArrow(read, shape)
 
 
 def round_trip(pages: DataFrame, path: str) -> DataFrame:

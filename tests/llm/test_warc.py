@@ -119,3 +119,62 @@ def test_files(spark, pages, tmp_path):
     (tmp_path / "b.warc.zst").write_bytes(warc.pack(RECORDS)[:-9])
     with pytest.raises(Exception, match="b.warc.zst"):
         warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path))).count()
+
+
+def foreign(kind, block, content_type="application/http; msgtype=response", more=()):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:9d2a>", f"WARC-Date: {DATE}",
+             f"Content-Type: {content_type}", f"Content-Length: {len(block)}", *more]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+CHUNKED = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\nWiki\r\n6;x=1\r\npedia \r\n0\r\n\r\n"
+COOKIES = b"HTTP/1.1 404 Not Found\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one\r\n two\r\n\r\nbody"
+SUM = hashlib.sha1(b"body").hexdigest()
+OTHERS = {
+    "warcinfo": foreign("warcinfo", b"software: crawler/1\r\nformat: WARC 1.0\r\n", "application/warc-fields"),
+    "request": foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "application/http; msgtype=request"),
+    "chunked": foreign("response", CHUNKED, more=["WARC-Payload-Digest: sha1:" + hashlib.sha1(b"Wikipedia ").hexdigest()]),
+    "cookies": foreign("response", COOKIES, more=[f"WARC-Payload-Digest: sha1:{SUM}", "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>"]),
+    "wrong": foreign("response", COOKIES, more=["WARC-Payload-Digest: sha1:" + "A" * 32]),
+    "cut": foreign("response", b"HTTP/1.1 200 OK\r\nServer: x", more=["WARC-Truncated: length"]),
+    "resource": foreign("resource", b"\x00\xff image", "image/png", ["WARC-Payload-Digest: md5:abc"]),
+    "metadata": foreign("metadata", b"fetchTimeMs: 5\r\n", "application/warc-fields"),
+    "revisit": foreign("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", more=["WARC-Refers-To: <urn:uuid:1>"]),
+    "broken chunks": foreign("response", CHUNKED.replace(b"\r\n0\r\n", b"\r\nzz\r\n")),
+}
+
+
+def test_records_of_others(spark, tmp_path):
+    (tmp_path / "a.warc.zst").write_bytes(warc.pack(list(OTHERS.values()) + RECORDS))
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    rows = warc.read_records(files).orderBy("position").collect()
+    assert len(rows) == len(OTHERS) + 200
+    found = dict(zip(OTHERS, rows))
+    assert [r.record_type for r in rows[:3]] == ["warcinfo", "request", "response"]
+    assert {r.record_id for r in rows[: len(OTHERS)]} == {"<urn:uuid:9d2a>"}
+    assert bytes(found["chunked"].payload) == b"Wikipedia " and found["chunked"].digest_fits
+    assert bytes(found["cookies"].payload) == b"body" and found["cookies"].status == 404 and found["cookies"].digest_fits
+    assert [h.value for h in found["cookies"].http_headers] == ["a=1", "b=2", "one two"]
+    assert [h.value for h in found["cookies"].headers if h.name == "warc-concurrent-to"] == ["<a>", "<b>"]
+    assert found["wrong"].digest_fits is False and found["resource"].digest_fits is None
+    assert found["cut"].status is None and bytes(found["cut"].payload) == b"HTTP/1.1 200 OK\r\nServer: x"
+    assert bytes(found["resource"].payload) == b"\x00\xff image" and found["resource"].payload_bytes == 8
+    assert found["revisit"].payload is None and found["revisit"].refers_to == "<urn:uuid:1>" and found["revisit"].status == 304
+    assert b"zz" in bytes(found["broken chunks"].payload)
+    own = rows[-1]
+    assert (own.status, own.digest_fits) == (200, True) and own.target_uri == "http://a/199"
+    assert warc.read_records(files, ("warcinfo", "metadata")).count() == 2
+
+
+@pytest.mark.parametrize("old, new", [(b"WARC/1.0", b"WARC/9"), (b"WARC-Date: ", b"X: "), (b"Content-Length: ", b"Content-Length: 9")])
+def test_broken_records_of_others(old, new):
+    with pytest.raises(warc.BrokenArchive):
+        warc.parse_any(OTHERS["cookies"].replace(old, new, 1))
+
+
+def test_a_frame_that_grows_too_much_is_refused(monkeypatch):
+    monkeypatch.setattr(warc, "RECORD_BYTES", 1 << 16)
+    archive = warc.pack([foreign("resource", bytes(1 << 20), "x/y")])
+    assert len(archive) < 1000
+    with pytest.raises(warc.BrokenArchive, match="more than 65536 bytes"):
+        list(warc.unpack(archive))
