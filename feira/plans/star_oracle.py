@@ -401,6 +401,9 @@ ORACLE = {
         SELECT row_number() OVER (ORDER BY geolocation_zip_code_prefix, geolocation_city,
             geolocation_state, geolocation_lat, geolocation_lng) AS geolocation_id, *
         FROM ({LOCATIONS})""",
+    "c2_ordered_ids": f"""
+        SELECT *, row_number() OVER (ORDER BY geolocation_zip_code_prefix, geolocation_city,
+            geolocation_state, geolocation_lat, geolocation_lng) AS position FROM ({LOCATIONS})""",
     "c3_pk_violations": """
         SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS order_item_id,
             count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
