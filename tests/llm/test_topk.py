@@ -72,3 +72,23 @@ def test_bounds_hold():
     q, v = draw.integers(-900, 900, (20, 16)), draw.integers(-900, 900, (60, 16))
     most = topk.bounds(q, v.max(axis=0)[None], v.min(axis=0)[None])[:, 0]
     assert (most >= (q @ v.T).max(axis=1)).all()
+
+
+@pytest.mark.parametrize("alike, least, most", [(True, 0.02, 0.35), (False, 0.99, 1.0)])
+def test_blocks_are_left_out_where_neighbours_are_alike(spark, monkeypatch, alike, least, most):
+    """The share of (query, block) pairs that are scored: few for clustered ids, all for unordered vectors."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(100, 48))
+    near = [centres[i // 16] + draw.normal(size=48) * 0.05 for i in range(1600)]
+    rows = [(i, near[i if alike else (i * 611) % 1600].tolist()) for i in range(1600)]
+    taken, real = [], topk.wanted
+
+    def counted(*args):
+        wants = real(*args).cache()
+        taken.append(wants.selectExpr("sum(size(rows))").first()[0] or 0)
+        return wants
+
+    monkeypatch.setattr(topk, "wanted", counted)
+    check(spark, rows)
+    assert least <= sum(taken) / (16 * 100) <= most
