@@ -129,6 +129,26 @@ def present_lines(copies: DataFrame, present: DataFrame, spec: TableSpec) -> Dat
     return _lines(old.selectExpr(f"count(*) AS {name}"), {name: (spec.name, "primary_key")})
 
 
+def stored_reference_lines(
+    counts: DataFrame, parents: Mapping[str, DataFrame], specs: Sequence[TableSpec]
+) -> DataFrame:
+    """The report lines of all references from stored `reference_counts` and the keys of the parents alone.
+
+    `counts` may hold several rows for a key, which are added up, as appends and updates leave them.
+    """
+    every = counts.groupBy("reference", "keys").agg(F.sum("child_rows").alias("child_rows")).filter("child_rows > 0")
+    users: dict[str, list[tuple[TableSpec, ForeignKey]]] = {}
+    for spec in specs:
+        for fk in spec.foreign_keys:
+            users.setdefault(fk.parent, []).append((spec, fk))
+    lines = []
+    for parent, group in users.items():
+        key = group[0][1].parent_columns
+        known = key_copies(parents[parent].select(*[F.col(c).cast("string").alias(c) for c in key]), key)
+        lines.append(reference_lines(known, {}, group, dict.fromkeys([spec.name for spec, _ in group], every)))
+    return reduce(DataFrame.unionByName, lines)
+
+
 def constraint_report(
     tables: Mapping[str, DataFrame],
     specs: Sequence[TableSpec],

@@ -10,10 +10,16 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from feira.functions.text import fit_all
-from feira.operators.constraints import constraint_report, primary_key_violations, repeated_keys
+from feira.operators.backfill import reference_counts
+from feira.operators.constraints import (
+    constraint_report,
+    primary_key_violations,
+    repeated_keys,
+    stored_reference_lines,
+)
 from feira.operators.quarantine import REASONS, kept_rows, quarantine, rejected_rows
 from feira.plans.clean import clean_tables, raw_counts
 from feira.plans.marts import DELIVERED, all_marts
@@ -46,6 +52,18 @@ LOADED = TableSpec("load_report", LINES)
 HARMLESS = ("incomplete", "rejected")
 
 
+# Number of child rows per key of every reference, kept beside the clean tables. Loads add rows to it, also
+# negative ones for child rows that are replaced; a key's number is their sum.
+COUNTS = TableSpec(
+    "reference_counts",
+    (
+        Column("reference", StringType(), "VARCHAR(128)"),
+        Column("keys", ArrayType(StringType()), "TEXT"),
+        Column("child_rows", LongType(), "BIGINT"),
+    ),
+)
+
+
 def unreadable_rows(spec: TableSpec) -> TableSpec:
     """The table of an entity's rows that could not be read whole, beside its raw table."""
     return TableSpec(
@@ -180,6 +198,33 @@ def _together(spark: SparkSession, layer: Layer):
     return layer.change(spark) if isinstance(layer, VersionedLayer) else nullcontext(layer)
 
 
+def _new_counts(
+    tables: Mapping[str, DataFrame],
+    counts: Mapping[str, DataFrame],
+    present: Mapping[str, DataFrame],
+    mode: str,
+) -> DataFrame:
+    """What a load adds to the key counts; rows that an upsert replaces are subtracted."""
+    parts = []
+    for spec in CLEAN:
+        if not spec.foreign_keys:
+            continue
+        # Stub rows refer to nothing, so the counts of the raw rows are those of the clean ones.
+        parts.append(counts[spec.name] if spec.name in counts else reference_counts(tables[spec.name], spec))
+        if mode == "upsert" and spec.name in present:
+            key = list(spec.primary_key)
+            gone = present[spec.name].join(tables[spec.name].select(*key).distinct(), key, "left_semi")
+            parts.append(reference_counts(gone, spec).withColumn("child_rows", -F.col("child_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def audit_references(spark: SparkSession, layer: Layer) -> DataFrame:
+    """The report lines of all references of a clean layer, from its key counts: no child table is read."""
+    parents = {fk.parent for spec in CLEAN for fk in spec.foreign_keys}
+    known = {spec.name: layer.read(spark, spec) for spec in CLEAN if spec.name in parents}
+    return stored_reference_lines(layer.read(spark, COUNTS), known, CLEAN)
+
+
 def load_clean(
     spark: SparkSession,
     layers: Layers,
@@ -210,7 +255,7 @@ def load_clean(
             inputs = [layers.raw.path(spec) for spec in RAW] if isinstance(layers.raw, ParquetLayer) else []
             # Without files to know the input by, each run is one of its own.
             run = fingerprint(spark, inputs) if inputs else uuid4().hex
-            kinds = [*CLEAN, *map(rejected, CLEAN)]
+            kinds = [*CLEAN, *map(rejected, CLEAN), COUNTS]
             ledger = AppendLedger.open(spark, layers.clean.root, run, [spec.name for spec in kinds])
         if mode != "overwrite":
             found = {spec.name: _present(spark, layers.clean, spec, ledger) for spec in CLEAN}
@@ -257,11 +302,18 @@ def load_clean(
                 if ledger is not None:
                     ledger.finish(spark, [spec.name for spec in specs])
 
+            added = None
+            if not isinstance(layers.clean, JdbcLayer):
+                # Before the tables change, which the subtraction reads.
+                added = keep(_new_counts(tables, counts, present, mode), "new-counts")
             _write_rejected(spark, target, taken_out, mode, ledger.done if ledger else ())
             finished(map(rejected, CLEAN))
             for group in parents_first():
                 run_all(partial(load, spec) for spec in group)
                 finished(group)
+            if added is not None and (ledger is None or COUNTS.name not in ledger.done):
+                target.write(added, COUNTS, "overwrite" if mode == "overwrite" else "append")
+                finished([COUNTS])
         if ledger is not None:
             ledger.close(spark)
     return layers.marts.read(spark, REPORT)

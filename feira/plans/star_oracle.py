@@ -421,6 +421,7 @@ ORACLE = {
         FROM documents WHERE length(rtrim(text, ' ')) > {MESSAGE_WIDTH}""",
     "c3_constraint_report": REPORT,
     "c3_quarantine": QUARANTINE,
+    "c3_stored_key_counts": f"SELECT * FROM ({REPORT}) WHERE kind = 'foreign_key'",
     "r1_raw_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
             o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp,

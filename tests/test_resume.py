@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from feira.plans import refresh as refresh_module
-from feira.plans.refresh import Layers, load_clean, load_marts, load_raw, refresh, rejected, upsert_rows
+from feira.plans.refresh import COUNTS, Layers, load_clean, load_marts, load_raw, refresh, rejected, upsert_rows
 from feira.sources import versions
 from feira.sources.layers import ParquetLayer
 from feira.sources.ledger import FILE
@@ -36,7 +36,7 @@ def second_feed(seed=4):
 
 
 def tables(spark, layers):
-    return {s.name: values(layers.clean.read(spark, s)) for s in CLEAN}
+    return {s.name: values(layers.clean.read(spark, s)) for s in (*CLEAN, COUNTS)}
 
 
 @pytest.fixture(scope="module")
@@ -101,7 +101,7 @@ def test_an_append_killed_after_any_table_is_finished(spark, tmp_path, undisturb
     monkeypatch.setattr(ParquetLayer, "write", lambda self, df, spec, mode="overwrite": (done.append(spec.name), real(self, df, spec, mode)))
     load_clean(spark, layers, mode="append")
     # No table was written twice.
-    assert sorted(n for n in done if n != "constraint_report") == sorted(s.name for s in CLEAN)
+    assert sorted(n for n in done if n != "constraint_report") == sorted([*[s.name for s in CLEAN], "reference_counts"])
     assert tables(spark, layers) == undisturbed[1]
     assert not (tmp_path / "clean" / FILE).exists()
 

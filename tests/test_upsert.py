@@ -7,7 +7,18 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from feira.plans.refresh import Layers, RepeatedKeys, load_clean, load_marts, load_raw, refresh, upsert_rows
+from feira.operators.backfill import reference_counts, reference_name
+from feira.plans.refresh import (
+    COUNTS,
+    Layers,
+    RepeatedKeys,
+    audit_references,
+    load_clean,
+    load_marts,
+    load_raw,
+    refresh,
+    upsert_rows,
+)
 from feira.sources import layers as layers_module
 from feira.sources.layers import ParquetLayer
 from feira.specs import CLEAN, ORDERS, SELLERS
@@ -134,6 +145,18 @@ def test_orders_that_are_delivered_later(spark, tmp_path):
     load_raw(spark, str(tmp_path), layers.raw)
     report = load_clean(spark, layers, mode="upsert")
     assert {r.violations for r in report.collect()} == {0}
+    # The key counts, with what was replaced taken back, are those of the tables as they are.
+    counted = layers.clean.read(spark, COUNTS).groupBy("reference", "keys").agg(F.sum("child_rows").alias("n"))
+    for spec in CLEAN:
+        names = [reference_name(spec, fk) for fk in spec.foreign_keys]
+        if names:
+            real = reference_counts(layers.clean.read(spark, spec), spec)
+            assert values(counted.filter(F.col("reference").isin(names) & (F.col("n") != 0))) == values(real), spec.name
+    audit = audit_references(spark, layers.clean)
+    assert {r.violations for r in audit.collect()} == {0}
+    read = {Path(file).parent.name for file in audit.inputFiles()}
+    assert {"orders", "reference_counts"} < read
+    assert not read & {"order_items", "order_payments", "order_reviews", "geolocation"}
     load_marts(spark, layers)
     found = marts(spark, layers)
     for name, expected in expected_marts(whole).items():
