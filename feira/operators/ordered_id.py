@@ -54,9 +54,10 @@ def _in_order(present: DataFrame, new: DataFrame, order_by: Sequence[str], id_na
             F.min("low").over(later).alias("following"),
         )
     )
-    rows = Window.partitionBy("task").orderBy("place")
-    here = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = Window.partitionBy("task")
+    here = rows.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Backwards, as Spark adds up what follows a row anew for each row.
+    ahead = rows.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return placed.join(F.broadcast(ranges), "task").select(
         *columns,
         "old",

@@ -268,9 +268,9 @@ def c2_ordered_ids(star: Star) -> DataFrame:
     order = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state", "geolocation_lat", "geolocation_lng"]
     places = keep(star.locations().distinct().withColumn("part", F.pmod(F.xxhash64(*order[:2], order[3]), F.lit(9))), "places")
     parts = [places.filter(test).drop("part") for test in ("part < 6", "part = 6", "part > 6")]
-    table = first_ids(parts[0], order, "geolocation_id", gap=2)
+    table = first_ids(parts[0], order, "geolocation_id", gap=4)
     for new in parts[1:]:
-        table = keep(add_ordered(table, new, order, "geolocation_id", gap=2).drop("moved"), "places-with-ids")
+        table = keep(add_ordered(table, new, order, "geolocation_id", gap=4).drop("moved"), "places-with-ids")
     return with_dense_id(table, ["geolocation_id"], "position").drop("geolocation_id")
 
 
