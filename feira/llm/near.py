@@ -17,10 +17,11 @@ that may be similar by that are verified. So no link is lost to the choice of th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -32,9 +33,9 @@ SIMILARITY = 0.8
 BANDS, BAND_SLOTS = 32, 5
 SLOTS = BANDS * BAND_SLOTS
 # Codes are this many bits long. Two texts of similarity s agree in a bit with probability (1 + s) / 2.
-CODE_BITS = 4096
+CODE_BITS = 2048
 # Pairs of one bucket, from different classes, are not verified if their bits agree less often than those of
-# texts that are just similar enough, by so many standard deviations: that happens with probability 3e-6.
+# texts that are just similar enough, by so many standard deviations: that happens with probability 6e-6.
 DEVIATIONS = 4.5
 # Texts whose codes are worked out at a time.
 TOGETHER = 256
@@ -336,9 +337,9 @@ def near_classes(
             return labels, tried
         return joined(labels, stored(verified(new, docs, key, text, similarity), "more-links")), tried.union(new)
 
-    differing = F.aggregate(
-        F.zip_with("code_x", "code_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
+    # Written out, so that Spark compiles it: it is worked out for every pair that meets.
+    parts = [F.bit_count(F.col("code_x")[i].bitwiseXOR(F.col("code_y")[i])) for i in range(CODE_BITS // 64)]
+    differing = reduce(Column.__add__, parts)
     agreeing = differing <= CODE_BITS - agreeing_bits(similarity)
     kept = ("node", "label", "code")
     apart = in_mixed_buckets()
@@ -364,7 +365,7 @@ def near_classes(
         alike = left.join(
             right,
             [left[c] == right[c] for c in bucket]
-            + [F.col("label_x") < F.col("label_y"), first_band == left["band"], agreeing],
+            + [F.col("label_x") < F.col("label_y"), agreeing, first_band == left["band"]],
         )
         labels, pairs = join_classes(alike, pairs)
     classes = stored(labelled(nodes.select("node", "d1", "d2", "n_copies"), labels), "classes")
