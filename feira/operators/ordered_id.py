@@ -8,12 +8,11 @@ other rows keep their ids.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.operators.dense_id import TASK_SHIFT, with_dense_id
+from feira.operators.dense_id import with_dense_id
 from feira.sources.scratch import keep
 
 # Ids lie so far apart at first, and the smallest block holds so many of them.
@@ -27,43 +26,62 @@ def first_ids(df: DataFrame, order_by: Sequence[str], id_name: str, gap: int = G
 
 
 def _in_order(present: DataFrame, new: DataFrame, order_by: Sequence[str], id_name: str) -> DataFrame:
-    """All rows with `at`, their place, `old`, and the ids `prev` and `next` of the nearest present rows.
+    """All rows with `old`, their id so far; new rows also with `low`, `next`, the ids of the nearest present rows (0 and NULL
+    where there is none), `i`, their place in that gap, and `m`, the number of new rows in it; and `at`, the place of every row.
 
-    Rows are sorted in ranges. A range hands its number of rows and its first and last id to the others: one row per range.
+    Rows are sorted in ranges, and written once, with what a range knows of their neighbours. A range hands its number of rows
+    and its first and last present row to the others: one row per range.
     """
     columns = [c for c in present.columns if c != id_name]
     both = present.select(*columns, F.col(id_name).alias("old")).unionByName(
         new.select(*columns, F.lit(None).cast("long").alias("old"))
     )
+    # One write fixes the ranges: their borders come from a sample and may differ if the plan runs again.
+    ranged = both.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("task", F.spark_partition_id())
+    rows = Window.partitionBy("task")
+    up = rows.orderBy(*order_by)
+    here = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Backwards, as Spark adds up what follows a row anew for each row.
+    ahead = rows.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen, is_new = F.when(F.col("old").isNotNull(), F.col("place")), F.col("old").isNull()
     placed = keep(
-        both.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("place", F.monotonically_increasing_id()),
+        ranged.withColumn("place", F.row_number().over(up).cast("long"))
+        .withColumns({"prev": F.max("old").over(here), "prev_place": F.max(seen).over(here)})
+        .withColumns({"next": F.min("old").over(ahead), "next_place": F.min(seen).over(ahead)})
+        # Present rows need no neighbours, and NULLs take no room.
+        .withColumns({c: F.when(is_new, F.col(c)) for c in ("prev", "prev_place", "next", "next_place")}),
         "ordered-rows",
-    ).withColumn("task", F.shiftright("place", TASK_SHIFT))
+    )
     tasks = Window.orderBy("task")
     earlier = tasks.rowsBetween(Window.unboundedPreceding, -1)
     later = tasks.rowsBetween(1, Window.unboundedFollowing)
-    ranges = (
-        placed.groupBy("task")
-        .agg(F.count("*").alias("n"), F.min("old").alias("low"), F.max("old").alias("high"))
-        .select(
-            "task",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-            F.max("high").over(earlier).alias("last"),
-            F.min("low").over(later).alias("following"),
-        )
+    sums = placed.groupBy("task").agg(
+        F.count("*").alias("n"),
+        F.min("old").alias("low_id"),
+        F.max("old").alias("high_id"),
+        F.min(seen).alias("low_place"),
+        F.max(seen).alias("high_place"),
     )
-    rows = Window.partitionBy("task")
-    here = rows.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Backwards, as Spark adds up what follows a row anew for each row.
-    ahead = rows.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.col("before")
+    ranges = sums.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(
+        "task",
+        "before",
+        F.max("high_id").over(earlier).alias("last"),
+        F.max(before + F.col("high_place")).over(earlier).alias("last_at"),
+        F.min("low_id").over(later).alias("following"),
+        F.min(before + F.col("low_place")).over(later).alias("following_at"),
+    )
+    low_at = F.coalesce(before + F.col("prev_place"), "last_at", F.lit(0))
+    next_at = F.coalesce(before + F.col("next_place"), "following_at")
+    at = before + F.col("place")
     return placed.join(F.broadcast(ranges), "task").select(
         *columns,
         "old",
-        (F.col("before") + F.col("place").bitwiseAND(F.lit((1 << TASK_SHIFT) - 1))).alias("at"),
-        F.coalesce(F.max("old").over(here), "last").alias("prev"),
-        F.coalesce(F.min("old").over(ahead), "following").alias("next"),
+        at.alias("at"),
+        F.when(is_new, F.coalesce("prev", "last", F.lit(0))).alias("low"),
+        F.when(is_new, F.coalesce("next", "following")).alias("next"),
+        F.when(is_new, at - low_at).alias("i"),
+        F.when(is_new, next_at - low_at - 1).alias("m"),
     )
 
 
@@ -71,22 +89,68 @@ def _block(of: Column, size: int) -> Column:
     return F.floor(of / F.lit(size)).cast("long")
 
 
-def _settled(rows: DataFrame, full: DataFrame, size: int) -> list[tuple[int, DataFrame]]:
-    """(size, blocks) from small to large: the blocks around full gaps that are at most half full.
+def _block_sums(rows: DataFrame, size: int) -> DataFrame:
+    """Per smallest block: the number of its `own` rows, and of the new rows `into` it, which lie in front of its first
+    present row and behind the last one of block `from_block`, with the first place of each."""
+    own, into = _block(F.coalesce("old", "low"), size), _block(F.col("next"), size)
+    none = F.lit(None).cast("long")
+
+    def entry(block: Column, own_at: Column, into_at: Column, origin: Column) -> Column:
+        return F.struct(block.alias("block"), own_at.alias("own_at"), into_at.alias("into_at"), origin.alias("origin"))
+
+    at = F.col("at")
+    crossing = F.when(F.col("old").isNull() & (into != own), entry(into, none, at, own))
+    return (
+        rows.select(F.inline(F.array_compact(F.array(entry(own, at, none, none), crossing))))
+        .groupBy("block")
+        .agg(
+            F.count("own_at").alias("own"),
+            F.count("into_at").alias("into"),
+            F.min("own_at").alias("own_at"),
+            F.min("into_at").alias("into_at"),
+            F.max("origin").alias("from_block"),
+        )
+    )
+
+
+def _settled(sums: DataFrame, full: DataFrame, size: int) -> list[tuple[int, DataFrame]]:
+    """(ratio, blocks) from small to large: the blocks around full gaps that are at most half full, with the number `c` of
+    their rows and the `first` place. `ratio` smallest blocks make one.
 
     Rows that lie in front of a block are counted in, as they may have to move into it.
     """
-    found, blocks = [], full.select(_block(F.col("low"), size).alias("block")).distinct()
+    found, ratio, blocks = [], 1, full
     while True:
-        own = rows.select(_block(F.coalesce("old", "low"), size).alias("block"))
-        into = rows.filter(F.col("old").isNull() & (_block(F.col("next"), size) != _block(F.col("low"), size)))
-        counts = own.union(into.select(_block(F.col("next"), size))).groupBy("block").agg(F.count("*").alias("n"))
+        block = _block(F.col("block"), ratio)
+        crosses = _block(F.col("from_block"), ratio) != block
+        counts = sums.groupBy(block.alias("block")).agg(
+            F.sum(F.col("own") + F.when(crosses, F.col("into")).otherwise(0)).alias("c"),
+            F.min(F.least("own_at", F.when(crosses, F.col("into_at")))).alias("first"),
+        )
         measured = keep(blocks.join(counts, "block"), "id-blocks")
-        found.append((size, measured.filter(F.col("n") * 2 <= size).select("block")))
-        blocks = measured.filter(F.col("n") * 2 > size).select(_block(F.col("block"), 2).alias("block")).distinct()
+        found.append((ratio, measured.filter(F.col("c") * 2 <= size * ratio)))
+        blocks = measured.filter(F.col("c") * 2 > size * ratio).select(_block(F.col("block"), 2).alias("block")).distinct()
         if blocks.isEmpty():
             return found
-        size *= 2
+        ratio *= 2
+
+
+def _targets(rows: DataFrame, full: DataFrame, size: int) -> DataFrame:
+    """(block, own_to, next_to) per smallest block with rows to move: the block that its rows are spread over, the
+    largest one around it; and the one that rows behind its last present row may go to, which is around the next row.
+    """
+    sums = keep(_block_sums(rows, size), "id-block-sums")
+    marked, marks = sums, []
+    for ratio, blocks in _settled(sums, full, size):
+        to = F.struct(
+            F.lit(size * ratio).cast("long").alias("size"), F.col("block").alias("block"), F.col("c").alias("c"), F.col("first").alias("first")
+        )
+        known = blocks.select(F.col("block").alias("around"), to.alias(f"to{ratio}"))
+        marked = marked.join(known, _block(F.col("block"), ratio) == F.col("around"), "left").drop("around")
+        marks.insert(0, f"to{ratio}")
+    moving = keep(marked.select("block", "from_block", F.coalesce(*marks).alias("to")).filter("to IS NOT NULL"), "moving-blocks")
+    after = moving.filter("from_block IS NOT NULL").select(F.col("from_block").alias("block"), F.col("to").alias("next_to"))
+    return moving.select("block", F.col("to").alias("own_to")).join(after, "block", "full")
 
 
 def add_ordered(
@@ -96,41 +160,29 @@ def add_ordered(
 
     `present` has positive ids in that order. `order_by` tells all rows of both apart. Rows behind the last one are `gap`
     apart; where many go into one gap they share it evenly.
+
+    Gaps and blocks are settled on sums per block; whole rows are sorted once and joined once, with the blocks to move.
     """
     columns = [c for c in present.columns if c != id_name]
-    rows = _in_order(present, new, order_by, id_name).withColumn("low", F.coalesce("prev", F.lit(0)))
-    rows = keep(rows, "ordered-neighbours")
-    added = rows.filter("old IS NULL")
-    gaps = added.groupBy("low", "next").agg(F.count("*").alias("m"), F.min("at").alias("begin"))
-    gaps = keep(gaps, "id-gaps")
-    full = gaps.filter("next - low <= m")
-
-    # NULL where there is nothing to move: block and size of the largest block that a row has to move in.
-    within: list[Column] = []
-    joined = rows.join(gaps.withColumnRenamed("next", "gap_next"), rows["low"].eqNullSafe(gaps["low"]) & rows["next"].eqNullSafe(F.col("gap_next")) & rows["old"].isNull(), "left").drop(gaps["low"], "gap_next")
-    if not full.isEmpty():
-        for i, (size, blocks) in enumerate(_settled(rows, full, gap * BLOCK)):
-            for name, of in (("a", F.coalesce("old", "low")), ("b", F.when(F.col("old").isNull(), F.col("next")))):
-                mark = f"{name}{i}"
-                known = blocks.select(F.col("block").alias(mark))
-                joined = joined.join(known, _block(of, size) == F.col(mark), "left")
-                within.append(
-                    F.when(F.col(mark).isNotNull(), F.struct(F.lit(size).cast("long").alias("size"), F.col(mark).alias("block")))
-                )
-    # Larger blocks first; of equal ones the block a row is in before the one it is in front of.
-    order = [w for i in range(len(within) - 2, -1, -2) for w in (within[i], within[i + 1])]
-    moving = F.coalesce(*order) if order else F.lit(None).cast("struct<size: bigint, block: bigint>")
-    i, m = F.col("at") - F.col("begin") + 1, F.col("m") + 1
-    fresh = F.when(F.col("next").isNull(), F.col("low") + i * gap).otherwise(
-        F.col("low") + F.floor(i * (F.col("next") - F.col("low")) / m).cast("long")
+    size = gap * BLOCK
+    rows = _in_order(present, new, order_by, id_name)
+    fresh = F.when(F.col("next").isNull(), F.col("low") + F.col("i") * gap).otherwise(
+        F.col("low") + F.floor(F.col("i") * (F.col("next") - F.col("low")) / (F.col("m") + 1)).cast("long")
     )
-    valued = joined.select(
-        *columns, "old", "at", moving.alias("to"), F.coalesce("old", fresh).alias("id")
-    )
-    if within:
-        spread = valued.filter("to IS NOT NULL").groupBy("to").agg(F.count("*").alias("c"), F.min("at").alias("first"))
-        valued = valued.join(keep(spread, "spread-blocks"), "to", "left")
-        step = F.floor((F.col("at") - F.col("first") + 1) * F.col("to.size") / (F.col("c") + 1)).cast("long")
-        valued = valued.withColumn("id", F.when(F.col("to").isNotNull(), F.col("to.size") * F.col("to.block") + step).otherwise(F.col("id")))
-    moved = F.coalesce(F.col("old") != F.col("id"), F.lit(False)).alias("moved")
-    return valued.select(F.col("id").alias(id_name), *columns, moved)
+    # One row of each gap without room.
+    full = keep(rows.filter("i = 1 AND next - low <= m").select(_block(F.col("low"), size).alias("block")).distinct(), "full-gaps")
+    own, into = _block(F.coalesce("old", "low"), size), _block(F.col("next"), size)
+    crossing = F.col("old").isNull() & (into != own)
+    # Few columns, as a join may follow.
+    numbered = rows.select(*columns, "old", fresh.alias("fresh"), "at", own.alias("block"), crossing.alias("crossing"))
+    id_ = F.coalesce("old", "fresh")
+    if not full.isEmpty():
+        numbered = numbered.join(_targets(rows, full, size), "block", "left")
+        behind = F.when(F.col("crossing"), F.col("next_to"))
+        # The larger block; of equal ones the block a row is in before the one it is in front of.
+        to = F.when(behind["size"] > F.col("own_to.size"), behind).otherwise(F.coalesce("own_to", behind))
+        numbered = numbered.withColumn("to", to)
+        step = F.floor((F.col("at") - F.col("to.first") + 1) * F.col("to.size") / (F.col("to.c") + 1)).cast("long")
+        id_ = F.when(F.col("to").isNotNull(), F.col("to.size") * F.col("to.block") + step).otherwise(id_)
+    moved = F.coalesce(F.col("old") != id_, F.lit(False)).alias("moved")
+    return numbered.select(id_.alias(id_name), *columns, moved)

@@ -67,3 +67,16 @@ def test_null_parts_of_the_key_come_first(spark):
     table = add_ordered(present, spark.createDataFrame([(None, 2), ("a", None), (None, None)], SCHEMA), ["a", "b"], "id")
     rows = [(r.a, r.b) for r in table.orderBy("id").collect()]
     assert rows == [(None, None), (None, 1), (None, 2), ("a", None), ("a", 1)]
+
+
+def test_rows_are_joined_as_often_whatever_blocks_they_move_in(spark):
+    """Once with the ranges and once with the blocks to move, which are put together in a third join."""
+    present = first_ids(spark.createDataFrame([("m", n) for n in range(200)], SCHEMA), ["a", "b"], "id", 1)
+    for new in (40, 400, 4000):
+        rows = spark.createDataFrame([("l", n) for n in range(new)] + [("m", -1 - n) for n in range(9)], SCHEMA)
+        table = add_ordered(present, rows, ["a", "b"], "id", 1)
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 3, plan
+        # Behind a first gap without room: all rows in order, with positive ids.
+        found = [(r.a, r.b) for r in table.filter("id > 0").orderBy("id").collect()]
+        assert found == sorted(found) and len(set(found)) == 209 + new
