@@ -23,7 +23,7 @@ from feira.operators.recent import PURCHASED
 from feira.plans import marts
 from feira.sources.files import delete, exists, read_text, write_text
 from feira.sources.parallel import run_all
-from feira.sources.scratch import keep, scratch_of_run
+from feira.sources.scratch import keep, keep_all, scratch_of_run
 from feira.specs import MONEY_MEAN, MONEY_SUM, PAIRED_COUNT
 
 # What is held of each clean table, and the key of its rows.
@@ -84,12 +84,12 @@ class DailySums:
 
     # --- sums
 
-    def _sums(self, held: Mapping[str, DataFrame], customers: DataFrame) -> dict[str, DataFrame]:
-        """The three tables of sums over the days of `held`."""
+    def _sums(self, held: Mapping[str, DataFrame], customers: DataFrame, keep=lambda df, _: df) -> dict[str, DataFrame]:
+        """The three tables of sums over the days of `held`; `keep` may store the sales per order, which two of them add up."""
         sold = held["orders"].filter(F.col("order_status") == self.delivered).select(DAY, "order_id", "customer_id")
         # Both sides hold a day, which keeps the join to the folders that are read.
         paid = held["order_items"].groupBy(DAY, "order_id").agg(F.sum("price").cast(MONEY_SUM).alias("sales"))
-        sales = sold.join(paid, [DAY, "order_id"])
+        sales = keep(sold.join(paid, [DAY, "order_id"]).select(DAY, "customer_id", "sales"), "daily-sales")
         per_day = sales.groupBy(DAY).agg(F.sum("sales").cast(MONEY_SUM).alias("sales"), F.count("*").alias("sold_orders"))
         cards = held["orders"].groupBy(DAY).agg(F.max(PURCHASED).alias("newest"), *marts.card_sums(self.delivered))
         per_customer = sales.groupBy(DAY, "customer_id").agg(F.sum("sales").alias("sales"))
@@ -130,13 +130,15 @@ class DailySums:
     def rebuild(self, spark: SparkSession, clean: Mapping[str, DataFrame]) -> None:
         """All days from the clean tables."""
         with scratch_of_run(spark):
-            days = clean["orders"].select("order_id", self.day_of(F.col(PURCHASED)).alias(DAY))
-            held = {"orders": clean["orders"].select(*HELD["orders"], self.day_of(F.col(PURCHASED)).alias(DAY))}
+            # Stored, as the days of items and reviews are looked up in them.
+            orders = clean["orders"].select(*HELD["orders"], self.day_of(F.col(PURCHASED)).alias(DAY))
+            held = {"orders": keep(orders, "daily-orders")}
+            days = held["orders"].select("order_id", DAY)
             for name in ("order_items", "order_reviews"):
                 held[name] = clean[name].select(*HELD[name]).join(days, "order_id")
             self._begin(spark)
             run_all(partial(self._write, df, name, None) for name, df in held.items())
-            sums = self._sums({name: self.read(spark, name) for name in HELD}, clean["customers"])
+            sums = self._sums({name: self.read(spark, name) for name in HELD}, clean["customers"], keep)
             run_all(partial(self._write, df, name, None) for name, df in sums.items())
             self._end(spark)
 
@@ -146,9 +148,10 @@ class DailySums:
         Of the days held, only the keys of orders and customers are read for it.
         """
         known = self.read(spark, "orders").select(DAY, "order_id", "customer_id")
-        keys = [(batch[name], "order_id") for name in HELD if name in batch]
-        keys += [(batch["customers"], "customer_id")] if "customers" in batch else []
-        found = [known.join(df.select(key).distinct(), key, "left_semi").select(DAY) for df, key in keys]
+        keys = {"order_id": [batch[name] for name in HELD if name in batch]}
+        keys["customer_id"] = [batch["customers"]] if "customers" in batch else []
+        used = {key: [df.select(key).distinct() for df in frames] for key, frames in keys.items() if frames}
+        found = [known.join(reduce(DataFrame.union, dfs), key, "left_semi").select(DAY) for key, dfs in used.items()]
         if "orders" in batch:
             found.append(batch["orders"].select(self.day_of(F.col(PURCHASED)).alias(DAY)))
         if not found:
@@ -167,22 +170,41 @@ class DailySums:
         if exists(spark, self.path(_PENDING)):
             raise UnfinishedUpdate(read_text(spark, self.path(_PENDING)))
         with scratch_of_run(spark):
-            days = self.touched_days(spark, batch)
+            # Stored, as the days, the rows replaced and the new rows all come from them.
+            kinds = {name: self.read(spark, name).schema for name in HELD}
+            typed = {
+                name: batch[name].select(*[F.col(c).cast(kinds[name][c].dataType).alias(c) for c in HELD[name]])
+                for name in HELD
+                if name in batch
+            }
+            new = keep_all(typed)
+            days = self.touched_days(spark, {**batch, **new})
             if not days:
                 return days
             held = {}
-            for name, columns in HELD.items():
-                old = self.read(spark, name, days)
-                if name in batch:
-                    new = batch[name].select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns])
-                    old = old.join(new.select(*KEYS[name]).distinct(), KEYS[name], "left_anti").drop(DAY).unionByName(new)
-                held[name] = old.select(*columns)
-            orders = keep(held["orders"].withColumn(DAY, self.day_of(F.col(PURCHASED))), "daily-orders")
+            for name in HELD:
+                held[name] = self.read(spark, name, days)
+                if name in new:
+                    held[name] = held[name].join(new[name].select(*KEYS[name]).distinct(), KEYS[name], "left_anti")
+            rows, orders = {}, held["orders"]
+            if "orders" in new:
+                orders = orders.drop(DAY).unionByName(new["orders"]).withColumn(DAY, self.day_of(F.col(PURCHASED)))
+                orders = rows["orders"] = keep(orders, "daily-orders")
             place = orders.select("order_id", DAY)
-            rows = {"orders": orders}
+            # Rows move with their order, to each day of an order that is there several times; else they stay where they are.
+            moving = "orders" in new or not place.groupBy("order_id").count().filter("count > 1").isEmpty()
             for name in ("order_items", "order_reviews"):
-                rows[name] = keep(held[name].join(place, "order_id"), f"daily-{name}")
-            sums = {name: keep(df, name) for name, df in self._sums(rows, customers).items()}
+                columns = (*HELD[name], DAY)
+                if moving:
+                    old = held[name].drop(DAY)
+                    every = (old.unionByName(new[name]) if name in new else old).join(place, "order_id")
+                elif name in new:
+                    every = held[name].select(*columns).unionByName(new[name].join(place, "order_id").select(*columns))
+                else:
+                    continue
+                rows[name] = keep(every.select(*columns), f"daily-{name}")
+            # Tables without a change are read where they are.
+            sums = {name: keep(df, name) for name, df in self._sums({**held, **rows}, customers, keep).items()}
             self._begin(spark)
             run_all(partial(self._write, df, name, days) for name, df in {**rows, **sums}.items())
             self._end(spark)

@@ -172,3 +172,33 @@ def test_no_orders(spark, tmp_path):
     got = found(daily, spark, clean)
     expected = all_marts(clean, keep=lambda df, label: df)
     assert got == {m.name: sorted((tuple(r) for r in expected[m.name].collect()), key=lambda r: repr(r[:2])) for m in MARTS}
+
+
+def test_tables_without_a_change_stay_as_they_are(spark, tmp_path):
+    feed = make_feed(31)
+    known = {o["order_id"] for o in feed["orders"]}
+    feed["order_items"] = [i for i in feed["order_items"] if i["order_id"] in known]
+    reviews = [r for r in feed["order_reviews"] if r["order_id"] in known]
+    daily = DailySums(str(tmp_path), unit="month")
+    daily.rebuild(spark, frames(spark, feed | {"order_reviews": reviews[::2]}))
+    before = {name: {str(p) for p in Path(daily.path(name)).rglob("*.parquet")} for name in HELD}
+    clean = frames(spark, feed)
+    daily.update(spark, {"order_reviews": frame(spark, "order_reviews", reviews[1::2])}, clean["customers"])
+    after = {name: {str(p) for p in Path(daily.path(name)).rglob("*.parquet")} for name in HELD}
+    assert [name for name in HELD if before[name] != after[name]] == ["order_reviews"]
+    check(daily, spark, feed | {"order_reviews": reviews})
+
+
+def test_late_items_of_an_order_that_is_there_twice(spark, tmp_path):
+    """Rows go to each day of their order, also those that were there."""
+    feed = make_feed(31)
+    order = next(o for o in feed["orders"] if o["order_purchase_timestamp"])
+    again = dict(order, order_purchase_timestamp=order["order_purchase_timestamp"] + datetime.timedelta(days=70))
+    item = next(i for i in feed["order_items"])
+    rows = [dict(item, order_id=order["order_id"], order_item_id=100 + n) for n in range(3)]
+    daily = DailySums(str(tmp_path), unit="month")
+    daily.rebuild(spark, frames(spark, feed | {"orders": [order, again], "order_items": rows[:1], "order_reviews": []}))
+    daily.update(spark, {"order_items": frame(spark, "order_items", rows[1:])}, frames(spark, feed)["customers"])
+    held = daily.read(spark, "order_items").groupBy("day", "order_item_id").count().collect()
+    assert len({r.day for r in held}) == 2
+    assert sorted((r.order_item_id, r["count"]) for r in held) == [(100, 2), (100, 2), (101, 1), (101, 1), (102, 1), (102, 1)]
