@@ -4,7 +4,8 @@ from functools import reduce
 
 import pytest
 
-from feira.operators.backfill import backfill, missing_keys, zip_dimension
+from feira.operators.backfill import backfill, missing_keys, reference_counts, zip_dimension
+from feira.specs import ORDER_ITEMS
 
 from conftest import values
 
@@ -69,3 +70,12 @@ def test_incomplete_place_of_a_child_is_left_out(rows, missing):
     assert values(zip_dimension(places, customers, sellers)) == [
         ("2", "y", "RJ"), ("3", "z", "SP"), ("4", "w", "BA"), (None, "y", "RJ"),
     ]
+
+
+def test_key_counts_run_through_compiled_code_only(spark):
+    rows = [("o1", 1, "p1", None), ("o1", 2, None, "s1"), (None, 3, "p1", "s1")]
+    items = spark.createDataFrame(rows, "order_id string, order_item_id smallint, product_id string, seller_id string")
+    counts = reference_counts(items, ORDER_ITEMS)
+    assert "lambda" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted((r.reference.split("_")[2], r["keys"], r.child_rows) for r in counts.collect())
+    assert found == [("orders", ["o1"], 2), ("products", ["p1"], 2), ("sellers", ["s1"], 2)]
