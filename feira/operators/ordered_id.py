@@ -101,7 +101,8 @@ def _block_sums(rows: DataFrame, size: int) -> DataFrame:
     at = F.col("at")
     crossing = F.when(F.col("old").isNull() & (into != own), entry(into, none, at, own))
     return (
-        rows.select(F.inline(F.array_compact(F.array(entry(own, at, none, none), crossing))))
+        rows.select(F.inline(F.array(entry(own, at, none, none), crossing)))
+        .filter("block IS NOT NULL")
         .groupBy("block")
         .agg(
             F.count("own_at").alias("own"),
