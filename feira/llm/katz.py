@@ -119,10 +119,54 @@ def text_blocks(docs: DataFrame, key: str, text: str, held_out: Column) -> DataF
     return picked.mapInArrow(run, shape)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values, where each stands first, and the place of every value among them.
+
+    As `np.unique`, in half the memory.
+    """
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    new = np.r_[np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1]]
+    found, at = ranked[new], order[new]
+    del ranked
+    ranks = np.cumsum(new, dtype=np.int32)
+    ranks -= 1
+    place = np.empty(len(values), np.int32)
+    place[order] = ranks
+    return found, at, place
+
+
 class Block:
-    """The tokens of a block's texts, their different words and pairs, and where each is."""
+    """The different words and pairs of a block's texts, and where each is.
+
+    Arrays as long as the tokens are the most of a worker's memory, so they have 32 bits where they stay, and are dropped
+    where they do not.
+    """
 
     def __init__(self, held: list[bool], sizes: list[int], data: bytes):
+        tokens, self.counts = self._tokens(sizes, data)
+        self.owners = np.repeat(np.arange(len(sizes), dtype=np.int32), self.counts + 1)
+        self.train = ~np.array(held, bool)[self.owners]
+        first = np.r_[np.ones(min(1, len(self.owners)), bool), self.owners[1:] != self.owners[:-1]]
+        self.words, _, self.word_of = _distinct(tokens)
+        keys = np.r_[np.zeros(min(1, len(tokens)), np.uint64), tokens[:-1]]
+        keys[first] = np.uint64(BEGIN)
+        keys *= np.uint64(PAIR)
+        keys += tokens
+        del tokens
+        keys = mix(keys)
+        self.pairs, at, self.pair_of = _distinct(keys)
+        del keys
+        # The different words and the beginning, as histories.
+        self.histories = np.unique(np.r_[self.words, np.uint64(BEGIN)])
+        places = np.searchsorted(self.histories, self.words).astype(np.int32)
+        self.pair_word = self.word_of[at]
+        self.pair_history = places[self.word_of[at - 1]]
+        self.pair_history[first[at]] = np.searchsorted(self.histories, np.uint64(BEGIN))
+
+    @classmethod
+    def _tokens(cls, sizes: list[int], data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all tokens, and the number of words of each text."""
         whole = zstandard.ZstdDecompressor().decompress(data)
         hashes, counts = [], []
         at, words, size = 0, [], 0
@@ -132,25 +176,13 @@ class Block:
             words += own
             counts.append(len(own))
             if size >= CHUNK:
-                hashes.append(self._hash(words))
+                hashes.append(cls._hash(words))
                 words, size = [], 0
-        hashes.append(self._hash(words))
-        self.counts = np.array(counts, np.int64)
-        spoken = np.concatenate(hashes)
-        self.tokens = np.insert(spoken, np.cumsum(self.counts), np.uint64(END))
-        self.owners = np.repeat(np.arange(len(counts)), self.counts + 1)
-        self.train = ~np.array(held, bool)[self.owners]
-        before = np.r_[np.zeros(min(1, len(self.tokens)), np.uint64), self.tokens[:-1]]
-        self.first = np.r_[np.ones(min(1, len(self.owners)), bool), self.owners[1:] != self.owners[:-1]]
-        before[self.first] = np.uint64(BEGIN)
-        self.words, self.word_of = np.unique(self.tokens, return_inverse=True)
-        self.pairs, at_pair, self.pair_of = np.unique(
-            mix(before * np.uint64(PAIR) + self.tokens), return_index=True, return_inverse=True
-        )
-        # The different words and the beginning, as histories.
-        self.histories = np.unique(np.r_[self.words, np.uint64(BEGIN)])
-        self.history_of = np.searchsorted(self.histories, before)
-        self.pair_history, self.pair_word = self.history_of[at_pair], self.word_of[at_pair]
+        hashes.append(cls._hash(words))
+        del whole, words
+        spoken, numbers = np.concatenate(hashes), np.array(counts, np.int64)
+        del hashes
+        return np.insert(spoken, np.cumsum(numbers), np.uint64(END)), numbers
 
     @staticmethod
     def _hash(words: list[bytes]) -> np.ndarray:
@@ -161,6 +193,21 @@ class Block:
     def trained(self, places: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(places[self.train], minlength=size)
 
+    def history_counts(self, words: np.ndarray) -> np.ndarray:
+        """The count of each history, from those of the words."""
+        # The beginning was seen once per training text, as the end was.
+        known = np.searchsorted(self.words, self.histories)
+        end = np.searchsorted(self.words, np.uint64(END))
+        begin = self.histories == np.uint64(BEGIN)
+        return words[np.where(begin, end, np.minimum(known, len(words) - 1))]
+
+
+def _singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row as a batch, so that only one is copied into Python objects at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1)
+
 
 QUESTION = "kind int, bucket long, block long, keys binary, values binary"
 QUESTIONS = pa.schema(
@@ -189,23 +236,26 @@ def _questions(kind: int, block: int, keys: np.ndarray, values: np.ndarray, bits
 def questions(blocks: DataFrame, bits: int) -> DataFrame:
     """What each block has counted in its training texts, for each of its words and pairs."""
 
+    # What a call for one block has built is gone before the next block is.
+    def asked(row: dict) -> Iterator[pa.RecordBatch]:
+        block = Block(row["held"], row["sizes"], row["data"])
+        for kind, keys, places in (
+            (WORDS, block.words, block.word_of),
+            (PAIRS, block.pairs, block.pair_of),
+        ):
+            counts = block.trained(places, len(keys))
+            yield from _questions(kind, row["block"], keys, counts[None, :], bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["held"], row["sizes"], row["data"])
-                for kind, keys, places in (
-                    (WORDS, block.words, block.word_of),
-                    (PAIRS, block.pairs, block.pair_of),
-                ):
-                    counts = block.trained(places, len(keys))
-                    yield from _questions(kind, row["block"], keys, counts[None, :], bits)
+        for single in _singles(batches):
+            yield from asked(single.to_pylist()[0])
 
     return blocks.select("block", "held", "sizes", "data").mapInArrow(run, QUESTION)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[dict]]]:
     """The rows of each (kind, bucket), which stand together."""
-    rows = (row for batch in batches for row in batch.to_pylist())
+    rows = (row for single in _singles(batches) for row in single.to_pylist())
     for (kind, bucket), group in groupby(rows, key=lambda row: (row["kind"], row["bucket"])):
         yield kind, bucket, list(group)
 
@@ -296,28 +346,26 @@ PLANES = DISCOUNTED + 4
 def history_questions(joined: DataFrame, bits: int) -> DataFrame:
     """Per block and history, sums over the pairs that the block accounts for."""
 
+    def asked(row: dict) -> Iterator[pa.RecordBatch]:
+        block = Block(row["held"], row["sizes"], row["data"])
+        words = _ordered(row["words"], "counts").astype(np.int64)
+        pairs = _ordered(row["pairs"], "counts").astype(np.int64)
+        own = _ordered(row["pairs"], "own").astype(bool)
+        size = len(block.histories)
+        at, count = block.pair_history[own], pairs[own]
+        planes = np.zeros((PLANES, size), np.int64)
+        for r in range(1, DISCOUNTED + 1):
+            planes[r - 1] = np.bincount(at[count == r], minlength=size)
+        large = count > DISCOUNTED
+        planes[DISCOUNTED] = np.bincount(at[large], minlength=size)
+        planes[DISCOUNTED + 1] = np.bincount(at[large], weights=count[large], minlength=size)
+        planes[DISCOUNTED + 2] = np.bincount(at, weights=words[block.pair_word[own]], minlength=size)
+        planes[DISCOUNTED + 3] = block.history_counts(words)
+        yield from _questions(HISTORIES, row["block"], block.histories, planes, bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["held"], row["sizes"], row["data"])
-                words = _ordered(row["words"], "counts").astype(np.int64)
-                pairs = _ordered(row["pairs"], "counts").astype(np.int64)
-                own = _ordered(row["pairs"], "own").astype(bool)
-                size = len(block.histories)
-                at, count = block.pair_history[own], pairs[own]
-                planes = np.zeros((PLANES, size), np.int64)
-                for r in range(1, DISCOUNTED + 1):
-                    planes[r - 1] = np.bincount(at[count == r], minlength=size)
-                large = count > DISCOUNTED
-                planes[DISCOUNTED] = np.bincount(at[large], minlength=size)
-                planes[DISCOUNTED + 1] = np.bincount(at[large], weights=count[large], minlength=size)
-                planes[DISCOUNTED + 2] = np.bincount(at, weights=words[block.pair_word[own]], minlength=size)
-                # The beginning was seen once per training text, as the end was.
-                known = np.searchsorted(block.words, block.histories)
-                end = np.searchsorted(block.words, np.uint64(END))
-                begin = block.histories == np.uint64(BEGIN)
-                planes[DISCOUNTED + 3] = words[np.where(begin, end, np.minimum(known, len(words) - 1))]
-                yield from _questions(HISTORIES, row["block"], block.histories, planes, bits)
+        for single in _singles(batches):
+            yield from asked(single.to_pylist()[0])
 
     return joined.mapInArrow(run, QUESTION)
 
@@ -390,41 +438,45 @@ def scored(joined: DataFrame, key_type, factors: np.ndarray, total: int, distinc
         ]
     )
 
+    factor = np.r_[factors, 1.0]
+
+    def answered(ids: pa.Array, row: dict) -> pa.RecordBatch:
+        block = Block(row["held"], row["sizes"], row["data"])
+        n = len(block.counts)
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            return np.bincount(block.owners, weights=values, minlength=n)
+
+        words = _ordered(row["words"], "counts").astype(np.int64)
+        pairs = _ordered(row["pairs"], "counts").astype(np.int64)
+        order = sorted(row["backoffs"], key=lambda p: p["bucket"])
+        alpha, scale = [np.concatenate([unsqueeze_reals(p[name]) for p in order]) for name in ("alpha", "scale")]
+        base = (words + SMOOTHING) / whole
+        # Once for each different pair, however often it occurs.
+        chance = factor[np.minimum(pairs, DISCOUNTED + 1)]
+        chance *= pairs
+        chance /= np.maximum(block.history_counts(words), 1)[block.pair_history]
+        chance *= scale[block.pair_history]
+        unseen = pairs == 0
+        chance[unseen] = alpha[block.pair_history[unseen]] * base[block.pair_word[unseen]]
+        del pairs, unseen
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                pa.array(row["held"], pa.bool_()),
+                pa.array(block.counts + 1),
+                pa.array(per_text((words > 0)[block.word_of]).astype(np.int64)),
+                pa.array(np.full(n, total, np.int64)),
+                pa.array(per_text(np.log10(base)[block.word_of])),
+                pa.array(per_text(np.log10(chance)[block.pair_of])),
+            ],
+            schema.fieldNames(),
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factor = np.r_[factors, 1.0]
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
-                block = Block(row["held"], row["sizes"], row["data"])
-                words = _ordered(row["words"], "counts").astype(np.int64)
-                pairs = _ordered(row["pairs"], "counts").astype(np.int64)[block.pair_of]
-                order = sorted(row["backoffs"], key=lambda p: p["bucket"])
-                alpha, scale = [
-                    np.concatenate([unsqueeze_reals(p[name]) for p in order])[block.history_of] for name in ("alpha", "scale")
-                ]
-                count = words[block.word_of]
-                base = (count + SMOOTHING) / whole
-                previous = np.r_[np.zeros(1, np.int64), count[:-1]]
-                previous[block.first] = words[np.searchsorted(block.words, np.uint64(END))]
-                found = factor[np.minimum(pairs, DISCOUNTED + 1)] * pairs / np.maximum(previous, 1) * scale
-                chance = np.where(pairs > 0, found, alpha * base)
-                n = len(block.counts)
-
-                def per_text(values: np.ndarray) -> np.ndarray:
-                    return np.bincount(block.owners, weights=values, minlength=n)
-
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(i, 1).flatten(),
-                        pa.array(row["held"], pa.bool_()),
-                        pa.array(block.counts + 1),
-                        pa.array(per_text(count > 0).astype(np.int64)),
-                        pa.array(np.full(n, total, np.int64)),
-                        pa.array(per_text(np.log10(base))),
-                        pa.array(per_text(np.log10(chance))),
-                    ],
-                    schema.fieldNames(),
-                )
+        for single in _singles(batches):
+            ids = single.column(single.schema.get_field_index("ids")).flatten()
+            yield answered(ids, single.drop_columns(["ids"]).to_pylist()[0])
 
     return joined.mapInArrow(run, schema)
 

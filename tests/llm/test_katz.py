@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql.types import LongType
 
 from conftest_llm import LONG
 from feira.llm import katz
@@ -96,6 +100,52 @@ def test_many_buckets_and_blocks(documents, monkeypatch):
     check(documents, [(i, " ".join(f"v{(i * j) % 13}" for j in range(i % 40))) for i in range(120)])
 
 
+class Rows:
+    """Stands for a DataFrame; gives the function that a step runs on the batches of a task."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        return run
+
+
+def test_memory_of_a_worker(monkeypatch):
+    monkeypatch.setattr(katz, "CHUNK", 1 << 14)
+    draw = random.Random(3)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.7)) % 10**9}" for _ in range(500)).encode() for _ in range(400)]
+    sizes, held, data = [*map(len, texts)], [False] * len(texts), zstandard.compress(b"".join(texts))
+    block = katz.Block(held, sizes, data)
+    n = len(block.owners)
+    ones = [{"bucket": 0, "counts": katz.squeeze(x), "own": katz.squeeze(x)} for x in (np.ones(len(block.words)), np.ones(len(block.pairs)))]
+    half = katz.squeeze_reals(np.full(len(block.histories), 0.5))
+    row = {
+        "block": 0, "ids": [*range(len(texts))], "held": held, "sizes": sizes, "data": data, "words": ones[:1], "pairs": ones[1:],
+        "backoffs": [{"bucket": 0, "alpha": half, "scale": half}],
+    }
+    del block, texts
+    for run in (
+        katz.questions(Rows(), 2),
+        katz.history_questions(Rows(), 2),
+        katz.scored(Rows(), LongType(), np.ones(katz.DISCOUNTED + 1), n, 1000),
+    ):
+        batches = [pa.RecordBatch.from_pylist([row] * 3)] * 2
+        tracemalloc.start()
+        for _ in run(iter(batches)):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # Bytes per token of one block, whatever number of blocks a task has.
+        assert most < 130 * n
+
+
+@pytest.mark.parametrize("values", [[], [7], [7, 7, 7], [3, 1, 2**64 - 1, 3, 0, 1, 3]])
+def test_distinct_as_numpy(values):
+    values = np.array(values, np.uint64)
+    for found, wanted in zip(katz._distinct(values), np.unique(values, return_index=True, return_inverse=True), strict=True):
+        assert found.tolist() == wanted.tolist()
+
+
 @given(st.lists(st.integers(0, 2**63), max_size=50))
 def test_squeezed_numbers(values):
     array = np.array(sorted(values), np.uint64)
